@@ -38,10 +38,12 @@ class NearDupParams:
     rows: int = 5
     #: Classes that share a block are paired in parts of this many.
     part: int = 200
+    #: Most candidate texts whose keys are broadcast to the second reading of the texts; beyond, that join is a shuffle.
+    broadcast_rows: int = 1_000_000
 
 
-#: For pairs at similarity 0.5, which shares a block of four with probability 1/16: missed with probability 0.0003.
-HALF = NearDupParams(width=3, similarity=0.5, blocks=128, rows=4)
+#: For pairs at similarity 0.5: missed with probability 0.003 there, 0.0002 at 0.55.
+HALF = NearDupParams(width=3, similarity=0.5, blocks=90, rows=4)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -92,11 +94,23 @@ def minhashes(shingles: np.ndarray, count: int, seed: int = 20) -> np.ndarray:
     return best
 
 
-def fingerprints(texts: DataFrame, params: NearDupParams) -> DataFrame:
-    """(field, key, class, n, set, prints): ``class`` is a 128-bit hash of the shingle set, ``set`` its shingles and ``prints`` its
-    MinHash values as bytes, ``n`` the set's size. Texts without a shingle have no row. ``texts`` is (field, key, pieces)."""
-    names = ["field", "key", "class", "n", "set", "prints"]
-    kinds = [pa.string(), pa.int64(), pa.string(), pa.int32(), pa.binary(), pa.binary()]
+def _buckets(prints: np.ndarray, params: NearDupParams, seed: int) -> np.ndarray:
+    """One 64-bit hash per block of a fingerprint; it names the block's place too, and the field through ``seed``."""
+    with np.errstate(over="ignore"):
+        h = _mix(np.arange(1, params.blocks + 1, dtype=np.uint64)) + np.uint64(seed)
+        values = prints.reshape(params.blocks, params.rows).astype(np.uint64)
+        for r in range(params.rows):
+            h = _mix(h * np.uint64(0x9E3779B97F4A7C15) + values[:, r])
+    return h.view(np.int64)
+
+
+def _scan(texts: DataFrame, params: NearDupParams, verify: bool) -> DataFrame:
+    """One row per text with a shingle. For search: (field, key, id, blocks); for verification: (id, n, prints, shingles).
+
+    ``id`` is a 64-bit hash of field and shingle set: equal sets are one class.
+    """
+    names = ["id", "n", "prints", "shingles"] if verify else ["field", "key", "id", "blocks"]
+    kinds = [pa.int64(), pa.int32(), pa.binary(), pa.binary()] if verify else [pa.string(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
 
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
@@ -106,13 +120,15 @@ def fingerprints(texts: DataFrame, params: NearDupParams) -> DataFrame:
             fields, keys, pieces = b.column(0), b.column(1), b.column(2)
             out: list[list] = [[] for _ in names]
             for i in range(b.num_rows):
-                if keys[i].as_py() is None:
+                field, key = fields[i].as_py() or "", keys[i].as_py()
+                if key is None:
                     continue
-                text = " ".join(p or "" for p in pieces[i].as_py() or [])
-                s = shingle_hashes(text, params.width, words)
+                s = shingle_hashes(" ".join(p or "" for p in pieces[i].as_py() or []), params.width, words)
                 if len(s):
-                    raw = s.tobytes()
-                    row = (fields[i].as_py(), keys[i].as_py(), xxhash.xxh3_128_hexdigest(raw), len(s), raw, minhashes(s, params.blocks * params.rows).tobytes())
+                    raw, seed = s.tobytes(), xxhash.xxh3_64_intdigest(field)
+                    ident = xxhash.xxh3_64_intdigest(raw, seed) - 2**63
+                    prints = minhashes(s, params.blocks * params.rows)
+                    row = (ident, len(s), prints.tobytes(), raw) if verify else (field, key, ident, _buckets(prints, params, seed))
                     for column, value in zip(out, row):
                         column.append(value)
                 if len(out[0]) >= 256:
@@ -120,94 +136,89 @@ def fingerprints(texts: DataFrame, params: NearDupParams) -> DataFrame:
                     out = [[] for _ in names]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds)], names)
 
-    return texts.select("field", "key", "pieces").mapInArrow(scan, "field string, key long, class string, n int, set binary, prints binary")
-
+    schema = "id long, n int, prints binary, shingles binary" if verify else "field string, key long, id long, blocks array<long>"
+    return texts.select("field", "key", "pieces").mapInArrow(scan, schema)
 
-def _block_rows(classes: DataFrame, params: NearDupParams) -> DataFrame:
-    """(bucket, id): one row per class and block, the bucket being a hash of field, block number and block."""
-    names, size = ["bucket", "id"], params.rows
 
-    def split(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lane = _mix(np.arange(1, params.blocks + 1, dtype=np.uint64))
-        for b in batches:
-            ids = np.asarray(b.column(0))
-            seeds = np.asarray(b.column(1)).view(np.uint64)
-            prints = b.column(2).to_pylist()
-            for k in range(0, len(ids), 2048):
-                values = np.frombuffer(b"".join(prints[k : k + 2048]), np.uint32).reshape(-1, params.blocks, size).astype(np.uint64)
-                with np.errstate(over="ignore"):
-                    h = lane[None, :] + seeds[k : k + 2048, None]
-                    for r in range(size):
-                        h = _mix(h * np.uint64(0x9E3779B97F4A7C15) + values[:, :, r])
-                yield pa.RecordBatch.from_arrays([pa.array(h.ravel().view(np.int64)), pa.array(np.repeat(ids[k : k + 2048], params.blocks))], names)
+def _candidates(classes: DataFrame, params: NearDupParams) -> DataFrame:
+    """Distinct (a, b), a < b, of the classes (id, blocks) that share a block.
 
-    return classes.select("id", F.xxhash64("field").alias("seed"), "prints").mapInArrow(split, "bucket long, id long")
+    Blocks held by two classes, nearly all, give their pair in one aggregation. A block held by more is cut into parts
+    of about ``part`` classes by hash, and each pair of parts is a row of work of its own, whatever the block's size.
+    """
+    rows = classes.select(F.explode("blocks").alias("bucket"), "id").repartition("bucket")  # the one exchange all branches share
+    counts = rows.groupBy("bucket").agg(F.count("*").alias("n"), F.min("id").alias("a"), F.max("id").alias("b"))
+    two = counts.where("n = 2 AND a < b").select("a", "b")
+    more = counts.where("n > 2").select("bucket", F.ceil(F.col("n") / params.part).cast("int").alias("parts"))
+    parted = rows.join(more, "bucket").withColumn("part", F.pmod(F.xxhash64("id"), "parts").cast("int"))
+    parts = parted.groupBy("bucket", "parts", "part").agg(F.collect_list("id").alias("ids"))
+    left = parts.select("bucket", "ids", F.explode(F.sequence(F.col("part"), F.col("parts") - 1)).alias("part"))
+    both = left.join(parts.select("bucket", "part", F.col("ids").alias("others")), ["bucket", "part"])
+    many = both.select(F.explode("ids").alias("x"), "others").select("x", F.explode("others").alias("y")).where("x <> y")
+    return two.unionByName(many.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))).distinct()
 
 
-def _candidates(blocks: DataFrame, params: NearDupParams) -> DataFrame:
-    """Distinct (a, b), a < b, of the classes that share a bucket.
+def _near(params: NearDupParams):
+    """Least share of equal fingerprint values of a pair at the threshold, with six standard deviations of slack."""
+    least = params.similarity - 6 * (params.similarity * (1 - params.similarity) / (params.blocks * params.rows)) ** 0.5
 
-    A bucket's classes are numbered within salted lanes and cut into parts of ``part``; each pair of parts is one row of
-    work, so the largest unit of work is part x part whatever the bucket's size.
-    """
-    counts = blocks.groupBy("bucket").agg(F.count("*").alias("n"), F.min("id").alias("a"), F.max("id").alias("b"))
-    two = counts.where("n = 2 AND a < b").select("a", "b")
-    more = counts.where("n > 2").select("bucket", "n")
-    parted = blocks.join(more, "bucket").withColumn("part", F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / params.part)).cast("int"))
-    parts = parted.groupBy("bucket", "n", "part").agg(F.sort_array(F.collect_set("id")).alias("ids"))
-    left = parts.select("bucket", "part", "ids", F.explode(F.sequence(F.col("part"), (F.ceil(F.col("n") / params.part) - 1).cast("int"))).alias("other"))
-    right = parts.select("bucket", F.col("part").alias("other"), F.col("ids").alias("others"))
-    both = left.join(right, ["bucket", "other"])
-    many = both.select(F.explode("ids").alias("x"), "others").select("x", F.explode("others").alias("y")).where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-    return two.unionByName(many).distinct()
+    def hamming(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sizes = [np.asarray(b.column(i), np.int64) for i in (2, 3)]
+            keep = np.minimum(*sizes) >= params.similarity * np.maximum(*sizes)
+            for i in np.flatnonzero(keep):
+                x, y = (np.frombuffer(b.column(c)[int(i)].as_buffer(), np.uint32) for c in (4, 5))
+                keep[i] = np.mean(x == y) >= least
+            yield pa.RecordBatch.from_arrays([b.column(0).filter(pa.array(keep)), b.column(1).filter(pa.array(keep))], ["a", "b"])
 
+    return hamming
 
-def _overlap(params: NearDupParams):
-    least_equal = params.similarity - 6 * (params.similarity * (1 - params.similarity) / (params.blocks * params.rows)) ** 0.5
 
-    def verify(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Hamming distance of the fingerprints first (six standard deviations of slack), then the exact similarity."""
+def _exact(params: NearDupParams):
+    def jaccard(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            a_ids, b_ids, n1, n2 = (np.asarray(b.column(i)) for i in range(4))
-            p1, p2, s1, s2 = (b.column(i) for i in range(4, 8))
             keep, score = [], []
             for i in range(b.num_rows):
-                if min(n1[i], n2[i]) < params.similarity * max(n1[i], n2[i]):
-                    continue
-                equal = np.mean(np.frombuffer(p1[i].as_buffer(), np.uint32) == np.frombuffer(p2[i].as_buffer(), np.uint32))
-                if equal < least_equal:
-                    continue
-                common = len(np.intersect1d(np.frombuffer(s1[i].as_buffer(), np.uint64), np.frombuffer(s2[i].as_buffer(), np.uint64), assume_unique=True))
-                j = common / (int(n1[i]) + int(n2[i]) - common)
+                x, y = (np.frombuffer(b.column(c)[i].as_buffer(), np.uint64) for c in (2, 3))
+                common = len(np.intersect1d(x, y, assume_unique=True))
+                j = common / (len(x) + len(y) - common)
                 if j >= params.similarity:
                     keep.append(i)
                     score.append(j)
-            yield pa.RecordBatch.from_arrays([pa.array(a_ids[keep]), pa.array(b_ids[keep]), pa.array(score, pa.float64())], ["a", "b", "similarity"])
+            taken = pa.array(keep, pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column(0).take(taken), b.column(1).take(taken), pa.array(score, pa.float64())], ["a", "b", "similarity"])
 
-    return verify
+    return jaccard
 
 
 def near_duplicates(texts: DataFrame, params: NearDupParams = NearDupParams()) -> tuple[DataFrame, DataFrame]:
-    """Classes and links of (field, key, pieces).
+    """Classes and links of (field, key, pieces), a text being its pieces joined by spaces; keys are unique in a field.
 
     Returns ``members`` (field, key, id), one row per text with a shingle, ``id`` naming its class of equal shingle sets,
-    and ``links`` (field, a, b, similarity), a < b, every pair of classes of one field at or above the threshold.
+    and ``links`` (a, b, similarity), a < b, every pair of classes of one field at or above the threshold.
     """
-    prints = cut(fingerprints(texts, params))
-    ident = F.xxhash64("field", "class")
-    members = prints.select("field", "key", ident.alias("id"))
-    classes = prints.groupBy("field", "class").agg(F.first("n").alias("n"), F.first("set").alias("set"), F.first("prints").alias("prints")).withColumn("id", ident)
-    pairs = _candidates(_block_rows(classes, params), params)
-    sides = [classes.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}"), F.col("prints").alias(f"p_{x}"), F.col("set").alias(f"s_{x}")) for x in "ab"]
-    full = pairs.join(sides[0], "a").join(sides[1], "b").select("a", "b", "n_a", "n_b", "p_a", "p_b", "s_a", "s_b")
-    links = full.mapInArrow(_overlap(params), "a long, b long, similarity double")
-    return members, links
+    found = cut(_scan(texts, params, verify=False))
+    members = found.select("field", "key", "id")
+    pairs = cut(_candidates(found.groupBy("id").agg(F.first("blocks").alias("blocks")), params))
+    # only the texts of candidates are read again, one for each class
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    first = members.join(wanted, "id", "left_semi").groupBy("id").agg(F.min(F.struct("field", "key")).alias("at")).select("at.field", "at.key")
+    first = cut(first)
+    if first.count() <= params.broadcast_rows:
+        first = F.broadcast(first)
+    sets = cut(_scan(texts.join(first, ["field", "key"], "left_semi"), params, verify=True))
+    side = lambda x, c: sets.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}"), F.col(c).alias(f"{c}_{x}"))
+    close = pairs.join(side("a", "prints"), "a").join(side("b", "prints"), "b").select("a", "b", "n_a", "n_b", "prints_a", "prints_b")
+    close = close.mapInArrow(_near(params), "a long, b long")
+    full = close.join(side("a", "shingles"), "a").join(side("b", "shingles"), "b").select("a", "b", "shingles_a", "shingles_b")
+    return members, full.mapInArrow(_exact(params), "a long, b long, similarity double")
 
 
 def every_pair(members: DataFrame, links: DataFrame) -> DataFrame:
     """(field, key_a, key_b), key_a < key_b: the links expanded by membership, and all pairs within classes of copies."""
     m = members.select("field", "key", "id")
-    across = links.select("a", "b").join(m.select("field", F.col("key").alias("x"), F.col("id").alias("a")), "a").join(m.select(F.col("key").alias("y"), F.col("id").alias("b")), "b")
+    across = links.select("a", "b").join(m.select("field", F.col("key").alias("x"), F.col("id").alias("a")), "a")
+    across = across.join(m.select(F.col("key").alias("y"), F.col("id").alias("b")), "b")
     shared = m.groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select("id")
     copies = m.join(shared, "id")
     within = copies.select("field", F.col("key").alias("x"), "id").join(copies.select(F.col("key").alias("y"), "id"), "id").where("x < y")

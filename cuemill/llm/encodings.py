@@ -38,7 +38,12 @@ CYRILLIC = [chr(c) for c in range(0x400, 0x460)] + ["Ґ", "ґ"]
 TYPOGRAPHY = list("‘’‚“”„–—…•€™«»¿¡§©®°·£ªº №")
 #: Wrong readings of UTF-8, and (written, read) pairs of single-byte code pages.
 UTF8_READ_AS = ("cp1252", "latin-1", "cp1250", "cp1251", "mac_roman", "cp437", "cp850", "koi8-r", "cp866", "iso8859-15")
-SINGLE_BYTE = (("cp1252", "mac_roman"), ("cp1252", "cp437"), ("cp1252", "cp850"), ("mac_roman", "cp1252"), ("cp437", "cp1252"), ("cp850", "cp1252"))
+SINGLE_BYTE = (
+    ("cp1252", "mac_roman"), ("cp1252", "cp437"), ("cp1252", "cp850"), ("cp1252", "cp1250"), ("cp1252", "cp1251"),
+    ("mac_roman", "cp1252"), ("cp437", "cp1252"), ("cp850", "cp1252"),
+)
+#: Swaps that turn whole Cyrillic words into other words: every letter is a symbol, so they are judged word by word.
+WHOLE_WORD = (("cp1251", "koi8-r"), ("koi8-r", "cp1251"), ("cp1251", "cp1252"), ("koi8-r", "cp1252"), ("cp866", "cp1251"), ("cp1251", "cp866"))
 COMMON = [c for c in LATIN if c not in "ÐÞðþ"] + list("‘’“”–—…œŒ€")
 LOST = "�"
 
@@ -52,6 +57,8 @@ class GarbleParams:
     #: Posterior from which a symbol of several characters, and one of a single character, counts as garbled.
     several: float = 0.5
     single: float = 0.9
+    #: Lead in log-likelihood that a run of six letters needs to count as a swapped word; shorter runs need less in proportion.
+    word_lead: float = 12.0
     #: Sources whose mappings are broadcast to the texts; beyond, they are joined by a shuffle.
     broadcast_sources: int = 100_000
 
@@ -132,8 +139,15 @@ class Alphabet:
         self.table[0xFFFD] = self.UNKNOWN
         self.size = 5 + len(letters)
         self.single = np.zeros(0x110000, bool)
+        self.foreign = np.zeros(0x110000, bool)  # symbols that are no letter of the texts' scripts, inside words
+        self.cyrillic = np.zeros(0x110000, bool)
+        self.cyrillic[0x400:0x530] = True
+        self.latin = np.zeros(0x110000, bool)
+        for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz" + "".join(LATIN):
+            self.latin[ord(c)] = True
         for c in single:
             self.single[ord(c)] = True
+            self.foreign[ord(c)] = c not in LATIN and c not in EXTENDED and c not in CYRILLIC and c not in TYPOGRAPHY
         self.several = re.compile(_trie(s for s in symbols() if len(s) > 1))
 
     def classes(self, text: str) -> np.ndarray:
@@ -155,19 +169,25 @@ def occurrences(text: str) -> tuple[np.ndarray, list[tuple[int, int, str, int, i
     classes = a.table[points].astype(np.int64)
     several = [(m.start(), m.end()) for m in a.several.finditer(text)]
     single = a.single[points]
+    cyrillic = single & a.cyrillic[points]
+    if cyrillic.any():
+        # Cyrillic letters are symbols of a Latin text only where they touch its letters
+        latin = np.concatenate([[False], a.latin[points], [False]])
+        single &= ~cyrillic | latin[:-2] | latin[2:]
+    box = (points >= 0x2500) & (points < 0x2580)
+    if box.any():
+        # box-drawing characters in a row are a drawing
+        beside = np.concatenate([[False], box, [False]])
+        single &= ~box | ~(beside[:-2] | beside[2:])
     for s, e in several:
         single[s:e] = False
-    around = classes.copy()
-    for s, e in several:
-        around[s:e] = a.UNKNOWN
         classes[s:e] = a.UNKNOWN
     alone = np.flatnonzero(single)
-    around[alone] = a.UNKNOWN
+    around = classes.copy()
+    around[a.foreign[points]] = a.UNKNOWN
     edge = np.concatenate([[a.SPACE], around, [a.SPACE]])
     out = [(s, e, text[s:e], int(edge[s]), int(edge[e + 1])) for s, e in several]
-    # a genuine single letter is the rule, so its neighbours count as they are unless they are symbols of another kind
-    plain = np.concatenate([[a.SPACE], classes, [a.SPACE]])
-    out += [(i, i + 1, text[i], int(plain[i]), int(plain[i + 2])) for i in alone.tolist()]
+    out += [(i, i + 1, text[i], int(edge[i]), int(edge[i + 2])) for i in alone.tolist()]
     out.sort()
     return classes, out
 
@@ -178,18 +198,22 @@ def _statistics(docs: DataFrame) -> DataFrame:
 
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         size = alphabet().size
-        pairs, contexts = np.zeros(size * size, np.int64), Counter()
+        pairs, contexts, codes, waiting = np.zeros(size * size, np.int64), Counter(), [], 0
         for b in batches:
             for source, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 classes, found = occurrences(text)
-                pairs += np.bincount(np.append(Alphabet.SPACE, classes) * size + np.append(classes, Alphabet.SPACE), minlength=size * size) if len(text) > 100_000 else 0
-                if len(text) <= 100_000:
-                    np.add.at(pairs, np.append(Alphabet.SPACE, classes) * size + np.append(classes, Alphabet.SPACE), 1)
+                codes.append(np.append(Alphabet.SPACE, classes) * size + np.append(classes, Alphabet.SPACE))
+                waiting += len(codes[-1])
+                if waiting > 1_000_000:
+                    pairs += np.bincount(np.concatenate(codes), minlength=size * size)
+                    codes, waiting = [], 0
                 contexts.update((source, s, l, r) for _, _, s, l, r in found)
             if len(contexts) > 200_000:
                 yield _rows(contexts, names)
                 contexts = Counter()
         yield _rows(contexts, names)
+        if codes:
+            pairs += np.bincount(np.concatenate(codes), minlength=size * size)
         seen = np.flatnonzero(pairs)
         yield pa.RecordBatch.from_arrays(
             [pa.array([""] * len(seen)), pa.array([""] * len(seen)), pa.array(seen // size, pa.int32()), pa.array(seen % size, pa.int32()), pa.array(pairs[seen], pa.int64())], names
@@ -210,6 +234,7 @@ class Cipher:
     def __init__(self, pairs: np.ndarray, params: GarbleParams):
         self.params = params
         self.base = pairs.astype(float)
+        self.seen = self.base.sum(0)
         self.logs = self._model(self.base)
         self.shares: dict[str, dict[str, float]] = {}
 
@@ -226,7 +251,11 @@ class Cipher:
         letters = symbols()[symbol]
         if symbol == LOST or "\x80" <= symbol <= "\x9f":
             return {c: 1 / len(letters) for c in letters} or {LOST: 1.0}
-        meant = 0.02 if len(symbol) > 1 else 0.7
+        # a letter that stands in no text of the corpus is no reading
+        letters = [c for c in letters if self.seen[_classes(c)[0]] > 0]
+        if not letters:
+            return {symbol: 1.0}
+        meant = 0.7 if len(symbol) == 1 else 0.02
         return {symbol: meant} | {c: (1 - meant) / len(letters) for c in letters}
 
     def readings(self, symbol: str, l: int, r: int, shares: dict[str, float] | None = None) -> dict[str, float]:
@@ -281,6 +310,56 @@ def self_class(c: str) -> int:
     return _classes(c)[0]
 
 
+@lru_cache(maxsize=1)
+def _word_swaps() -> tuple[re.Pattern, list[dict[int, str]]]:
+    """Runs of letters that may be Cyrillic words under a swap, and per swap the table from read to written letters."""
+    tables, images = [], set()
+    for written, read in WHOLE_WORD:
+        pairs = {}
+        for c in CYRILLIC:
+            try:
+                pairs[ord(_read(c.encode(written), read))] = c
+            except UnicodeEncodeError:
+                continue
+        tables.append(pairs)
+        images |= {chr(c) for c in pairs}
+    return re.compile("[" + "".join(sorted(map(re.escape, images))) + "]{2,}"), tables
+
+
+def swapped_word(word: str, cipher: Cipher, memory: dict) -> tuple[str, float]:
+    """The likeliest reading of a run of letters and its lead in log-likelihood over the run as it stands."""
+    if word not in memory:
+        def score(w: str) -> float:
+            k = (Alphabet.SPACE, *_classes(w), Alphabet.SPACE)
+            return float(sum(cipher.logs[x, y] for x, y in zip(k, k[1:])))
+
+        own, best = score(word), (word, 0.0)
+        for table in _word_swaps()[1]:
+            if all(ord(c) in table for c in word):
+                other = word.translate(table)
+                lead = score(other) - own
+                if lead > best[1]:
+                    best = (other, lead)
+        if len(memory) > 200_000:
+            memory.clear()
+        memory[word] = best
+    return memory[word]
+
+
+def whole_words(text: str, cipher: Cipher, memory: dict) -> tuple[str, int]:
+    """Undo swaps of whole words: three letters and a clear lead make a text suspect; its other words then follow."""
+    pattern = _word_swaps()[0]
+    runs = [(m.start(), m.end(), *swapped_word(m[0], cipher, memory)) for m in pattern.finditer(text)]
+    if not any(e - s >= 3 and lead >= cipher.params.word_lead * min(1.0, (e - s) / 6) for s, e, _, lead in runs):
+        return text, 0
+    out, at, n = [], 0, 0
+    for s, e, word, lead in runs:
+        if lead > 1.0:
+            out += [text[at:s], word]
+            at, n = e, n + 1
+    return "".join(out) + text[at:], n
+
+
 def decide(text: str, cipher: Cipher, shares: dict[str, dict[str, float]], memory: dict) -> tuple[str, int]:
     """The restored text and the number of garbled symbols."""
     out, at, n = [], 0, 0
@@ -296,7 +375,9 @@ def decide(text: str, cipher: Cipher, shares: dict[str, dict[str, float]], memor
         if memory[key] is not None:
             out += [text[at:s], memory[key]]
             at, n = e, n + 1
-    return "".join(out) + text[at:], n
+    restored = "".join(out) + text[at:]
+    restored, words = whole_words(restored, cipher, memory.setdefault("words", {}))
+    return restored, n + words
 
 
 def garbled(docs: DataFrame, params: GarbleParams = GarbleParams(), key: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:

@@ -31,8 +31,19 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
     )
 
 
+def reachable(spark: SparkSession) -> SparkSession:
+    """Let Python workers import this package from where the driver did, and keep Arrow batches small for long texts."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) == 10_000:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1024")
+    return spark
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return reachable(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def checkpoint_dir(spark: SparkSession) -> str:

@@ -133,7 +133,8 @@ def pack(items: DataFrame, params: PackParams, shares: DataFrame | None = None)
     carry = sums.withColumn("sent", F.coalesce(F.sum("tokens").over(own), F.lit(0))).join(F.broadcast(earlier), "shard").join(shares, "source", "left")
     carry = cut(carry.select("shard", "source", F.coalesce("share", F.lit(0.0)).alias("share"), (F.coalesce("share", F.lit(0.0)) * F.col("earlier") - F.col("sent")).alias("deficit")))
 
-    def run(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    def run(key, left: pd.DataFrame) -> pd.DataFrame:
+        right = left.drop_duplicates("source")
         shares_here = dict(zip(right["source"], right["share"].astype(float)))
         # an early partition's surplus is paid back over a window's worth at most, so that no queue starves
         limit = params.window * params.capacity
@@ -142,7 +143,8 @@ def pack(items: DataFrame, params: PackParams, shares: DataFrame | None = None)
         return pd.DataFrame({"container": [f"s{key[0]}-{b}" for b in boxes], "key": left["key"], "part": left["part"], "first_token": left["first_token"], "n_tokens": left["size"], "source": left["source"]})
 
     schema = "container string, key long, part int, first_token long, n_tokens long, source string"
-    packed = loose.groupBy("shard").cogroup(carry.groupBy("shard")).applyInPandas(run, schema)
+    # a pair of shard and source has at most a shard's rows, so this join has no hot key
+    packed = loose.join(carry, ["shard", "source"]).groupBy("shard").applyInPandas(run, schema)
     single = alone.select(F.concat(F.lit("d"), F.col("key"), F.lit("-"), F.col("part")).alias("container"), "key", "part", "first_token", F.col("size").alias("n_tokens"), "source")
     return packed.unionByName(single)
 

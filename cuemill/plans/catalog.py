@@ -1,6 +1,660 @@
-"""All queries of the core engine and the SQL that checks them."""
+"""All queries of the core engine over the driver tables, and the SQL that checks them.
+
+Every query runs over its whole tables. A limit stands only where it is the feature (a queue's batch, a search page).
+"""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-SQL: dict = {}
+import tempfile
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from cuemill.functions import text as X
+from cuemill.operators import chunks, enrich, pasted, records, registry, render, resilience, segments, transitions
+from cuemill.operators import search as searching
+from cuemill.params import DEFAULTS
+from cuemill.runtime import table
+from cuemill.streaming import jobs
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+SQL: dict[str, str] = {}
+HOSTS, SHORT_HOSTS, HOST = ("tube.example", "www.tube.example", "m.tube.example"), ("tu.example",), "tube.example"
+STAMP = "2026-01-01 00:00:00"
+_WHITE = r"\t\n\x0B\f\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+_N = lambda c: f"len(regexp_extract_all(coalesce({c}, ''), '[^{_WHITE}]+'))"
+_STRIP = lambda c: f"regexp_replace({c}, '^[{_WHITE}]+|[{_WHITE}]+$', '', 'g')"
+
+
+def query(sql: str | None = None):
+    """Register a query under its function's name, with its SQL where there is any."""
+
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            SQL[f.__name__] = sql
+        return f
+
+    return add
+
+# --- scalars over whole tables ---------------------------------------------------------------------------------------
+
+
+@query(f"SELECT doc_id, {_N('text')}::INT AS words FROM documents WHERE {_N('text')} >= 200")
+def word_count_filter(spark, sf):
+    words = X.word_count(F.col("text"))
+    return table(spark, sf, "documents").select("doc_id", words.alias("words")).where(F.col("words") >= DEFAULTS.min_words)
+
+
+@query(r"""
+WITH s AS (SELECT line_no, unnest(transcript_segments).text AS t FROM dataset),
+  b AS (SELECT line_no, regexp_replace(' ' || replace(coalesce(t, ''), ' ', '  ') || ' ', '(?i)([^\p{L}\p{M}\p{N}_])(?:um+|uh+|hmm+|hm+|mhm|err+)(,| )', '\1 ', 'g') AS t FROM s)
+SELECT line_no, sum(len(regexp_replace(t, '\s+', '', 'g')))::BIGINT AS letters FROM b GROUP BY line_no""")
+def filler_strip(spark, sf):
+    """Letters of each line left when filler words that stand alone are removed."""
+    kept = F.transform("transcript_segments", lambda s: F.length(F.regexp_replace(F.regexp_replace(F.concat(F.lit(" "), F.replace(F.coalesce(s["text"], F.lit("")), F.lit(" "), F.lit("  ")), F.lit(" ")), r"(?iU)([^\p{L}\p{M}\p{N}_])(?:um+|uh+|hmm+|hm+|mhm|err+)(,| )", "$1 "), r"\s+", "")))
+    return table(spark, sf, "dataset").select("line_no", F.aggregate(kept, F.lit(0).cast("long"), lambda a, x: a + x).alias("letters"))
+
+
+@query()
+def clean_texts(spark, sf):
+    """Every segment's text decoded, on one line, without fillers."""
+    d = table(spark, sf, "dataset").withColumn("t", X.unescape_all(F.transform("transcript_segments", lambda s: F.coalesce(s["text"], F.lit("")))))
+    return d.select("line_no", F.posexplode(F.transform("t", lambda t: X.strip_fillers(X.one_line(t)))).alias("pos", "text"))
+
+
+_DECODE = "replace(replace(replace(replace(replace(replace({0}, '&#39;', ''''), '&quot;', '\"'), '&lt;', '<'), '&gt;', '>'), '&nbsp;', chr(160)), '&amp;', '&')"
+
+
+@query(rf"""
+WITH s AS (SELECT line_no, unnest(range(len(transcript_segments))) AS pos, unnest(list_transform(transcript_segments, lambda s: s.text)) AS t FROM dataset),
+  c AS (SELECT line_no, pos, {_STRIP(f"replace({_DECODE.replace('{0}', "coalesce(t, '')")}, chr(10), ' ')")} AS t FROM s),
+  x AS (SELECT line_no, coalesce(string_agg(t, ' ' ORDER BY pos) FILTER (WHERE t <> ''), '') AS text FROM c GROUP BY line_no)
+SELECT line_no, text, {_N('text')}::INT AS words FROM x""")
+def transcript_text(spark, sf):
+    d = table(spark, sf, "dataset").select("line_no", segments.transcript_text(F.col("transcript_segments")).alias("text"))
+    return d.select("line_no", "text", X.word_count(F.col("text")).alias("words"))
+
+
+@query(f"""SELECT line_no, {_N('transcript_text')}::INT AS words, word_count AS stated, word_count IS DISTINCT FROM {_N('transcript_text')} AS stale FROM dataset""")
+def word_count_audit(spark, sf):
+    """Counted words against the stated ones."""
+    n = X.word_count(F.col("transcript_text"))
+    return table(spark, sf, "dataset").select("line_no", n.alias("words"), F.col("word_count").alias("stated"), (~F.col("word_count").eqNullSafe(n)).alias("stale"))
+
+
+@query("""
+SELECT id, CASE WHEN start_ts IS NULL THEN NULL WHEN start_ts::BIGINT_T // 3600 <> 0
+  THEN printf('[%02d:%02d:%02d]', start_ts::BIGINT_T // 3600, start_ts::BIGINT_T % 3600 // 60, start_ts::BIGINT_T % 60)
+  ELSE printf('[%02d:%02d]', start_ts::BIGINT_T // 60, start_ts::BIGINT_T % 60) END AS stamp FROM sections""".replace("start_ts::BIGINT_T", "trunc(start_ts)::BIGINT"))
+def format_timestamp(spark, sf):
+    return table(spark, sf, "sections").select("id", F.when(F.col("start_ts").isNotNull(), X.format_timestamp(F.col("start_ts"))).alias("stamp"))
+
+
+@query(r"""
+WITH l AS (SELECT id, unnest(regexp_extract_all(description, '(?m)^(?:\d{1,3}:)?\d{1,2}:\d{2}')) AS stamp FROM videos)
+SELECT id, stamp, (CASE len(string_split(stamp, ':')) WHEN 3 THEN string_split(stamp, ':')[1]::DOUBLE * 3600 ELSE 0 END
+  + string_split(stamp, ':')[-2]::DOUBLE * 60 + string_split(stamp, ':')[-1]::DOUBLE) AS seconds FROM l""")
+def timestamp_parse(spark, sf):
+    found = table(spark, sf, "videos").select("id", F.explode(F.regexp_extract_all("description", F.lit(r"(?m)^(?:\d{1,3}:)?\d{1,2}:\d{2}"), 0)).alias("stamp"))
+    return found.select("id", "stamp", X.to_seconds(F.col("stamp")).alias("seconds"))
+
+
+_CTRL = r"""regexp_replace({0}, '[<>:"/\\\\|?*\x00-\x1f]', '', 'g')"""
+_SAFE = "substr(regexp_replace({0}, '[{1}]+', '_', 'g'), 1, 100)".replace("{1}", _WHITE)
+_SAN = lambda c: f"(CASE WHEN {_SAFE.replace('{0}', _STRIP(_CTRL.replace('{0}', c)))} IN ('', '.', '..') THEN 'untitled' ELSE {_SAFE.replace('{0}', _STRIP(_CTRL.replace('{0}', c)))} END)"
+
+
+@query(f"SELECT id, {_SAN('channel')} || '/' || {_SAN('title')} || '.md' AS path FROM videos WHERE channel <> '' AND title <> ''")
+def sanitize_path(spark, sf):
+    v = table(spark, sf, "videos").where("channel <> '' AND title <> ''")
+    return v.select("id", records.output_path(F.col("channel"), F.col("title")).alias("path"))
+
+
+_ESC = lambda c: rf"""replace(replace({c}, '\', '\\'), '"', '\"')"""
+
+
+@query(rf"""SELECT id, '["' || array_to_string(list_transform(key_concepts, lambda x: {_ESC('x')}), '", "') || '"]' AS concepts FROM videos
+WHERE len(list_filter(key_concepts, lambda x: x IS NOT NULL)) > 0 AND len(list_filter(key_concepts, lambda x: x IS NULL)) = 0""")
+def flow_list(spark, sf):
+    v = table(spark, sf, "videos").where(F.size("key_concepts") > 0).where(~F.exists("key_concepts", lambda x: x.isNull()))
+    return v.select("id", X.flow_list(F.col("key_concepts")).alias("concepts"))
+
+
+@query(f"""SELECT doc_id, CASE WHEN {_N('text')} <= 100 THEN text ELSE array_to_string(regexp_extract_all(text, '[^{_WHITE}]+')[1:100], ' ') END AS text,
+  (trunc({_N('text')}::DOUBLE * 1.6::DOUBLE * 1.4::DOUBLE)::BIGINT + 128) AS ceiling FROM documents WHERE text IS NOT NULL""")
+def cap_words(spark, sf):
+    """Texts cut to their first hundred words, and the token ceiling of a rewrite of the whole."""
+    d = table(spark, sf, "documents").where("text IS NOT NULL")
+    return d.select("doc_id", X.cap_words(F.col("text"), 100).alias("text"), X.output_ceiling(X.word_count(F.col("text"))).alias("ceiling"))
+
+
+@query(r"""SELECT line_no, CASE WHEN regexp_matches(url, '^https://(www\.|m\.)?tube\.example/watch\?(.*&)?v=[A-Za-z0-9_-]{11}(&.*)?$') THEN regexp_extract(url, '[?&]v=([A-Za-z0-9_-]{11})', 1)
+  WHEN regexp_matches(url, '^https://tu\.example/[A-Za-z0-9_-]{11}([?/].*)?$') THEN regexp_extract(url, 'tu\.example/([A-Za-z0-9_-]{11})', 1)
+  WHEN regexp_matches(url, '^https://(www\.|m\.)?tube\.example/(shorts|embed|live)/[A-Za-z0-9_-]{11}/?([?].*)?$') THEN regexp_extract(url, '/([A-Za-z0-9_-]{11})', 1) END AS found FROM dataset""")
+def url_video_id(spark, sf):
+    return table(spark, sf, "dataset").select("line_no", X.video_id_of(F.col("url"), HOSTS, SHORT_HOSTS).alias("found"))
+
+
+@query(r"""SELECT doc_id, nullif(regexp_extract(text, 'url:\s+"https://tube\.example/watch\?v=([^"]+)"', 1), '') AS found FROM documents""")
+def document_identity(spark, sf):
+    return table(spark, sf, "documents").select("doc_id", X.document_video_id(F.col("text"), HOST).alias("found"))
+
+
+@query(r"""SELECT line_no, published, regexp_matches(published, '^\d{4}-\d{2}-\d{2}$') AND try_cast(published AS DATE) IS NOT NULL AS valid,
+  replace(coalesce(published, ''), '-', '') AS compact, CASE WHEN len(replace(published, '-', '')) = 8 THEN substr(replace(published, '-', ''), 1, 4) || '-' || substr(replace(published, '-', ''), 5, 2) || '-' || substr(replace(published, '-', ''), 7, 2) ELSE coalesce(replace(published, '-', ''), '') END AS restored FROM dataset""")
+def published_dates(spark, sf):
+    compact = F.replace(F.col("published"), F.lit("-"), F.lit(""))
+    return table(spark, sf, "dataset").select("line_no", "published", X.is_date(F.col("published")).alias("valid"), F.coalesce(compact, F.lit("")).alias("compact"), X.upload_date(compact).alias("restored"))
+
+
+# --- ordered operators -----------------------------------------------------------------------------------------------
+
+_SEGS = """s0 AS (SELECT line_no, unnest(range(len(transcript_segments))) AS pos, unnest(transcript_segments) AS x FROM dataset),
+  s AS (SELECT line_no, pos, x.text AS text, x.start AS start, x.duration AS duration FROM s0),
+  g AS (SELECT line_no, pos, text, start, duration, start - lag(start + coalesce(duration, 0)) OVER (PARTITION BY line_no ORDER BY pos) AS gap FROM s)"""
+_THRESHOLD = f"""{_SEGS},
+  p AS (SELECT line_no, gap, row_number() OVER (PARTITION BY line_no ORDER BY gap) AS rn, count(*) OVER (PARTITION BY line_no) AS m FROM g WHERE gap > 0),
+  k AS (SELECT line_no, gap FROM p WHERE rn = floor(m * 0.8::DOUBLE) + 1),
+  n AS (SELECT line_no, count(*) AS n FROM s GROUP BY line_no),
+  th AS (SELECT n.line_no, CASE WHEN n < 10 OR gap IS NULL THEN 2.0::DOUBLE ELSE greatest(1.0::DOUBLE, least(8.0::DOUBLE, gap)) END AS threshold FROM n LEFT JOIN k USING (line_no))"""
+
+
+@query(f"WITH {_SEGS} SELECT line_no, pos::INT AS pos, gap FROM g WHERE gap IS NOT NULL")
+def segment_gaps(spark, sf):
+    d = table(spark, sf, "dataset").select("line_no", F.posexplode(segments.gaps(F.col("transcript_segments"))).alias("k", "gap"))
+    return d.select("line_no", (F.col("k") + 1).alias("pos"), "gap")
+
+
+@query(f"WITH {_THRESHOLD} SELECT line_no, threshold FROM th")
+def gap_threshold(spark, sf):
+    return table(spark, sf, "dataset").select("line_no", segments.gap_threshold(F.col("transcript_segments")).alias("threshold"))
+
+
+@query(f"WITH {_THRESHOLD} SELECT line_no, n.n, threshold FROM th JOIN n USING (line_no)")
+def gap_threshold_rows(spark, sf):
+    """The same rule over exploded rows, as windows."""
+    return segments.gap_rows(segments.long_form(table(spark, sf, "dataset"), "line_no"), "line_no", "pos", "start", "duration")
+
+
+_MARKS = f"""c0 AS (SELECT line_no, unnest(range(len(chapters))) AS i, unnest(chapters) AS x FROM dataset), c AS (SELECT line_no, i, x.title AS title, x.start_time AS start_time FROM c0),
+  m AS (SELECT line_no, row_number() OVER (PARTITION BY line_no ORDER BY start_time, i) - 1 AS marker, title, start_time FROM c WHERE coalesce(title, '') <> '' AND start_time IS NOT NULL)"""
+
+
+@query(f"""WITH {_SEGS}, {_MARKS}, n AS (SELECT line_no, count(*) AS n FROM s GROUP BY line_no)
+SELECT m.line_no, marker::INT AS marker, coalesce(min(pos), any_value(n))::INT AS "at" FROM m JOIN n USING (line_no) LEFT JOIN s ON s.line_no = m.line_no AND s.start >= m.start_time GROUP BY m.line_no, marker""")
+def chapter_positions(spark, sf):
+    d = table(spark, sf, "dataset")
+    marks = d.select("line_no", F.posexplode(segments.markers(F.col("chapters"))).alias("marker", "m")).select("line_no", "marker", F.col("m.start").alias("start_time"))
+    return segments.chapter_positions(segments.long_form(d, "line_no"), marks, "line_no")
+
+
+@query(rf"""WITH {_SEGS}, {_MARKS}, n AS (SELECT line_no, count(*) AS n FROM s GROUP BY line_no),
+  a AS (SELECT m.line_no, marker, any_value(title) AS title, any_value(start_time) AS start, coalesce(min(pos), any_value(n)) AS place FROM m JOIN n USING (line_no) LEFT JOIN s ON s.line_no = m.line_no AND s.start >= m.start_time GROUP BY m.line_no, marker),
+  u AS (SELECT line_no, place, 0 AS kind, marker AS k, '## ' || {_STRIP('title')} AS text, start, true AS is_heading FROM a
+        UNION ALL SELECT line_no, pos, 1, 0, text, start, false FROM s)
+SELECT line_no, (row_number() OVER (PARTITION BY line_no ORDER BY place, kind, k) - 1)::INT AS pos, text, start, is_heading FROM u""")
+def chapter_injection(spark, sf):
+    d = table(spark, sf, "dataset").select("line_no", F.posexplode(segments.inject_chapters(F.col("transcript_segments"), F.col("chapters"))).alias("pos", "e"))
+    return d.select("line_no", "pos", F.col("e.text").alias("text"), F.col("e.start").alias("start"), F.col("e.is_heading").alias("is_heading"))
+
+
+@query()
+def clean_transcripts(spark, sf):
+    """The whole cleaning fold: threshold, blocks, words and body of every line."""
+    return segments.clean(table(spark, sf, "dataset")).select("line_no", "video_id", "threshold", F.size("blocks").alias("n_blocks"), "prose_words", "cleaned")
+
+
+@query()
+def paragraph_blocks(spark, sf):
+    return segments.clean(table(spark, sf, "dataset")).select("line_no", F.posexplode("blocks").alias("block", "text"))
+
+
+_BLOCKS = rf"""b AS (SELECT doc_id, unnest(list_filter(list_transform(string_split(text, chr(10) || chr(10)), lambda x: {_STRIP('x')}), lambda x: x <> '')) AS t,
+    unnest(generate_series(1, len(list_filter(list_transform(string_split(text, chr(10) || chr(10)), lambda x: {_STRIP('x')}), lambda x: x <> '')))) AS idx FROM documents),
+  k AS (SELECT doc_id, idx, starts_with(t, '#') AS head, CASE WHEN starts_with(t, '#') THEN {_STRIP("regexp_replace(t, '^#+', '')")} ELSE t END AS t FROM b)"""
+
+
+@query(f"WITH {_BLOCKS} SELECT doc_id, (idx - 1)::INT AS idx, CASE WHEN head THEN 'heading' ELSE 'para' END AS kind, t AS text FROM k")
+def split_blocks(spark, sf):
+    d = table(spark, sf, "documents").select("doc_id", F.posexplode(chunks.split_blocks(F.col("text"))).alias("idx", "b"))
+    return d.select("doc_id", "idx", "b.kind", "b.text")
+
+
+@query(f"""WITH RECURSIVE {_BLOCKS}, w AS (SELECT *, {_N('t')} AS n FROM k),
+  f AS (SELECT doc_id, idx, t, head, CASE WHEN head THEN t END AS heading, CASE WHEN head THEN 0 ELSE n END AS words, 0 AS chunk, CASE WHEN head THEN false ELSE n >= 100 END AS full_now, n FROM w WHERE idx = 1
+   UNION ALL SELECT w.doc_id, w.idx, w.t, w.head, CASE WHEN w.head THEN w.t ELSE f.heading END, CASE WHEN w.head THEN 0 WHEN f.full_now THEN w.n ELSE f.words + w.n END,
+     f.chunk + CASE WHEN f.full_now OR (w.head AND NOT f.head AND NOT f.full_now) THEN 1 ELSE 0 END,
+     CASE WHEN w.head THEN false WHEN f.full_now THEN w.n >= 100 ELSE f.words + w.n >= 100 END, w.n FROM f JOIN w ON w.doc_id = f.doc_id AND w.idx = f.idx + 1),
+  c AS (SELECT doc_id, chunk, any_value(heading) AS heading, string_agg(t, chr(10) || chr(10) ORDER BY idx) AS text, sum(n) AS words FROM f WHERE NOT head GROUP BY doc_id, chunk)
+SELECT doc_id, (row_number() OVER (PARTITION BY doc_id ORDER BY chunk) - 1)::INT AS chunk_idx, heading, text, words::INT AS words FROM c""")
+def chunk_blocks(spark, sf):
+    """Documents in chunks of about a hundred words."""
+    return chunks.chunk_rows(table(spark, sf, "documents"), "doc_id", "text", 100)
+
+
+@query("""WITH l AS (SELECT video_id, idx, heading, summary, lag(heading) OVER (PARTITION BY video_id ORDER BY idx) AS before FROM sections WHERE heading IS NOT NULL AND heading <> '')
+SELECT video_id, string_agg(CASE WHEN heading IS DISTINCT FROM before THEN '## ' || heading || chr(10) || chr(10) ELSE '' END || coalesce(summary, ''), chr(10) || chr(10) ORDER BY idx) AS article FROM l GROUP BY video_id""")
+def heading_dedupe(spark, sf):
+    """Section texts in order, a heading once per run of equal headings."""
+    s = table(spark, sf, "sections").where("heading IS NOT NULL AND heading <> ''").select("video_id", F.col("idx").alias("chunk_idx"), "heading", F.coalesce("summary", F.lit("")).alias("summary"))
+    return chunks.assemble(s, "video_id", text="summary")
+
+
+_CONTENT = "list_distinct(list_filter(regexp_extract_all(lower(coalesce({0}, '')), '[a-z0-9][a-z0-9''\\-]*'), lambda w: len(w) > 3 AND NOT list_contains([{1}], w)))".replace("{1}", ", ".join(f"'{w}'" for w in sorted(set(X.STOPWORDS))))
+
+
+@query(rf"""WITH t AS (SELECT id, description AS a, summary AS b, {_CONTENT.replace('{0}', 'description')} AS x, {_CONTENT.replace('{0}', 'summary')} AS y FROM videos WHERE description IS NOT NULL AND summary IS NOT NULL),
+  r AS (SELECT id, b, CASE WHEN {_N('a')} > 0 THEN {_N('b')} / {_N('a')} ELSE 0.0 END AS ratio, CASE WHEN len(x) = 0 THEN 1.0 ELSE len(list_intersect(x, y)) / len(x) END AS retention FROM t)
+SELECT id, ratio, retention, CASE WHEN {_STRIP('b')} = '' THEN 'empty output' WHEN ratio < 0.55 THEN printf('too short (ratio %.2f < 0.55)', ratio)
+  WHEN ratio > 1.6 THEN printf('too long (ratio %.2f > 1.6)', ratio) WHEN retention < 0.72 THEN printf('dropped content (retention %.2f < 0.72)', retention) END AS failure FROM r""")
+def coverage_pairs(spark, sf):
+    """Summaries judged as rewrites of their descriptions."""
+    v = table(spark, sf, "videos").where("description IS NOT NULL AND summary IS NOT NULL")
+    ratio, retention = chunks.coverage(F.col("description"), F.col("summary"))
+    r = v.select("id", "summary", ratio.alias("ratio"), retention.alias("retention"))
+    return r.select("id", "ratio", "retention", chunks.coverage_failure(F.col("summary"), F.col("ratio"), F.col("retention")).alias("failure"))
+
+
+@query(f"SELECT doc_id, len({_CONTENT.replace('{0}', 'text')})::INT AS terms FROM documents")
+def content_words(spark, sf):
+    return table(spark, sf, "documents").select("doc_id", F.coalesce(F.size(X.content_words(F.coalesce("text", F.lit("")))), F.lit(0)).alias("terms"))
+
+
+@query(f"""WITH c AS (SELECT video_id, {_N('description')} AS a, {_N('summary')} AS b, coalesce(enrichment_status = 'failed', false) AS fell FROM videos)
+SELECT video_id, count(*) AS chunks, count(*) FILTER (WHERE fell) AS fallbacks, sum(a)::BIGINT AS words_in, sum(b)::BIGINT AS words_out, CASE WHEN sum(a) > 0 THEN sum(b) / sum(a) ELSE 0.0 END AS ratio FROM c GROUP BY video_id""")
+def rewrite_totals(spark, sf):
+    v = table(spark, sf, "videos").select("video_id", F.col("description").alias("source"), F.col("summary").alias("output"), F.coalesce(F.col("enrichment_status") == "failed", F.lit(False)).alias("fallback"))
+    return chunks.rewrite_totals(v, "video_id")
+
+
+# --- pasted transcripts ----------------------------------------------------------------------------------------------
+
+_LINES = r"""l AS (SELECT doc_id, unnest(string_split(regexp_replace(text, '\r\n|\r', chr(10), 'g'), chr(10))) AS line,
+    unnest(generate_series(0, len(string_split(regexp_replace(text, '\r\n|\r', chr(10), 'g'), chr(10))) - 1)) AS pos FROM documents),
+  k AS (SELECT *, regexp_matches(line, '^\s*(?:\d{1,3}:)?\d{1,2}:\d{2}(?:[.,]\d{1,3})?\s*-->\s*(?:\d{1,3}:)?\d{1,2}:\d{2}') AS is_cue,
+    regexp_matches(line, '^\s*\[?\(?(?:\d{1,3}:)?\d{1,2}:\d{2}(?:[.,]\d{1,3})?\)?\]?\s*.*$') AS is_stamp, trim(line, E' \t\n\r\f\v') = '' AS blank FROM l)"""
+
+
+@query(f"""WITH {_LINES} SELECT doc_id AS key, CASE WHEN bool_or(is_cue) THEN 'cues' WHEN bool_or(is_stamp) THEN 'stamped' WHEN bool_or(NOT blank) THEN 'prose' ELSE 'empty' END AS style FROM k GROUP BY doc_id
+UNION ALL SELECT doc_id, 'empty' FROM documents WHERE text IS NULL""")
+def pasted_styles(spark, sf):
+    return pasted.styles(table(spark, sf, "documents"), "doc_id", "text")
+
+
+@query(rf"""WITH {_LINES},
+  r AS (SELECT doc_id, pos, line, is_stamp, sum(is_stamp::INT) OVER (PARTITION BY doc_id ORDER BY pos) AS grp FROM k WHERE NOT blank),
+  p AS (SELECT doc_id, grp, pos, is_stamp, {_STRIP(r"CASE WHEN is_stamp THEN regexp_replace(line, '^\s*\[?\(?(?:\d{1,3}:)?\d{1,2}:\d{2}(?:[.,]\d{1,3})?\)?\]?\s*', '') ELSE line END")} AS part,
+     regexp_extract(line, '((?:\d{{1,3}}:)?\d{{1,2}}:\d{{2}})', 1) AS stamp FROM r WHERE grp > 0),
+  h AS (SELECT doc_id, grp, list_reduce(list_transform(string_split(stamp, ':'), lambda x: x::DOUBLE), lambda a, x: a * 60 + x) AS start FROM p WHERE is_stamp),
+  t AS (SELECT doc_id, grp, string_agg(part, ' ' ORDER BY pos) AS text FROM p WHERE part <> '' GROUP BY doc_id, grp),
+  j AS (SELECT t.doc_id, t.grp, text, start, lead(start) OVER (PARTITION BY t.doc_id ORDER BY t.grp) AS nxt FROM t JOIN h ON h.doc_id = t.doc_id AND h.grp = t.grp)
+SELECT doc_id AS key, grp AS "at", start, CASE WHEN nxt IS NOT NULL THEN round(greatest(0.1::DOUBLE, nxt - start), 3) ELSE 3.0::DOUBLE END AS duration, text FROM j""")
+def pasted_stamped(spark, sf):
+    """Documents read as stamped lines."""
+    return pasted.stamped_segments(table(spark, sf, "documents"), "doc_id", "text")
+
+
+@query()
+def pasted_prose(spark, sf):
+    """Descriptions read as prose with a made-up clock."""
+    return pasted.prose_segments(table(spark, sf, "videos"), "id", "description")
+
+
+@query()
+def pasted_parse(spark, sf):
+    """Every document in its own style."""
+    return pasted.parse_pasted(table(spark, sf, "documents"), "doc_id", "text")
+
+
+# --- records, joins --------------------------------------------------------------------------------------------------
+
+
+@query("""SELECT video_id, arg_max(line_no, line_no) AS line_no, arg_max(title, line_no) AS title, min(line_no) AS first_at FROM dataset WHERE coalesce(video_id, '') <> '' GROUP BY video_id""")
+def last_record(spark, sf):
+    return records.last_wins(table(spark, sf, "dataset").select("video_id", "line_no", F.col("title")), "video_id", "line_no").select("video_id", "line_no", "title", "first_at")
+
+
+@query("""SELECT video_id, min(line_no) AS line_no, arg_min(title, line_no) AS title FROM dataset WHERE coalesce(video_id, '') <> '' GROUP BY video_id""")
+def first_record(spark, sf):
+    return records.first_wins(table(spark, sf, "dataset").select("video_id", "line_no", "title"), "video_id", "line_no").select("video_id", "line_no", "title")
+
+
+@query("SELECT line_no, " + ", ".join(f"coalesce({c}, '') AS {c}" for c in ("video_id", "url", "title", "channel", "published", "description", "created_at")) + " FROM dataset")
+def record_metadata(spark, sf):
+    return records.metadata(table(spark, sf, "dataset"))
+
+
+@query("SELECT line_no, " + ", ".join(f"coalesce({c}, '') AS {c}" for c in ("video_id", "title", "channel", "published", "url")) + ", coalesce(word_count, 0) AS word_count FROM dataset")
+def newest_first(spark, sf):
+    return records.newest_first(table(spark, sf, "dataset"))
+
+
+@query("""WITH i AS (SELECT video_id, max(line_no) AS line_no FROM dataset GROUP BY video_id)
+SELECT v.video_id, line_no, CASE WHEN line_no IS NULL THEN 'failed' ELSE 'ready' END AS outcome FROM videos v LEFT JOIN i USING (video_id)
+WHERE status IN ('cleaned', 'ingested') AND enrichment_status IN ('pending', 'failed')""")
+def queue_lookup(spark, sf):
+    """The whole enrichment queue with its records."""
+    index = records.last_wins(table(spark, sf, "dataset").select("video_id", "line_no"), "video_id", "line_no").select("video_id", "line_no")
+    return records.queue_lookup(registry.pending(table(spark, sf, "videos"), "enrichment_status").select("video_id"), index, "video_id")
+
+
+@query("""SELECT video_id, strftime(created_at, '%Y-%m-%d %H:%M:%S') AS created_at FROM videos WHERE status IN ('cleaned', 'ingested') AND rewrite_status IN ('pending', 'failed') ORDER BY videos.created_at NULLS LAST, video_id LIMIT 50""")
+def fifo_queue(spark, sf):
+    """A worker's batch of fifty, the oldest first."""
+    return registry.pending(table(spark, sf, "videos"), "rewrite_status", 50).select("video_id", F.date_format("created_at", "yyyy-MM-dd HH:mm:ss").alias("created_at"))
+
+
+@query("SELECT line_no, video_id FROM dataset d WHERE NOT EXISTS (SELECT 1 FROM videos v WHERE v.video_id = d.video_id)")
+def unregistered_records(spark, sf):
+    return records.unseen(table(spark, sf, "dataset").select("line_no", "video_id"), table(spark, sf, "videos"), "video_id")
+
+
+@query("SELECT id, video_id FROM processing_runs r WHERE NOT EXISTS (SELECT 1 FROM videos v WHERE v.video_id = r.video_id)")
+def orphan_runs(spark, sf):
+    return records.orphans(table(spark, sf, "processing_runs").select("id", "video_id"), table(spark, sf, "videos"), "video_id")
+
+
+@query("""WITH s AS (SELECT video_id, list(struct_pack(heading := heading, summary := summary) ORDER BY idx) AS s FROM sections GROUP BY video_id),
+  c AS (SELECT video_id, arg_max(chapters, line_no) AS c FROM dataset GROUP BY video_id),
+  j AS (SELECT video_id, s, c, len(s) = len(c) AND len(s) > 0 AS fits FROM s JOIN c USING (video_id))
+SELECT video_id, unnest(generate_series(0, len(s) - 1))::INT AS idx, unnest(list_transform(s, lambda x: x.heading)) AS heading,
+  unnest(list_transform(s, lambda x, i: CASE WHEN fits THEN c[i].start_time END)) AS start_ts, unnest(list_transform(s, lambda x, i: CASE WHEN fits THEN c[i].end_time END)) AS end_ts FROM j""")
+def timed_sections(spark, sf):
+    """Sections with the chapters' times, where there are as many of both."""
+    s = table(spark, sf, "sections").groupBy("video_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("idx", "heading", "summary"))), lambda x: F.struct(x["heading"].alias("heading"), x["summary"].alias("summary"))).alias("s"))
+    c = records.last_wins(table(spark, sf, "dataset").select("video_id", "line_no", "chapters"), "video_id", "line_no").select("video_id", "chapters")
+    return records.timed_sections(s.join(c, "video_id"), "s", "chapters").select("video_id", F.explode("s").alias("x")).select("video_id", "x.idx", "x.heading", "x.start_ts", "x.end_ts")
+
+
+@query("""WITH d AS (SELECT video_id, arg_max(title, line_no) AS title, arg_max(channel, line_no) AS channel, arg_max(description, line_no) AS description FROM dataset GROUP BY video_id)
+SELECT v.video_id, coalesce(nullif(regexp_replace(v.title, '^\\s+|\\s+$', '', 'g'), ''), nullif(d.title, ''), v.video_id) AS title,
+  coalesce(nullif(regexp_replace(v.channel, '^\\s+|\\s+$', '', 'g'), ''), nullif(d.channel, ''), 'unknown_channel') AS channel FROM videos v LEFT JOIN d USING (video_id)""".replace("\\\\", "\\"))
+def merged_metadata(spark, sf):
+    """Registry values before staged ones before defaults."""
+    v = table(spark, sf, "videos").select("video_id", "title", "channel", F.col("published_date").cast("string").alias("published"), "description")
+    staged = records.last_wins(table(spark, sf, "dataset").select("video_id", "line_no", "title", "channel", "published", "description"), "video_id", "line_no")
+    return records.merged_metadata(v, staged, "video_id").select("video_id", "title", "channel")
+
+
+# --- registry --------------------------------------------------------------------------------------------------------
+
+_INCOMING = """i AS (SELECT video_id, arg_max(title, line_no) AS title, arg_max(description, line_no) AS description, arg_max(word_count, line_no) AS word_count, arg_max(md_path, line_no) AS raw_path,
+  arg_max(url, line_no) AS url, arg_max(channel, line_no) AS channel FROM dataset GROUP BY video_id)"""
+
+
+@query(f"""WITH {_INCOMING} SELECT coalesce(v.video_id, i.video_id) AS video_id, CASE WHEN i.video_id IS NULL THEN v.title ELSE i.title END AS title,
+  CASE WHEN i.video_id IS NULL THEN v.word_count ELSE i.word_count END AS word_count, CASE WHEN i.video_id IS NULL THEN v.status ELSE 'raw' END AS status,
+  CASE WHEN v.video_id IS NULL THEN i.raw_path ELSE coalesce(v.raw_path, i.raw_path) END AS raw_path, CASE WHEN v.video_id IS NULL THEN 'en' ELSE v.language END AS language,
+  CASE WHEN v.video_id IS NULL THEN i.channel ELSE v.channel END AS channel FROM videos v FULL JOIN i ON i.video_id = v.video_id""")
+def upsert_merge(spark, sf):
+    """The staged records merged into the registry; a repeated upsert moves a row back to raw."""
+    d = table(spark, sf, "dataset").select("video_id", "line_no", "title", "description", "word_count", "url", "channel", "channel_id", "published", F.col("md_path").alias("raw_path"))
+    incoming = records.last_wins(d, "video_id", "line_no").drop("line_no", "first_at").withColumn("status", F.lit("raw"))
+    return registry.upsert_videos(table(spark, sf, "videos"), incoming, F.lit(STAMP).cast("timestamp")).select("video_id", "title", "word_count", "status", "raw_path", "language", "channel")
+
+
+@query(f"""WITH {_INCOMING}, c AS (SELECT v.video_id, v.title AS t0, i.title AS t1, v.word_count AS w0, i.word_count AS w1 FROM videos v JOIN i USING (video_id))
+SELECT video_id, 'title' AS field_name, t0 AS old_value, t1 AS new_value FROM c UNION ALL SELECT video_id, 'word_count', w0::VARCHAR, w1::VARCHAR FROM c""")
+def audited_update(spark, sf):
+    """Audit rows of an update of titles and word counts, unchanged values included."""
+    d = table(spark, sf, "dataset").select("video_id", "line_no", "title", "word_count")
+    changes = records.last_wins(d, "video_id", "line_no").select("video_id", "title", "word_count")
+    return registry.update_videos(table(spark, sf, "videos"), changes, ["title", "word_count"], F.lit(STAMP).cast("timestamp"))[1].select("video_id", "field_name", "old_value", "new_value")
+
+
+@query("""WITH c AS (SELECT video_id, arg_max(chapters, line_no) AS c FROM dataset GROUP BY video_id),
+  i AS (SELECT video_id, unnest(generate_series(0, len(c) - 1))::INT AS idx, unnest(c, recursive := true) FROM c WHERE len(c) > 0)
+SELECT coalesce(s.video_id, i.video_id) AS video_id, coalesce(s.idx, i.idx) AS idx, CASE WHEN i.video_id IS NULL THEN s.heading ELSE i.title END AS heading,
+  CASE WHEN i.video_id IS NULL THEN s.start_ts ELSE i.start_time END AS start_ts FROM sections s FULL JOIN i ON i.video_id = s.video_id AND i.idx = s.idx""")
+def upsert_sections(spark, sf):
+    """Chapters merged into the sections by place; a longer old list keeps its tail."""
+    c = records.last_wins(table(spark, sf, "dataset").select("video_id", "line_no", "chapters"), "video_id", "line_no")
+    new = c.select("video_id", F.posexplode("chapters").alias("idx", "c")).select("video_id", "idx", F.col("c.title").alias("heading"), F.lit(None).cast("string").alias("summary"), F.col("c.start_time").alias("start_ts"), F.col("c.end_time").alias("end_ts"))
+    return registry.upsert_sections(table(spark, sf, "sections"), new).select("video_id", "idx", "heading", "start_ts")
+
+
+@query("""SELECT video_id, CASE WHEN EXISTS (SELECT 1 FROM processing_runs r WHERE r.video_id = v.video_id AND r.status = 'failed') THEN 'failed' ELSE enrichment_status END AS enrichment_status FROM videos v""")
+def queue_state(spark, sf):
+    """Videos with a failed run put back to failed."""
+    failed = table(spark, sf, "processing_runs").where("status = 'failed'").select("video_id")
+    return registry.set_state(table(spark, sf, "videos"), failed, "enrichment_status", "failed").select("video_id", "enrichment_status")
+
+
+@query("""SELECT video_id, strftime(scraped_at, '%Y-%m-%d %H:%M:%S') AS scraped_at FROM videos WHERE status = 'ingested' AND channel ILIKE '%tal%' AND topic IS NOT NULL ORDER BY videos.scraped_at DESC NULLS LAST, video_id LIMIT 50""")
+def search_channel(spark, sf):
+    """A search page by channel and status."""
+    return searching.search(table(spark, sf, "videos").where("topic IS NOT NULL"), channel="tal", status="ingested").select("video_id", F.date_format("scraped_at", "yyyy-MM-dd HH:mm:ss").alias("scraped_at"))
+
+
+@query("""SELECT video_id, tags::VARCHAR AS tags FROM videos WHERE list_contains(tags, 'redshift') ORDER BY scraped_at DESC NULLS LAST, video_id LIMIT 50""")
+def search_tags(spark, sf):
+    found = searching.search(table(spark, sf, "videos"), tags=["redshift"])
+    return found.select("video_id", F.concat(F.lit("["), F.array_join("tags", ", "), F.lit("]")).alias("tags"))
+
+
+@query()
+def search_text(spark, sf):
+    """Full text: every stemmed word of the query in title or description, the newest page."""
+    return searching.search(table(spark, sf, "videos"), query="measured diagrams").select("video_id", "title")
+
+
+@query("""SELECT video_id, status, enrichment_status,
+  CASE WHEN status = 'raw' OR status IS NULL THEN 'cleaned' ELSE status END AS new_status, coalesce(status = 'raw', true) AS audited,
+  CASE WHEN enrichment_status IN ('pending', 'failed', 'done') THEN enrichment_status ELSE 'pending' END AS new_queue, coalesce(enrichment_status IN ('pending', 'failed'), true) AS queued FROM videos""")
+def clean_transition(spark, sf):
+    """Registry rows after cleaning documents that were there already."""
+    t = transitions.clean_row(F.col("status"), F.col("enrichment_status"), F.lit(True), F.lit(False))
+    return table(spark, sf, "videos").select("video_id", "status", "enrichment_status", t["status"].alias("new_status"), t["audited"].alias("audited"), t["queue"].alias("new_queue"), t["queued"].alias("queued"))
+
+
+@query("""WITH x AS (SELECT video_id, status, clean_path, 'markdowns/' || video_id || '.md' AS dst FROM videos)
+SELECT video_id, CASE WHEN status IS NULL OR status NOT IN ('raw', 'cleaned', 'ingested', 'embedded') THEN 'error' WHEN status IN ('raw', 'cleaned') OR clean_path IS DISTINCT FROM dst THEN 'updated' ELSE 'unchanged' END AS outcome,
+  CASE WHEN status IN ('raw', 'cleaned') THEN 'ingested' ELSE status END AS new_status, CASE WHEN status IN ('raw', 'cleaned', 'ingested', 'embedded') THEN dst ELSE clean_path END AS new_path FROM x""")
+def ingest_transition(spark, sf):
+    dst = F.concat(F.lit("markdowns/"), F.col("video_id"), F.lit(".md"))
+    t = transitions.ingest_row(F.col("status"), F.col("clean_path"), dst, F.lit(False))
+    return table(spark, sf, "videos").select("video_id", t["outcome"].alias("outcome"), t["status"].alias("new_status"), t["clean_path"].alias("new_path"))
+
+
+@query(r"""WITH d AS (SELECT doc_id, video_id, nullif(regexp_extract(text, 'url:\s+"https://www\.youtube\.com/watch\?v=([^"]+)"', 1), '') AS owner FROM documents WHERE video_id IS NOT NULL)
+SELECT doc_id, CASE WHEN owner IS DISTINCT FROM video_id THEN 'error' ELSE 'skipped' END AS outcome FROM d""")
+def identity_gate(spark, sf):
+    """Documents held against the video they are filed under."""
+    d = table(spark, sf, "documents").where("video_id IS NOT NULL").select("doc_id", "video_id", F.col("doc_id").cast("string").alias("path"), F.col("text").alias("content"))
+    rows = d.select("doc_id", "video_id", "path", F.lit("x").alias("cleaned"))
+    return transitions.clean_outcomes(rows, d.select("path", "content")).select("doc_id", "outcome")
+
+
+@query("SELECT coalesce(status, 'none') AS outcome, count(*) AS n FROM videos GROUP BY ALL")
+def outcome_counts(spark, sf):
+    return records.outcome_counts(table(spark, sf, "videos").select(F.coalesce("status", F.lit("none")).alias("outcome")))
+
+
+# --- failures and models ---------------------------------------------------------------------------------------------
+
+
+@query("""SELECT coalesce(error, 'unknown') AS reason, count(*) AS failures, count(*) FILTER (WHERE error IN ('timeout', 'connection reset')) AS transient FROM processing_runs WHERE status = 'failed' GROUP BY ALL""")
+def failure_counts(spark, sf):
+    r = table(spark, sf, "processing_runs").where("status = 'failed'").select(F.coalesce("error", F.lit("unknown")).alias("reason"), F.coalesce(F.col("error").isin("timeout", "connection reset"), F.lit(False)).alias("transient"))
+    return resilience.failure_counts(r)
+
+
+@query("""WITH a AS (SELECT model, video_id, count(*) AS n, count(*) FILTER (WHERE status = 'success') AS ok, sum(duration_ms) AS ms, count(duration_ms) AS timed FROM processing_runs GROUP BY ALL)
+SELECT model, sum(n)::BIGINT AS runs, sum(ok)::BIGINT AS ok, (sum(n) - sum(ok))::BIGINT AS failed, (sum(ms) / sum(timed) / 1000)::DOUBLE AS avg_seconds, (sum(ms) / 1000)::DOUBLE AS total_seconds, count(*) FILTER (WHERE n > 1) AS retried FROM a GROUP BY model""")
+def model_report(spark, sf):
+    return resilience.model_report(table(spark, sf, "processing_runs"))
+
+
+@query(f"""WITH r AS (SELECT model, sum({_N('v.summary')})::BIGINT AS tokens, sum(r.duration_ms::BIGINT * 1000000)::BIGINT AS ns FROM processing_runs r JOIN videos v USING (video_id) WHERE r.status = 'success' GROUP BY model)
+SELECT model, tokens, CASE WHEN tokens > 0 AND ns > 0 THEN tokens / (ns / 1e9) END AS per_second FROM r""")
+def tokens_per_second(spark, sf):
+    v = table(spark, sf, "videos").select("video_id", X.word_count(F.col("summary")).alias("n"))
+    runs = table(spark, sf, "processing_runs").where("status = 'success'").select("video_id", "model", "duration_ms")
+    r = runs.join(v, "video_id").groupBy("model").agg(F.sum("n").alias("tokens"), F.sum(F.col("duration_ms").cast("long") * 1000000).alias("ns"))
+    return r.select("model", "tokens", resilience.tokens_per_second(F.col("tokens"), F.col("ns")).alias("per_second"))
+
+
+@query("""WITH r AS (SELECT id, model || ' ' || strftime(created_at, '%Y-%m') AS run, CASE WHEN error = 'timeout' OR error = 'connection reset' THEN 'blocked' WHEN duration_ms IS NULL THEN 'skipped' ELSE status END AS outcome FROM processing_runs),
+  a AS (SELECT *, sum(CASE WHEN outcome IN ('blocked', 'skipped') THEN 0 ELSE 1 END) OVER (PARTITION BY run ORDER BY id) AS island FROM r),
+  b AS (SELECT *, sum((outcome = 'blocked')::INT) OVER (PARTITION BY run, island ORDER BY id) AS run_length FROM a),
+  c AS (SELECT *, sum((outcome = 'blocked' AND run_length >= 3)::INT) OVER (PARTITION BY run ORDER BY id) AS hits FROM b)
+SELECT id, run, outcome, run_length::BIGINT AS run_length, hits = 1 AS aborted FROM c WHERE hits = 0 OR (hits = 1 AND outcome = 'blocked' AND run_length = 3)""")
+def circuit_breaker(spark, sf):
+    """Runs of each model and month up to the third block in a row."""
+    outcome = F.when(F.col("error").isin("timeout", "connection reset"), "blocked").when(F.col("duration_ms").isNull(), "skipped").otherwise(F.col("status"))
+    r = table(spark, sf, "processing_runs").select("id", F.concat_ws(" ", "model", F.date_format("created_at", "yyyy-MM")).alias("run"), outcome.alias("outcome"))
+    return resilience.circuit_breaker(r, "run", "id", "outcome").select("id", "run", "outcome", "run_length", "aborted")
+
+
+@query("SELECT i AS attempt, least(5.0 * power(3.0, i), 300.0)::DOUBLE AS seconds FROM generate_series(0, 5) t(i)")
+def backoff(spark, sf):
+    return spark.range(6).select(F.col("id").alias("attempt"), resilience.backoff_seconds(F.col("id")).alias("seconds"))
+
+
+# --- logs and streams ------------------------------------------------------------------------------------------------
+
+
+@query("""WITH n AS (SELECT event_id, user_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS seq, count(*) OVER (PARTITION BY user_id) AS m FROM events)
+SELECT event_id, user_id, event_type, seq FROM n WHERE seq > m - 20""")
+def log_tail(spark, sf):
+    """Events as numbered log lines, the newest twenty of each user."""
+    return records.last_lines(records.numbered(table(spark, sf, "events").select("event_id", "user_id", "event_type", "ts"), "user_id", "ts", "event_id"), "user_id", "seq", 20).drop("ts")
+
+
+@query("SELECT event_id, user_id FROM events WHERE event_id > 500")
+def log_resume(spark, sf):
+    return records.resume_after(table(spark, sf, "events").select("event_id", "user_id"), "event_id", X.last_seq(F.lit(" 500 ")))
+
+
+@query("""WITH d AS (SELECT id, status, created_at, row_number() OVER (ORDER BY created_at DESC, id DESC) AS rn FROM processing_runs WHERE status <> 'failed')
+SELECT id AS job_id FROM d WHERE rn <= 20 UNION ALL SELECT id FROM processing_runs WHERE status = 'failed'""")
+def retained_jobs(spark, sf):
+    """Jobs kept: the open ones (here the failed runs) and the newest twenty of the finished."""
+    r = table(spark, sf, "processing_runs").select(F.col("id").alias("job_id"), F.when(F.col("status") == "failed", "running").otherwise(F.col("status")).alias("status"), F.col("created_at").alias("started"))
+    return records.retained_jobs(r, DEFAULTS.finished_jobs).select("job_id")
+
+
+@query("SELECT date_trunc('hour', ts) AS window_start, event_type, count(*) AS events FROM events GROUP BY ALL")
+def event_windows(spark, sf):
+    """Hourly counts by the plan that also runs as a stream."""
+    return jobs.windowed_counts(table(spark, sf, "events"), "ts", "event_type").withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+
+
+def _streamed(spark: SparkSession, df: DataFrame) -> DataFrame:
+    from cuemill.runtime import checkpoint_dir
+
+    base = checkpoint_dir(spark).removeprefix("file:")
+    folder = tempfile.mkdtemp(prefix="stream-", dir=base) if __import__("os").path.isdir(base) else f"{base}/stream"
+    query_ = df.writeStream.outputMode("append").format("parquet").option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start(f"{folder}/out")
+    query_.awaitTermination()
+    return spark.read.schema(df.schema).parquet(f"{folder}/out")
+
+
+@query("SELECT event_type, count(*) AS events, sum(value) AS value FROM events GROUP BY ALL")
+def stream_totals(spark, sf):
+    """Events read as a file stream, drained once, then summed."""
+    source = jobs.stream_table(spark, f"{sf}/events.parquet").select("event_type", "value")
+    return _streamed(spark, source).groupBy("event_type").agg(F.count("*").alias("events"), F.sum("value").alias("value"))
+
+
+@query("""WITH g AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL 6 HOUR THEN 0 ELSE 1 END AS fresh FROM events),
+  s AS (SELECT user_id, ts, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM g)
+SELECT user_id, min(ts) AS started, count(*) AS events FROM s GROUP BY user_id, k""")
+def event_sessions(spark, sf):
+    return jobs.sessions(table(spark, sf, "events"), "user_id", "ts", "6 hours").withColumn("started", F.col("started").cast("timestamp_ntz"))
+
+
+# --- documents and models --------------------------------------------------------------------------------------------
+
+
+def _meta(prefix: str = "") -> dict:
+    return {c: F.col(prefix + c) for c in ("title", "channel", "published", "url", "created_at", "description")}
+
+
+_FRONT = rf"""'---' || chr(10) || 'title: "' || {_ESC("coalesce(title, '')")} || '"' || chr(10) || 'channel: "' || {_ESC("coalesce(channel, '')")} || '"' || chr(10) || 'published: "' || coalesce(published, '') || '"' || chr(10) || 'url: "' || coalesce(url, '') || '"' || chr(10)"""
+_CREATED = """CASE WHEN coalesce(created_at, '') <> '' THEN 'created_at: "' || created_at || '"' || chr(10) ELSE '' END"""
+_BLOCK = lambda c: rf"""CASE WHEN {_STRIP(f"coalesce({c}, '')")} = '' THEN '""' ELSE '|' || chr(10) || '  ' || regexp_replace({_STRIP(c)}, '\r\n|[\n\r\x0b\f\x1c\x1d\x1e\x{{85}}\x{{2028}}\x{{2029}}]', chr(10) || '  ', 'g') END"""
+
+
+@query(rf"""SELECT line_no, {_FRONT} || {_CREATED} || 'description: ' || {_BLOCK('description')} || chr(10) || '---' || chr(10) || chr(10) || '## Transcript' || chr(10) || chr(10) || coalesce(transcript_text, '') || chr(10) AS document FROM dataset""")
+def render_clean(spark, sf):
+    return table(spark, sf, "dataset").select("line_no", render.clean_markdown(_meta(), F.coalesce("transcript_text", F.lit(""))).alias("document"))
+
+
+@query(rf"""WITH {_SEGS}, t AS (SELECT line_no, string_agg(CASE WHEN trunc(start)::BIGINT // 3600 <> 0 THEN printf('[%02d:%02d:%02d]', trunc(start)::BIGINT // 3600, trunc(start)::BIGINT % 3600 // 60, trunc(start)::BIGINT % 60)
+    ELSE printf('[%02d:%02d]', trunc(start)::BIGINT // 60, trunc(start)::BIGINT % 60) END || ' ' || {_STRIP("replace(coalesce(text, ''), chr(10), ' ')")}, chr(10) ORDER BY pos) || chr(10) AS body FROM s GROUP BY line_no)
+SELECT d.line_no, {_FRONT} || 'description: ' || {_BLOCK('description')} || chr(10) || '---' || chr(10) || chr(10) || '## Transcript' || chr(10) || chr(10) || coalesce(body, '') AS document FROM dataset d LEFT JOIN t USING (line_no)""")
+def render_raw(spark, sf):
+    """One stamped line per segment."""
+    return table(spark, sf, "dataset").select("line_no", render.raw_markdown(_meta(), F.col("transcript_segments")).alias("document"))
+
+
+def _enriched(spark: SparkSession, sf: str) -> DataFrame:
+    v = table(spark, sf, "videos").withColumn("published", F.date_format("published_date", "yyyy-MM-dd")).withColumn("created_at", X.iso_stamp(F.col("created_at")))
+    blank = F.array().cast("array<struct<heading:string,summary:string>>")
+    e = F.struct("summary", "key_concepts", "domains", "difficulty", "content_kind", blank.alias("sections"))
+    return v.withColumn("e", F.when(F.col("summary").isNotNull(), e))
+
+
+_FLOW = lambda c: rf"""CASE WHEN len(coalesce({c}, [])) = 0 THEN '[]' ELSE '["' || array_to_string(list_transform({c}, lambda x: {_ESC("x")}), '", "') || '"]' END"""
+_V = "v AS (SELECT * REPLACE (strftime(created_at, '%Y-%m-%dT%H:%M:%S+00:00') AS created_at), strftime(published_date, '%Y-%m-%d') AS published FROM videos)"
+_E = rf"""CASE WHEN summary IS NULL THEN '' ELSE 'difficulty: "' || coalesce(difficulty, '') || '"' || chr(10) || 'content_kind: "' || coalesce(content_kind, '') || '"' || chr(10) || 'domains: ' || {_FLOW('domains')} || chr(10) || 'key_concepts: ' || {_FLOW('key_concepts')} || chr(10) || 'summary: ' || {_BLOCK('summary')} || chr(10) END"""
+_HEAD = rf"""{_FRONT} || {_CREATED} || {_E} || 'description: ' || {_BLOCK('description')} || chr(10) || '---' || chr(10) || chr(10)"""
+_PARTS = rf"""CASE WHEN {_STRIP("coalesce(summary, '')")} = '' THEN '' ELSE '## Summary' || chr(10) || chr(10) || {_STRIP('summary')} || chr(10) || chr(10) END || CASE WHEN summary IS NULL OR len(coalesce(key_concepts, [])) = 0 THEN '' ELSE '## Key Concepts' || chr(10) || chr(10) || '- ' || array_to_string(key_concepts, chr(10) || '- ') || chr(10) || chr(10) END"""
+
+
+@query(rf"""WITH {_V} SELECT id, {_HEAD} || {_PARTS} || '## Transcript' || chr(10) || chr(10) || coalesce(notes, '') || chr(10) AS document FROM v""")
+def render_knowledge(spark, sf):
+    v = _enriched(spark, sf)
+    return v.select("id", render.knowledge_doc(_meta(), F.coalesce("notes", F.lit("")), F.col("e")).alias("document"))
+
+
+@query(rf"""WITH {_V} SELECT id, {_HEAD} || {_PARTS} || '## Article' || chr(10) || chr(10) || coalesce(title, '') || chr(10) AS document FROM v""")
+def render_article(spark, sf):
+    v = _enriched(spark, sf)
+    return v.select("id", render.article_doc(_meta(), F.coalesce("title", F.lit("")), F.col("e")).alias("document"))
+
+
+@query(f"SELECT id, {_STRIP('title')} AS body FROM videos WHERE {_STRIP('title')} <> ''")
+def article_round_trip(spark, sf):
+    """Article bodies read back out of their documents."""
+    v = _enriched(spark, sf)
+    d = v.select("id", render.article_doc(_meta(), F.coalesce("title", F.lit("")), F.col("e")).alias("document"))
+    return d.select("id", X.article_body(F.col("document")).alias("body")).where("body IS NOT NULL")
+
+
+@query(f"""SELECT line_no, 13 AS keys, coalesce(video_id, '') AS video_id, coalesce(created_at, '') AS created_at, {_N('transcript_text')}::INT AS word_count, len(transcript_segments)::INT AS segments FROM dataset""")
+def json_records(spark, sf):
+    """Records as JSON lines, read back."""
+    meta = {c: F.col(c) for c in ("video_id", "created_at", "url", "title", "channel", "channel_id", "published", "description", "chapters")}
+    line = render.json_record(meta, F.col("transcript_segments"), F.col("transcript_text"), F.col("md_path"), F.lit(""))
+    d = table(spark, sf, "dataset").select("line_no", line.alias("j"))
+    r = d.select("line_no", F.size(F.json_object_keys("j")).alias("keys"), F.from_json("j", "video_id string, created_at string, word_count int, transcript_segments array<struct<text:string,start:double,duration:double>>").alias("r"))
+    return r.select("line_no", "keys", "r.video_id", "r.created_at", "r.word_count", F.size("r.transcript_segments").alias("segments"))
+
+
+@query(rf"""SELECT id, CASE WHEN lower(trim(difficulty)) IN ('beginner', 'intermediate', 'advanced') THEN lower(trim(difficulty)) ELSE 'intermediate' END AS difficulty,
+  CASE WHEN lower(trim(content_kind)) IN ('tutorial', 'lecture', 'talk', 'interview', 'explainer', 'news', 'other') THEN lower(trim(content_kind)) ELSE 'other' END AS content_kind,
+  array_to_string(list_filter(list_transform(coalesce(key_concepts, []), lambda x: {_STRIP('x')}), lambda x: x <> '')[1:8], '|') AS key_concepts,
+  array_to_string(list_transform(list_filter(list_transform(coalesce(domains, []), lambda x: {_STRIP('x')}), lambda x: x <> '')[1:4], lambda x: lower(x)), '|') AS domains FROM videos""")
+def enum_normalise(spark, sf):
+    e = F.struct("summary", "key_concepts", "domains", "difficulty", "content_kind", F.lit(None).cast("array<struct<heading:string,summary:string>>").alias("sections"))
+    v = table(spark, sf, "videos").select("id", enrich.normalised(e).alias("e"))
+    return v.select("id", "e.difficulty", "e.content_kind", F.array_join("e.key_concepts", "|").alias("key_concepts"), F.array_join("e.domains", "|").alias("domains"))
+
+
+@query()
+def rewrite_articles(spark, sf):
+    """Cleaned transcripts rewritten chunk by chunk by the deterministic model."""
+    d = segments.clean(table(spark, sf, "dataset")).where("cleaned IS NOT NULL")
+    c = d.select(F.col("line_no").cast("string").alias("video_id"), "title", chunks.chunk_blocks(chunks.split_blocks(F.col("cleaned"))).alias("chunks"))
+    return enrich.rewrite(c, enrich.EchoModel())
+
+
+@query()
+def enrich_records(spark, sf):
+    """Structured metadata by the deterministic model, normalised."""
+    d = table(spark, sf, "dataset").select(F.col("line_no").cast("string").alias("video_id"), "title", F.col("transcript_text").alias("body"))
+    return enrich.enrich(d, enrich.EchoModel()).select("video_id", "enrichment.summary", F.array_join("enrichment.key_concepts", "|").alias("key_concepts"), "enrichment.difficulty", "error", "model")

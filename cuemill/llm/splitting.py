@@ -21,12 +21,13 @@ from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cuemill.runtime import WHITE, cut, segment_texts, weighted_lookup
+from cuemill.runtime import WHITE, cut, weighted_lookup
 
 WORD = re.compile(f"[^{WHITE}]+")
+SEGMENTS = "array<struct<text:string,start:double,duration:double>>"
 
 
 @dataclass(frozen=True)
@@ -44,9 +45,33 @@ class SplitParams:
     pause: float = 3.0
 
 
-def word_total(segments: str) -> Column:
-    """Words of all segments together."""
-    return F.aggregate(segment_texts(segments), F.lit(0), lambda n, t: n + F.regexp_count(t, F.lit(f"[^{WHITE}]+")))
+def count_words(text: str) -> int:
+    """Runs free of white space. str.split agrees with the Unicode property but for four separators."""
+    if any(c in text for c in "\x1c\x1d\x1e\x1f"):
+        return len(WORD.findall(text))
+    return len(text.split())
+
+
+def oversized(lines: DataFrame, max_size: int) -> DataFrame:
+    """(line_no, video_id, texts, starts, durations) of the lines with more words than the limit."""
+    names = ["line_no", "video_id", "texts", "starts", "durations"]
+    kinds = [pa.int64(), pa.string(), pa.list_(pa.string()), pa.list_(pa.float64()), pa.list_(pa.float64())]
+
+    def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            segments = b.column(2)
+            inside, at = segments.values, segments.offsets.to_pylist()
+            gone = inside.is_null().to_pylist()
+            texts = ["" if t is None or n else t for t, n in zip(inside.field("text").to_pylist(), gone)]
+            long_ones = [i for i in range(b.num_rows) if sum(map(count_words, texts[at[i] : at[i + 1]])) > max_size]
+            starts, durations = (inside.field(f).to_pylist() if long_ones else [] for f in ("start", "duration"))
+            spans = [slice(at[i], at[i + 1]) for i in long_ones]
+            chosen = pa.array(long_ones, pa.int64())
+            columns = [b.column(0).take(chosen), b.column(1).take(chosen), *(pa.array([x[s] for s in spans], t) for x, t in zip((texts, starts, durations), kinds[2:]))]
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    kept = lines.select(F.col("line_no").cast("long"), F.coalesce("video_id", F.lit("")).alias("video_id"), F.coalesce("transcript_segments", F.array().cast(SEGMENTS)).alias("transcript_segments"))
+    return kept.mapInArrow(scan, "line_no long, video_id string, texts array<string>, starts array<double>, durations array<double>")
 
 
 def _similarity(a: Counter, b: Counter) -> float:
@@ -135,18 +160,11 @@ def split_lines(lines: DataFrame, sections: DataFrame, params: SplitParams = Spl
     """
     if not 0 <= params.overlap < params.max_size:
         raise ValueError("the overlap must be smaller than the limit")
-    long_ones = lines.select("line_no", "video_id", "transcript_segments").where(word_total("transcript_segments") > params.max_size)
-    texts = long_ones.select(
-        "line_no",
-        F.coalesce("video_id", F.lit("")).alias("video_id"),
-        segment_texts("transcript_segments").alias("texts"),
-        F.transform("transcript_segments", lambda s: s["start"]).alias("starts"),
-        F.transform("transcript_segments", lambda s: s["duration"]).alias("durations"),
-    )
+    texts = cut(oversized(lines, params.max_size))
     # one row per video, at most one time a second of its length
     times = sections.where("video_id IS NOT NULL AND start_ts IS NOT NULL").select("video_id", F.round("start_ts").alias("at")).distinct()
     times = times.groupBy("video_id").agg(F.sort_array(F.collect_list("at")).alias("sections"))
-    uses = long_ones.groupBy("video_id").agg(F.count("*").alias("uses"))
+    uses = texts.groupBy("video_id").agg(F.count("*").alias("uses"))
     times = cut(times.join(uses, "video_id"))
     joined = weighted_lookup(texts, times, ["video_id"], "uses", "left") if times.count() else texts.withColumn("sections", F.array().cast("array<double>"))
     names = ["line_no", "piece_no", "first_word", "n_words", "overlap_words", "cut", "text"]

@@ -58,9 +58,9 @@ class GarbleParams:
     several: float = 0.5
     single: float = 0.9
     #: Lead in log-likelihood that a run of six letters needs to count as a swapped word; shorter runs need less in proportion.
-    word_lead: float = 12.0
+    word_lead: float = 6.0
     #: Sources whose mappings are broadcast to the texts; beyond, they are joined by a shuffle.
-    broadcast_sources: int = 100_000
+    broadcast_sources: int = 10_000
 
 
 def _read(data: bytes, page: str) -> str:
@@ -216,7 +216,7 @@ def _statistics(docs: DataFrame) -> DataFrame:
             pairs += np.bincount(np.concatenate(codes), minlength=size * size)
         seen = np.flatnonzero(pairs)
         yield pa.RecordBatch.from_arrays(
-            [pa.array([""] * len(seen)), pa.array([""] * len(seen)), pa.array(seen // size, pa.int32()), pa.array(seen % size, pa.int32()), pa.array(pairs[seen], pa.int64())], names
+            [pa.array([""] * len(seen), pa.string()), pa.array([""] * len(seen), pa.string()), pa.array(seen // size, pa.int32()), pa.array(seen % size, pa.int32()), pa.array(pairs[seen], pa.int64())], names
         )
 
     return docs.mapInArrow(scan, "source string, symbol string, l int, r int, n long")
@@ -228,12 +228,48 @@ def _rows(contexts: Counter, names: list[str]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, names)
 
 
+def unswapped(pairs: np.ndarray, rounds: int = 20, meant_weight: float = 0.7) -> np.ndarray:
+    """Bigram counts without those of words whose letters were swapped as a whole.
+
+    Expectation-maximisation: each count is shared between "meant" and, for every swap, "written as its image", in proportion
+    to how often the image is meant and how common the swap is. "Meant" explains anything, so it weighs a little less:
+    counts that a swap explains as well leave, others stay.
+    """
+    a = alphabet()
+    maps = []
+    for table in _word_swaps()[1]:
+        m = np.full(len(pairs), -1)
+        m[: a.UNKNOWN] = np.arange(a.UNKNOWN)  # spaces, digits and signs stay
+        for read, written in table.items():
+            k = a.of.get(chr(read))
+            if k is not None and written in a.of:
+                m[k] = a.of[written]
+        maps.append(m)
+    counts = pairs.astype(float)
+    rows = np.flatnonzero(np.any([m >= 5 for m in maps], axis=0) | (np.arange(len(pairs)) < a.UNKNOWN))
+    at = np.ix_(rows, rows)
+    letters = np.add.outer(rows >= 5, rows >= 5) > 0
+    meant, rate = counts.copy(), [0.3] * len(maps)
+    for _ in range(rounds):
+        shares = []
+        for m, r in zip(maps, rate):
+            x = m[rows]
+            image = meant[np.ix_(np.maximum(x, 0), np.maximum(x, 0))]
+            shares.append(np.where(letters & (x >= 0)[:, None] & (x >= 0)[None, :], r * image, 0.0))
+        whole = meant_weight * meant[at] + sum(shares)
+        part = np.divide(counts[at], whole, out=np.zeros_like(whole), where=whole > 0)
+        # garbled mass over the mass of what it is an image of
+        rate = [min(1.0, r * float((part * x).sum()) / max(float(x.sum()), 1e-9)) for r, x in zip(rate, shares)]
+        meant[at] = meant_weight * meant[at] * part
+    return meant
+
+
 class Cipher:
     """The learned mapping: log-probabilities of letters by bigrams, and shares of each symbol's readings."""
 
     def __init__(self, pairs: np.ndarray, params: GarbleParams):
         self.params = params
-        self.base = pairs.astype(float)
+        self.base = unswapped(pairs)
         self.seen = self.base.sum(0)
         self.logs = self._model(self.base)
         self.shares: dict[str, dict[str, float]] = {}
@@ -323,7 +359,7 @@ def _word_swaps() -> tuple[re.Pattern, list[dict[int, str]]]:
                 continue
         tables.append(pairs)
         images |= {chr(c) for c in pairs}
-    return re.compile("[" + "".join(sorted(map(re.escape, images))) + "]{2,}"), tables
+    return re.compile("[" + "".join(sorted(map(re.escape, images))) + "]+"), tables
 
 
 def swapped_word(word: str, cipher: Cipher, memory: dict) -> tuple[str, float]:
@@ -347,10 +383,18 @@ def swapped_word(word: str, cipher: Cipher, memory: dict) -> tuple[str, float]:
 
 
 def whole_words(text: str, cipher: Cipher, memory: dict) -> tuple[str, int]:
-    """Undo swaps of whole words: three letters and a clear lead make a text suspect; its other words then follow."""
-    pattern = _word_swaps()[0]
+    """Undo swaps of whole words: one long word with a clear lead, or a line most of whose words lead, make a text suspect;
+    its other words then follow."""
+    pattern, need = _word_swaps()[0], cipher.params.word_lead
     runs = [(m.start(), m.end(), *swapped_word(m[0], cipher, memory)) for m in pattern.finditer(text)]
-    if not any(e - s >= 3 and lead >= cipher.params.word_lead * min(1.0, (e - s) / 6) for s, e, _, lead in runs):
+    suspect = any(e - s >= 3 and lead >= 2 * need * min(1.0, (e - s) / 6) for s, e, _, lead in runs)
+    if not suspect and any(lead > 1.0 for _, _, _, lead in runs):
+        lines: dict[int, list[float]] = defaultdict(list)
+        for s, e, _, lead in runs:
+            if e - s >= 3:
+                lines[text.count("\n", 0, s)].append(lead)
+        suspect = any(sum(x) >= 2 * need and sum(v > 0.5 for v in x) >= 0.6 * len(x) for x in lines.values())
+    if not suspect:
         return text, 0
     out, at, n = [], 0, 0
     for s, e, word, lead in runs:
@@ -399,14 +443,15 @@ def garbled(docs: DataFrame, params: GarbleParams = GarbleParams(), key: str = "
         m = shared.value
         contexts = list(zip(pdf["symbol"], pdf["l"], pdf["r"], pdf["n"]))
         shares = m.learn(contexts, prior=m.shares, iterations=3)
-        flat = [(s, c, p) for s, x in shares.items() if len(s) == 1 for c, p in x.items() if p > 1e-4]
+        flat = [(s, c, p) for s, x in shares.items() for c, p in x.items() if p > 1e-4]
         return pd.DataFrame({"source": [pdf["source"].iloc[0]], "mapping": [[{"s": s, "c": c, "p": p} for s, c, p in flat]]})
 
-    mapping = counts.where("symbol <> ''").groupBy("source").applyInPandas(own, "source string, mapping array<struct<s:string,c:string,p:double>>")
+    # a symbol of several characters means one letter everywhere; only single characters are read source by source
+    mapping = counts.where("char_length(symbol) = 1").groupBy("source").applyInPandas(own, "source string, mapping array<struct<s:string,c:string,p:double>>")
     mapping = cut(mapping)
     if mapping.count() <= params.broadcast_sources:
         mapping = F.broadcast(mapping)
-    suspects = rows.where(F.col("text").rlike(r"[^\x00-\x7f]")).join(mapping, "source")
+    suspects = rows.where(F.col("text").rlike(r"[^\x00-\x7f]")).join(mapping, "source", "left")
 
     def apply(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
@@ -417,7 +462,7 @@ def garbled(docs: DataFrame, params: GarbleParams = GarbleParams(), key: str = "
             for i, (doc, src, t) in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist())):
                 if src not in known:
                     shares = dict(m.shares)
-                    for x in maps[i].as_py():
+                    for x in maps[i].as_py() or []:
                         if x["s"] not in shares or shares[x["s"]] is m.shares.get(x["s"]):
                             shares[x["s"]] = {}
                         shares[x["s"]][x["c"]] = x["p"]

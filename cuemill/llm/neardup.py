@@ -104,13 +104,36 @@ def _buckets(prints: np.ndarray, params: NearDupParams, seed: int) -> np.ndarray
     return h.view(np.int64)
 
 
+def _marks(prints: np.ndarray) -> bytes:
+    """Four bits of every value: the short fingerprint whose Hamming distance is verified."""
+    bits = (prints >> np.uint32(28)).astype(np.uint8)
+    bits = np.append(bits, np.zeros(len(bits) % 2, np.uint8))
+    return (bits[::2] << np.uint8(4) | bits[1::2]).tobytes()
+
+
+#: Equal half bytes of two bytes, by their exclusive or.
+_EQUAL = np.array([(x < 16) + (x % 16 == 0) for x in range(256)], np.uint8)
+
+
+def _packed(shingles: np.ndarray) -> bytes:
+    """The low 40 bits of every hash: two sets of a thousand meet by chance with probability 1e-6."""
+    return np.unique(shingles & np.uint64(0xFFFFFFFFFF)).view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
+
+
+def _unpacked(raw: pa.Scalar) -> np.ndarray:
+    body = np.frombuffer(raw.as_buffer(), np.uint8).reshape(-1, 5)
+    out = np.zeros((len(body), 8), np.uint8)
+    out[:, :5] = body
+    return out.view(np.uint64).ravel()
+
+
 def _scan(texts: DataFrame, params: NearDupParams, verify: bool) -> DataFrame:
-    """One row per text with a shingle. For search: (field, key, id, blocks); for verification: (id, n, prints, shingles).
+    """One row per text with a shingle. For search: (field, key, id, n, marks, blocks); for verification: (id, shingles).
 
     ``id`` is a 64-bit hash of field and shingle set: equal sets are one class.
     """
-    names = ["id", "n", "prints", "shingles"] if verify else ["field", "key", "id", "blocks"]
-    kinds = [pa.int64(), pa.int32(), pa.binary(), pa.binary()] if verify else [pa.string(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
+    names = ["id", "shingles"] if verify else ["field", "key", "id", "n", "marks", "blocks"]
+    kinds = [pa.int64(), pa.binary()] if verify else [pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int64())]
 
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
@@ -125,10 +148,13 @@ def _scan(texts: DataFrame, params: NearDupParams, verify: bool) -> DataFrame:
                     continue
                 s = shingle_hashes(" ".join(p or "" for p in pieces[i].as_py() or []), params.width, words)
                 if len(s):
-                    raw, seed = s.tobytes(), xxhash.xxh3_64_intdigest(field)
-                    ident = xxhash.xxh3_64_intdigest(raw, seed) - 2**63
-                    prints = minhashes(s, params.blocks * params.rows)
-                    row = (ident, len(s), prints.tobytes(), raw) if verify else (field, key, ident, _buckets(prints, params, seed))
+                    seed = xxhash.xxh3_64_intdigest(field)
+                    ident = xxhash.xxh3_64_intdigest(s.tobytes(), seed) - 2**63
+                    if verify:
+                        row = (ident, _packed(s))
+                    else:
+                        prints = minhashes(s, params.blocks * params.rows)
+                        row = (field, key, ident, len(s), _marks(prints), _buckets(prints, params, seed))
                     for column, value in zip(out, row):
                         column.append(value)
                 if len(out[0]) >= 256:
@@ -136,7 +162,7 @@ def _scan(texts: DataFrame, params: NearDupParams, verify: bool) -> DataFrame:
                     out = [[] for _ in names]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds)], names)
 
-    schema = "id long, n int, prints binary, shingles binary" if verify else "field string, key long, id long, blocks array<long>"
+    schema = "id long, shingles binary" if verify else "field string, key long, id long, n int, marks binary, blocks array<long>"
     return texts.select("field", "key", "pieces").mapInArrow(scan, schema)
 
 
@@ -159,16 +185,20 @@ def _candidates(classes: DataFrame, params: NearDupParams) -> DataFrame:
 
 
 def _near(params: NearDupParams):
-    """Least share of equal fingerprint values of a pair at the threshold, with six standard deviations of slack."""
-    least = params.similarity - 6 * (params.similarity * (1 - params.similarity) / (params.blocks * params.rows)) ** 0.5
+    """Discards pairs whose sizes or fingerprints are too far apart, with five standard deviations of slack."""
+    count = params.blocks * params.rows
+    equal = params.similarity + (1 - params.similarity) / 16  # half bytes also agree by chance
+    least = equal - 5 * (equal * (1 - equal) / count) ** 0.5
 
     def hamming(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sizes = [np.asarray(b.column(i), np.int64) for i in (2, 3)]
             keep = np.minimum(*sizes) >= params.similarity * np.maximum(*sizes)
-            for i in np.flatnonzero(keep):
-                x, y = (np.frombuffer(b.column(c)[int(i)].as_buffer(), np.uint32) for c in (4, 5))
-                keep[i] = np.mean(x == y) >= least
+            if not b.num_rows:
+                continue
+            x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint8).reshape(-1, (count + 1) // 2) for c in (4, 5))
+            agree = _EQUAL[x ^ y].sum(axis=1, dtype=np.int64) - count % 2
+            keep &= agree >= least * count
             yield pa.RecordBatch.from_arrays([b.column(0).filter(pa.array(keep)), b.column(1).filter(pa.array(keep))], ["a", "b"])
 
     return hamming
@@ -179,7 +209,7 @@ def _exact(params: NearDupParams):
         for b in batches:
             keep, score = [], []
             for i in range(b.num_rows):
-                x, y = (np.frombuffer(b.column(c)[i].as_buffer(), np.uint64) for c in (2, 3))
+                x, y = (_unpacked(b.column(c)[i]) for c in (2, 3))
                 common = len(np.intersect1d(x, y, assume_unique=True))
                 j = common / (len(x) + len(y) - common)
                 if j >= params.similarity:
@@ -199,18 +229,21 @@ def near_duplicates(texts: DataFrame, params: NearDupParams = NearDupParams()) -
     """
     found = cut(_scan(texts, params, verify=False))
     members = found.select("field", "key", "id")
-    pairs = cut(_candidates(found.groupBy("id").agg(F.first("blocks").alias("blocks")), params))
-    # only the texts of candidates are read again, one for each class
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    classes = found.groupBy("id").agg(F.first(F.struct("n", "marks", "blocks")).alias("c"))
+    pairs = _candidates(classes.select("id", "c.blocks"), params)
+    short = found.select("id", "n", "marks").dropDuplicates(["id"])
+    side = lambda x: short.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}"), F.col("marks").alias(f"m_{x}"))
+    close = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "n_b", "m_a", "m_b")
+    close = cut(close.mapInArrow(_near(params), "a long, b long"))
+    # only the texts of close pairs are read again, one for each class
+    wanted = close.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     first = members.join(wanted, "id", "left_semi").groupBy("id").agg(F.min(F.struct("field", "key")).alias("at")).select("at.field", "at.key")
     first = cut(first)
     if first.count() <= params.broadcast_rows:
         first = F.broadcast(first)
     sets = cut(_scan(texts.join(first, ["field", "key"], "left_semi"), params, verify=True))
-    side = lambda x, c: sets.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}"), F.col(c).alias(f"{c}_{x}"))
-    close = pairs.join(side("a", "prints"), "a").join(side("b", "prints"), "b").select("a", "b", "n_a", "n_b", "prints_a", "prints_b")
-    close = close.mapInArrow(_near(params), "a long, b long")
-    full = close.join(side("a", "shingles"), "a").join(side("b", "shingles"), "b").select("a", "b", "shingles_a", "shingles_b")
+    part = lambda x: sets.select(F.col("id").alias(x), F.col("shingles").alias(f"s_{x}"))
+    full = close.join(part("a"), "a").join(part("b"), "b").select("a", "b", "s_a", "s_b")
     return members, full.mapInArrow(_exact(params), "a long, b long, similarity double")
 
 

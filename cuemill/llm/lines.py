@@ -22,8 +22,8 @@ STATE = "source string, line_key string, n long"
 
 
 def line_key(line: str | Column) -> Column:
-    """Letters and digits of a line; upper before lower, so that ß and SS agree."""
-    return F.regexp_replace(F.lower(F.upper(line)), r"[^\p{L}\p{Nd}]+", "")
+    """Letters and digits of a line in lower case; ß is ss, as its capital form is SS."""
+    return F.replace(F.regexp_replace(F.lower(line), r"[^\p{L}\p{Nd}]+", ""), F.lit("ß"), F.lit("ss"))
 
 
 def line_rows(docs: DataFrame, key: str, source: str, text: str) -> DataFrame:

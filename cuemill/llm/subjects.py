@@ -15,7 +15,9 @@ whose passages have no vector gets no subject; repeated rows count as one; ties
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
+import math
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -52,6 +54,8 @@ class SubjectParams:
     #: Documents a word must stand in, and occurrences from which a sentence may be a stock phrase.
     least_df: int = 4
     stock: int = 8
+    #: Share of the greatest possible gain below which such a sentence is one.
+    stock_gain: float = 0.13
     #: Hand labels used at most (documents, in order of a hash of their key); the only bounded sample.
     label_sample: int = 20_000
     #: Weight of seed words against hand labels, passages' worth of support that a subject needs, and its least share.
@@ -106,7 +110,7 @@ def subject_mixtures(videos: DataFrame, terms: DataFrame, areas: DataFrame, labe
     profiles = cut(cells.groupBy("word").agg(F.map_from_entries(F.collect_list(F.struct("term", "x"))).alias("m"), F.sum("c").alias("uses")).select("word", "uses", dense.alias("v")))
 
     by_sentence = passages.select("id", "sentence").distinct().join(domains, "id").groupBy("sentence", "term").agg(F.count("*").alias("c"))
-    stock = _information(by_sentence, "sentence", totals, everything, size).where(f"n >= {params.stock} AND gain < 0.5").select("sentence")
+    stock = _information(by_sentence, "sentence", totals, everything, size).where((F.col("n") >= params.stock) & (F.col("gain") < params.stock_gain * math.log(max(size, 2)))).select("sentence")
     live = passages.join(stock, "sentence", "left_anti").select("id", "passage", F.explode("words").alias("word"))
     summed = weighted_lookup(live, profiles, ["word"], "uses").groupBy("id", "passage").agg(Summarizer.sum(array_to_vector("v")).alias("v"))
     one_hot = F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda i: F.when(i == F.col("term"), 1.0).otherwise(0.0))

@@ -105,8 +105,8 @@ def _buckets(prints: np.ndarray, params: NearDupParams, seed: int) -> np.ndarray
 
 
 def _marks(prints: np.ndarray) -> bytes:
-    """Four bits of every value: the short fingerprint whose Hamming distance is verified."""
-    bits = (prints >> np.uint32(28)).astype(np.uint8)
+    """The low four bits of every value (a minimum's high bits are mostly zero): the short fingerprint whose Hamming distance is verified."""
+    bits = (prints & np.uint32(15)).astype(np.uint8)
     bits = np.append(bits, np.zeros(len(bits) % 2, np.uint8))
     return (bits[::2] << np.uint8(4) | bits[1::2]).tobytes()
 

@@ -72,6 +72,8 @@ class LeakIndex:
         self.weight = weight
         self.ids = [i for i, _ in texts]
         self.words = [np.array([self.vocab[x] for x in w], np.int32) for _, w in texts]
+        self.item_weights = [weight[w] for w in self.words]
+        self.seen = np.zeros(len(self.vocab) + 1, bool)  # scratch of verify
         need = [max(1, math.ceil(len(w) * params.share)) for _, w in texts]
         self.run = min([6, *(unchanged_run(n, params.changed) for n in need)]) if texts else 6
         rng = np.random.default_rng(7)
@@ -133,11 +135,16 @@ class LeakIndex:
         """Words of item k that the document holds as one passage near the shifts (document place minus item place)."""
         item = self.words[k]
         best = 0
-        for group in np.split(shifts, np.flatnonzero(np.diff(shifts) > 12) + 1):
-            lo, hi = max(0, group[0] - 8), min(len(doc), group[-1] + len(item) + 8)
+        groups = [shifts] if len(shifts) == 1 else np.split(shifts, np.flatnonzero(np.diff(shifts) > 12) + 1)
+        weights, seen = self.item_weights[k], self.seen
+        for group in groups:
+            lo, hi = max(0, int(group[0]) - 8), min(len(doc), int(group[-1]) + len(item) + 8)
             part = doc[lo:hi]
-            shared = np.isin(item, part)
-            if self.weight[item[shared]].sum() < self.params.similarity * self.weight[item].sum():
+            seen[part] = True
+            seen[0] = False
+            shared = weights[seen[item]].sum()
+            seen[part] = False
+            if shared < self.params.similarity * weights.sum():
                 continue
             for shift in group:
                 at = np.arange(max(0, -shift), min(len(item), len(doc) - shift))

@@ -17,6 +17,7 @@ of a letter are left alone; repeated rows are repeated.
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
@@ -273,6 +274,8 @@ class Cipher:
         self.seen = self.base.sum(0)
         self.logs = self._model(self.base)
         self.shares: dict[str, dict[str, float]] = {}
+        self.known: dict[tuple[str, int, int], dict[str, float]] = {}
+        self.first: dict[str, dict[str, float]] = {}
 
     def _model(self, counts: np.ndarray) -> np.ndarray:
         counts = np.maximum(counts, 0)
@@ -284,6 +287,12 @@ class Cipher:
         return logs
 
     def start(self, symbol: str) -> dict[str, float]:
+        """Shares before any evidence."""
+        if symbol not in self.first:
+            self.first[symbol] = self._start(symbol)
+        return self.first[symbol]
+
+    def _start(self, symbol: str) -> dict[str, float]:
         letters = symbols()[symbol]
         if symbol == LOST or "\x80" <= symbol <= "\x9f":
             return {c: 1 / len(letters) for c in letters} or {LOST: 1.0}
@@ -294,16 +303,22 @@ class Cipher:
         meant = 0.7 if len(symbol) == 1 else 0.02
         return {symbol: meant} | {c: (1 - meant) / len(letters) for c in letters}
 
+    def likelihood(self, symbol: str, l: int, r: int) -> dict[str, float]:
+        """Likelihood of the neighbours under every reading, relative to the best; kept, as it doesn't depend on the source."""
+        key = (symbol, l, r)
+        if key not in self.known:
+            scores = {}
+            for c in self.start(symbol):
+                k = _classes(c)
+                scores[c] = float(self.logs[l, k[0]] + self.logs[k[-1], r] + sum(self.logs[x, y] for x, y in zip(k, k[1:])))
+            top = max(scores.values())
+            self.known[key] = {c: math.exp(s - top) for c, s in scores.items()}
+        return self.known[key]
+
     def readings(self, symbol: str, l: int, r: int, shares: dict[str, float] | None = None) -> dict[str, float]:
         """Posterior of every reading of one occurrence; the symbol itself stands for "meant as it is"."""
         shares = shares or self.shares.get(symbol) or self.start(symbol)
-        scores = {}
-        for c, p in shares.items():
-            k = _classes(c)
-            score = self.logs[l, k[0]] + self.logs[k[-1], r] + sum(self.logs[x, y] for x, y in zip(k, k[1:]))
-            scores[c] = np.log(max(p, 1e-9)) + score
-        top = max(scores.values())
-        odds = {c: np.exp(s - top) for c, s in scores.items()}
+        odds = {c: max(shares.get(c, 0.0), 1e-9) * x for c, x in self.likelihood(symbol, l, r).items()}
         whole = sum(odds.values())
         return {c: o / whole for c, o in odds.items()}
 
@@ -325,7 +340,7 @@ class Cipher:
                             moved[l, q] -= n * p
                             moved[q, r] -= n * p
             if moved is not None:
-                self.logs = self._model(moved)
+                self.logs, self.known = self._model(moved), {}
             for s, own in counts.items():
                 before = (prior or {}).get(s) or self.start(s)
                 weight = self.params.prior if prior else 1.0

@@ -15,7 +15,7 @@ from cuemill.functions import text as X
 from cuemill.operators import chunks, enrich, pasted, records, registry, render, resilience, segments, transitions
 from cuemill.operators import search as searching
 from cuemill.params import DEFAULTS
-from cuemill.runtime import table
+from cuemill.runtime import table, weighted_lookup
 from cuemill.streaming import jobs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -658,3 +658,77 @@ def enrich_records(spark, sf):
     """Structured metadata by the deterministic model, normalised."""
     d = table(spark, sf, "dataset").select(F.col("line_no").cast("string").alias("video_id"), "title", F.col("transcript_text").alias("body"))
     return enrich.enrich(d, enrich.EchoModel()).select("video_id", "enrichment.summary", F.array_join("enrichment.key_concepts", "|").alias("key_concepts"), "enrichment.difficulty", "error", "model")
+
+
+# --- further operators over the same tables --------------------------------------------------------------------------
+
+
+@query("""WITH t AS (SELECT source AS k, doc_id AS pos, lang AS language, doc_kind IN ('captions', 'transcript') AS generated FROM documents WHERE lang IS NOT NULL AND source <> ''),
+  r AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY CASE WHEN language = 'de' THEN 0 WHEN NOT generated THEN 1 ELSE 2 END, pos) AS rn FROM t)
+SELECT k, pos, language, generated FROM r WHERE rn = 1""")
+def choose_track(spark, sf):
+    """One text of each source: German first, else the first written by hand, else the first generated."""
+    d = table(spark, sf, "documents").where("lang IS NOT NULL AND source <> ''")
+    d = d.select(F.col("source").alias("k"), F.col("doc_id").alias("pos"), F.col("lang").alias("language"), F.col("doc_kind").isin("captions", "transcript").alias("generated"))
+    return records.choose_track(d, "k", "de").select("k", "pos", "language", "generated")
+
+
+@query(r"""WITH d AS (SELECT coalesce(video_id, doc_id::VARCHAR) || '.md' AS path, doc_id, doc_kind, nullif(regexp_extract(text, 'url:\s+"https://www\.youtube\.com/watch\?v=([^"]+)"', 1), '') AS owner FROM documents),
+  s AS (SELECT path, arg_min(owner, doc_id) AS owner, min(doc_id) AS doc_id FROM d WHERE doc_kind = 'knowledge' GROUP BY path), t AS (SELECT DISTINCT path FROM d WHERE doc_kind = 'article')
+SELECT s.path, CASE WHEN owner IS NULL THEN 'error' WHEN t.path IS NOT NULL THEN 'keep' ELSE 'copy' END AS action FROM s LEFT JOIN t USING (path)""")
+def ingest_files(spark, sf):
+    """Knowledge documents held against the articles at the same paths."""
+    d = table(spark, sf, "documents").select(F.concat(F.coalesce("video_id", F.col("doc_id").cast("string")), F.lit(".md")).alias("path"), "doc_id", "doc_kind", F.col("text").alias("content"))
+    source = records.first_wins(d.where("doc_kind = 'knowledge'").select("path", "doc_id", "content"), "path", "doc_id")
+    target = records.first_wins(d.where("doc_kind = 'article'").select("path", "doc_id", "content"), "path", "doc_id")
+    return transitions.ingest_files(source, target).select("path", "action")
+
+
+@query(f"SELECT id, len(list_intersect({_CONTENT.replace('{0}', 'title')}, {_CONTENT.replace('{0}', 'description')}))::INT AS shared, len(list_filter({_CONTENT.replace('{0}', 'title')}, lambda w: NOT list_contains({_CONTENT.replace('{0}', 'description')}, w)))::INT AS missing FROM videos")
+def vocabulary_overlap(spark, sf):
+    """Content words of a title that its description holds, and those it doesn't."""
+    a, b = (X.content_words(F.coalesce(c, F.lit(""))) for c in ("title", "description"))
+    return table(spark, sf, "videos").select("id", F.size(F.array_intersect(a, b)).alias("shared"), F.size(F.array_except(a, b)).alias("missing"))
+
+
+@query("SELECT model, status, count(*) AS n FROM (SELECT model, status FROM processing_runs UNION ALL SELECT 'echo', 'success' FROM videos WHERE enrichment_status = 'pending') GROUP BY ALL")
+def run_log_append(spark, sf):
+    """Processing runs with the new runs of the pending videos appended."""
+    new = table(spark, sf, "videos").where("enrichment_status = 'pending'").select("video_id", F.lit("echo").alias("model"), F.lit("success").alias("status"))
+    runs = registry.record_runs(table(spark, sf, "processing_runs"), new)
+    return runs.groupBy("model", "status").agg(F.count("*").alias("n"))
+
+
+@query(r"""SELECT id, CASE WHEN starts_with(lower(model), 'qwen') THEN '/no_think' ELSE '' END AS prefix, regexp_replace(coalesce(error, ''), '\r\n|\n|\r', ' ', 'g') AS line FROM processing_runs""")
+def prompt_prefix(spark, sf):
+    """Prompt prefix by model, and the run's error as a one-line log event."""
+    return table(spark, sf, "processing_runs").select("id", X.strip(enrich.system_prefix(F.col("model"))).alias("prefix"), X.line_event(F.coalesce("error", F.lit(""))).alias("line"))
+
+
+@query(f"SELECT doc_id, {_STRIP('text')} AS inner_text FROM documents WHERE text IS NOT NULL")
+def strip_fences(spark, sf):
+    """Texts wrapped in one code fence and unwrapped again."""
+    fenced = F.concat(F.lit("```markdown\n"), F.col("text"), F.lit("\n```"))
+    return table(spark, sf, "documents").where("text IS NOT NULL").select("doc_id", X.strip_fences(fenced).alias("inner_text"))
+
+
+@query("SELECT id, raw_path, ends_with(raw_path, '.transcript.md') AS companion, CASE WHEN ends_with(raw_path, '.transcript.md') THEN raw_path ELSE regexp_replace(raw_path, '\\.md$', '.transcript.md') END AS companion_path FROM videos WHERE raw_path IS NOT NULL")
+def companion_paths(spark, sf):
+    v = table(spark, sf, "videos").where("raw_path IS NOT NULL")
+    return v.select("id", "raw_path", records.is_companion(F.col("raw_path")).alias("companion"), records.companion_path(F.col("raw_path")).alias("companion_path"))
+
+
+@query("SELECT line_no, video_id FROM dataset WHERE line_no IN (SELECT min(line_no) FROM dataset GROUP BY video_id)")
+def staged_lookup(spark, sf):
+    """The first staged line of every registered video: the point lookup, for all ids at once."""
+    first = records.first_wins(table(spark, sf, "dataset").select("video_id", "line_no"), "video_id", "line_no")
+    return first.join(table(spark, sf, "videos").select("video_id"), "video_id", "left_semi").select("line_no", "video_id")
+
+
+@query("""SELECT id, video_id, count(*) OVER (PARTITION BY video_id) AS attempts, row_number() OVER (PARTITION BY video_id ORDER BY created_at DESC, id DESC) = 1 AS latest FROM processing_runs""")
+def run_attempts(spark, sf):
+    """Attempts per video and which run is the latest; a pre-aggregated lookup, so no video's runs meet in one task."""
+    r = table(spark, sf, "processing_runs").select("id", "video_id", "created_at")
+    last = r.groupBy("video_id").agg(F.max(F.struct("created_at", "id")).alias("top"), F.count("*").alias("attempts"))
+    found = weighted_lookup(r, last.select("video_id", "top", "attempts", F.col("attempts").alias("uses")), ["video_id"], "uses")
+    return found.select("id", "video_id", "attempts", (F.col("id") == F.col("top")["id"]).alias("latest"))

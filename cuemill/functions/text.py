@@ -10,10 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cuemill.params import DEFAULTS
-from cuemill.runtime import WHITE
 
-_W = f"[{WHITE}]"
-WORDS = f"[^{WHITE}]+"
+# (?U): \s is the Unicode property White_Space; far faster than a class that lists its characters
+WORDS = r"(?U)\S+"
 
 # fixed values: words that carry no content
 STOPWORDS = """
@@ -34,7 +33,7 @@ ID = r"[A-Za-z0-9_-]{11}"
 
 def strip(c: Column) -> Column:
     """Without leading and trailing white space of any script."""
-    return F.regexp_replace(c, f"^{_W}+|{_W}+$", "")
+    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
 
 
 @F.pandas_udf(T.ArrayType(T.StringType()))
@@ -56,7 +55,7 @@ def one_line(c: Column) -> Column:
 
 def strip_fillers(c: Column) -> Column:
     """Filler words removed with a comma after them, runs of white space collapsed, ends stripped."""
-    return strip(F.regexp_replace(F.regexp_replace(c, "(?iU)" + FILLERS, ""), f"{_W}{{2,}}", " "))
+    return strip(F.regexp_replace(F.regexp_replace(c, "(?iU)" + FILLERS, ""), r"(?U)\s{2,}", " "))
 
 
 def word_count(c: Column) -> Column:
@@ -90,7 +89,7 @@ def to_seconds(stamp: Column) -> Column:
 def sanitize_filename(name: Column, limit: int = 100) -> Column:
     """A safe path part: reserved and control characters dropped, white space to underscores, then cut; never empty or dots."""
     s = strip(F.regexp_replace(name, r'[<>:"/\\|?*\x00-\x1f]', ""))
-    s = F.substring(F.regexp_replace(s, f"{_W}+", "_"), 1, limit)
+    s = F.substring(F.regexp_replace(s, r"(?U)\s+", "_"), 1, limit)
     return F.when(s.isin("", ".", ".."), F.lit("untitled")).otherwise(s)
 
 

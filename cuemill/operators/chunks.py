@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cuemill.functions import text as X
 from cuemill.params import DEFAULTS, Params
+from cuemill.runtime import widen
 
 
 def split_blocks(body: Column) -> Column:
@@ -52,7 +53,7 @@ def chunk_blocks(blocks: Column, target: int = DEFAULTS.chunk_words) -> Column:
 
 def chunk_rows(docs: DataFrame, key: str, body: str, target: int = DEFAULTS.chunk_words) -> DataFrame:
     """(key, chunk_idx, heading, text, words), one row per chunk."""
-    out = docs.select(key, F.explode(chunk_blocks(split_blocks(F.col(body)), target)).alias("c"))
+    out = widen(docs).select(key, F.explode(chunk_blocks(split_blocks(F.col(body)), target)).alias("c"))
     return out.select(key, "c.chunk_idx", "c.heading", "c.text", "c.words")
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cuemill.functions import text as X
-from cuemill.runtime import WHITE
+from cuemill.runtime import widen
 
 # fixed values: stamp shape, pace and sizes
 STAMP = r"(?:\d{1,3}:)?\d{1,2}:\d{2}(?:[.,]\d{1,3})?"
@@ -25,7 +25,7 @@ LEAST_SECONDS = 0.1
 
 def _lines(docs: DataFrame, key: str, text: str) -> DataFrame:
     body = F.regexp_replace(F.col(text), "\r\n|\r", "\n")
-    lines = docs.select(F.col(key).alias("key"), F.posexplode(F.split(body, "\n")).alias("pos", "line"))
+    lines = widen(docs).select(F.col(key).alias("key"), F.posexplode(F.split(body, "\n")).alias("pos", "line"))
     return lines.where(F.upper(X.strip(F.col("line"))) != "WEBVTT").select("key", "pos", "line", F.col("line").rlike(CUE).alias("is_cue"), F.col("line").rlike(STAMPED).alias("is_stamp"), (X.strip(F.col("line")) == "").alias("blank"))
 
 
@@ -73,7 +73,7 @@ def stamped_segments(docs: DataFrame, key: str, text: str) -> DataFrame:
 def _sentence_chunks(paragraph: Column) -> Column:
     """Words of sentences gather until a chunk is long enough; a longer sentence stands alone, cut by the chunk size."""
     flat = F.array_join(X.words(paragraph), " ")
-    sentences = F.filter(F.split(flat, rf"(?<=[.!?])[{WHITE}]+"), lambda s: X.strip(s) != "")
+    sentences = F.filter(F.split(flat, r"(?U)(?<=[.!?])\s+"), lambda s: X.strip(s) != "")
     none = F.array().cast("array<string>")
     kind = "struct<done:array<array<string>>,open:array<string>>"
     zero = F.struct(F.array().cast("array<array<string>>").alias("done"), none.alias("open")).cast(kind)
@@ -96,7 +96,7 @@ def prose_segments(docs: DataFrame, key: str, text: str) -> DataFrame:
     body = F.regexp_replace(F.col(text), "\r\n|\r", "\n")
     body = F.array_join(F.filter(F.split(body, "\n"), lambda x: F.upper(X.strip(x)) != "WEBVTT"), "\n")
     paragraphs = F.filter(F.split(body, r"\n\s*\n"), lambda p: X.strip(p) != "")
-    rows = docs.select(F.col(key).alias("key"), F.posexplode(paragraphs).alias("para", "p")).select("key", "para", F.posexplode(_sentence_chunks(F.col("p"))).alias("k", "ws"))
+    rows = widen(docs).select(F.col(key).alias("key"), F.posexplode(paragraphs).alias("para", "p")).select("key", "para", F.posexplode(_sentence_chunks(F.col("p"))).alias("k", "ws"))
     rows = rows.withColumn("seconds", F.greatest(F.lit(1.0), F.size("ws") / F.lit(WORDS_PER_SECOND)))
     w = Window.partitionBy("key").orderBy("para", "k")
     clock = F.coalesce(F.sum("seconds").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)) + F.col("para") * F.lit(PARAGRAPH_GAP)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from cuemill.functions import text as X
 from cuemill.params import DEFAULTS, Params
+from cuemill.runtime import once, widen
 
 
 def _length(s: Column) -> Column:
@@ -134,16 +135,15 @@ def clean(records: DataFrame, p: Params = DEFAULTS) -> DataFrame:
     without segments and for those whose blocks other than headings hold fewer words than the minimum.
     """
     segments = F.coalesce(F.col("transcript_segments"), F.array().cast("array<struct<text:string,start:double,duration:double>>"))
-    step1 = records.withColumn("threshold", gap_threshold(segments, p)).withColumn("_items", inject_chapters(segments, F.col("chapters")))
-    # declared non-deterministic so that later filters aren't merged into the fold around it
-    decode = X.unescape_all.asNondeterministic()
-    step2 = step1.withColumn("_texts", decode(F.transform("_items", lambda e: e["text"])))
-    step3 = step2.withColumn("_texts", F.transform("_texts", lambda t: X.strip_fillers(X.one_line(t))))
-    step4 = step3.withColumn("blocks", F.filter(paragraph_blocks(F.col("_items"), F.col("_texts"), F.col("threshold"), p), lambda b: X.strip(b) != ""))
+    step1 = once(widen(records), threshold=gap_threshold(segments, p), _items=inject_chapters(segments, F.col("chapters")))
+    step2 = step1.withColumn("_texts", X.unescape_all(F.transform("_items", lambda e: e["text"])))
+    cleaned = F.transform("_texts", lambda t: X.strip_fillers(X.one_line(t)))
+    step3 = once(step2, _cleaned=cleaned)
+    step4 = once(step3, blocks=F.filter(paragraph_blocks(F.col("_items"), F.col("_cleaned"), F.col("threshold"), p), lambda b: X.strip(b) != ""))
     prose = F.aggregate(F.filter("blocks", lambda b: ~F.startswith(b, F.lit("##"))), F.lit(0), lambda n, b: n + X.word_count(b))
-    step5 = step4.withColumn("prose_words", prose)
+    step5 = once(step4, prose_words=prose)
     body = F.when((F.size(segments) > 0) & (F.col("prose_words") >= p.min_words), F.array_join("blocks", "\n\n"))
-    return step5.withColumn("cleaned", body).drop("_items", "_texts")
+    return step5.withColumn("cleaned", body).drop("_items", "_texts", "_cleaned")
 
 
 def transcript_text(segments: Column) -> Column:

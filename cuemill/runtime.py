@@ -67,10 +67,18 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def spread(df: DataFrame, *keys: str | Column) -> DataFrame:
-    """Hash-partition to the session's shuffle width; for stages whose CPU cost a row is far above its bytes."""
-    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(width, *keys) if keys else df.repartition(width)
+def widen(df: DataFrame) -> DataFrame:
+    """Spread rows over the cores where the input has fewer partitions than there are cores; larger inputs are left as they are.
+
+    For stages whose CPU cost a row is far above its bytes, on tables of one or a few files.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(2 * cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns in a place that later filters and projections aren't merged into, so a costly expression runs once."""
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
 
 
 def weighted_lookup(rows: DataFrame, lookup: DataFrame, keys: Sequence[str], weight: str, how: str = "inner") -> DataFrame:

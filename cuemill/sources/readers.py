@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
@@ -21,8 +22,9 @@ def records(spark: SparkSession, path: str) -> DataFrame:
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     """(path, content) of every Markdown document below a folder, paths relative to it."""
     files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.md").text(folder, wholetext=True)
-    whole = F.regexp_replace(F.col("_metadata.file_path"), r"^file:/*", "/")
-    return files.select(F.regexp_replace(whole, "^.*?" + folder.rstrip("/").rsplit("/", 1)[-1] + "/", "").alias("path"), F.col("value").alias("content"))
+    whole = F.replace(F.regexp_replace(F.col("_metadata.file_path"), r"^file:/*", "/"), F.lit("%20"), F.lit(" "))
+    base = folder.rstrip("/") if "://" in folder else os.path.realpath(folder)
+    return files.select(F.substring(whole, len(base) + 2, 1 << 20).alias("path"), F.col("value").alias("content"))
 
 
 def source_list(spark: SparkSession, path: str) -> DataFrame:

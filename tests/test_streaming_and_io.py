@@ -94,19 +94,22 @@ def test_source_list_and_connector(spark, tmp_path):
     assert sorted((r.k, r.entry or "") for r in readers.expanded(lists).collect()) == [(1, "a"), (1, "b"), (2, "")]
 
 
-class Scripted:
-    """Answers from a list, the prompt's source otherwise."""
+def Scripted(*answers):
+    """A model that answers from a list, then with the prompt's source; a local class travels to the workers by value."""
 
-    name = "scripted"
+    class Model:
+        name = "scripted"
 
-    def __init__(self, *answers):
-        self.answers = list(answers)
+        def __init__(self):
+            self.answers = list(answers)
 
-    def ping(self):
-        return True
+        def ping(self):
+            return True
 
-    def complete(self, prompt, temperature, limit):
-        return self.answers.pop(0) if self.answers else prompt.rsplit("<source>\n", 1)[-1].removesuffix("\n</source>")
+        def complete(self, prompt, temperature, limit):
+            return self.answers.pop(0) if self.answers else prompt.rsplit("<source>\n", 1)[-1].removesuffix("\n</source>")
+
+    return Model()
 
 
 def test_rewrite_guard(spark):

@@ -123,7 +123,7 @@ def subject_mixtures(videos: DataFrame, terms: DataFrame, areas: DataFrame, labe
     subjects = {r.subject_id: r.name for r in areas.where("subject_id IS NOT NULL").select("subject_id", "name").distinct().collect()}  # fixed list
     if points.isEmpty() or not subjects:
         return empty
-    model = BisectingKMeans(k=params.leaves, seed=params.seed, maxIter=12, distanceMeasure="cosine", minDivisibleClusterSize=4.0, predictionCol="leaf").fit(points)
+    model = BisectingKMeans(k=params.leaves, seed=params.seed, maxIter=6, distanceMeasure="cosine", minDivisibleClusterSize=4.0, predictionCol="leaf").fit(points)
     leaves = cut(model.transform(points).select("id", "passage", "leaf"))
     centers = [np.asarray(c) for c in model.clusterCenters()]
 

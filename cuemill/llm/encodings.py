@@ -55,9 +55,10 @@ class GarbleParams:
     #: Pseudo-counts with which the corpus's mapping enters a source's own.
     prior: float = 8.0
     smoothing: float = 0.5
-    #: Posterior from which a symbol of several characters, and one of a single character, counts as garbled.
+    #: Posterior from which a symbol of several characters, one of a single character, and a quote, dash or dot counts as garbled.
     several: float = 0.5
     single: float = 0.9
+    sign: float = 0.9995
     #: Lead in log-likelihood that a run of six letters needs to count as a swapped word; shorter runs need less in proportion.
     word_lead: float = 6.0
     #: Sources whose mappings are broadcast to the texts; beyond, they are joined by a shuffle.
@@ -429,7 +430,8 @@ def decide(text: str, cipher: Cipher, shares: dict[str, dict[str, float]], memor
             odds = cipher.readings(symbol, l, r, shares.get(symbol))
             best = max((c for c in odds if c != symbol), key=lambda c: (odds[c], c), default=None)
             certain = symbol == LOST or len(symbol) == 1 and "\x80" <= symbol <= "\x9f"
-            wrong = certain or 1 - odds.get(symbol, 0.0) >= (p.several if len(symbol) > 1 else p.single)
+            least = p.several if len(symbol) > 1 else p.sign if symbol in TYPOGRAPHY else p.single
+            wrong = certain or 1 - odds.get(symbol, 0.0) >= least
             memory[key] = (best or symbol) if wrong else None
         if memory[key] is not None:
             out += [text[at:s], memory[key]]
@@ -461,8 +463,9 @@ def garbled(docs: DataFrame, params: GarbleParams = GarbleParams(), key: str = "
         flat = [(s, c, p) for s, x in shares.items() for c, p in x.items() if p > 1e-4]
         return pd.DataFrame({"source": [pdf["source"].iloc[0]], "mapping": [[{"s": s, "c": c, "p": p} for s, c, p in flat]]})
 
-    # a symbol of several characters means one letter everywhere; only single characters are read source by source
-    mapping = counts.where("char_length(symbol) = 1").groupBy("source").applyInPandas(own, "source string, mapping array<struct<s:string,c:string,p:double>>")
+    # a symbol of several characters means one letter everywhere, and quotes and dashes are mostly meant; only single letters
+    # and signs are read source by source
+    mapping = counts.where((F.char_length("symbol") == 1) & ~F.col("symbol").isin(TYPOGRAPHY)).groupBy("source").applyInPandas(own, "source string, mapping array<struct<s:string,c:string,p:double>>")
     mapping = cut(mapping)
     if mapping.count() <= params.broadcast_sources:
         mapping = F.broadcast(mapping)

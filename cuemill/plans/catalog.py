@@ -653,7 +653,10 @@ def rewrite_articles(spark, sf):
     return enrich.rewrite(c, enrich.EchoModel())
 
 
-@query()
+@query(f"""WITH l AS (SELECT line_no, transcript_text, regexp_extract_all(list_last(string_split(transcript_text, chr(10))), '[^{_WHITE}]+')[1:3] AS head FROM dataset),
+  k AS (SELECT *, {_STRIP("coalesce(transcript_text, '')")} = '' AS blank FROM l)
+SELECT line_no::VARCHAR AS video_id, CASE WHEN NOT blank THEN array_to_string(head, ' ') END AS summary, CASE WHEN NOT blank THEN array_to_string(head, '|') END AS key_concepts,
+  CASE WHEN NOT blank THEN 'beginner' END AS difficulty, CASE WHEN blank THEN 'no prose' END AS error, 'echo' AS model FROM k""")
 def enrich_records(spark, sf):
     """Structured metadata by the deterministic model, normalised."""
     d = table(spark, sf, "dataset").select(F.col("line_no").cast("string").alias("video_id"), "title", F.col("transcript_text").alias("body"))

@@ -161,8 +161,8 @@ def split_lines(lines: DataFrame, sections: DataFrame, params: SplitParams = Spl
     if not 0 <= params.overlap < params.max_size:
         raise ValueError("the overlap must be smaller than the limit")
     texts = cut(oversized(lines, params.max_size))
-    # one row per video, at most one time a second of its length
-    times = sections.where("video_id IS NOT NULL AND start_ts IS NOT NULL").select("video_id", F.round("start_ts").alias("at")).distinct()
+    # one row per video; the times stay exact, as a section rounded up would miss the segment it begins with
+    times = sections.where("video_id IS NOT NULL AND start_ts IS NOT NULL").select("video_id", F.col("start_ts").cast("double").alias("at")).distinct()
     times = times.groupBy("video_id").agg(F.sort_array(F.collect_list("at")).alias("sections"))
     uses = texts.groupBy("video_id").agg(F.count("*").alias("uses"))
     times = cut(times.join(uses, "video_id"))

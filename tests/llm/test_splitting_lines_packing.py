@@ -66,6 +66,15 @@ def test_cut_falls_on_the_topic_change():
     assert cuts[0] == (240, "segment")
 
 
+def test_sections_with_fractional_times_open_their_own_segment(spark):
+    # all words are the same, so that only the section tells where to cut
+    said = [Row(text="w w w w w w w", start=2.3 * i, duration=2.3) for i in range(200)]
+    for at in (90, 97, 102, 111):  # 207.0, 223.1, 234.6 and 255.3 seconds
+        sections = spark.createDataFrame([("v", 2.3 * at)], "video_id string, start_ts double")
+        first = splitting.split_lines(spark.createDataFrame([(1, "v", said, "x", 1)], LINES), sections).where("piece_no = 0").first()
+        assert (first.cut, first.n_words) == ("section", 7 * at)
+
+
 def test_split_parameters_and_empty(spark, long_lines):
     none = spark.createDataFrame([], "video_id string, start_ts double")
     assert splitting.split_lines(long_lines.limit(0), none).count() == 0

@@ -267,24 +267,36 @@ def class_summary(members: DataFrame, links: DataFrame) -> DataFrame:
     return out.select("field", "key", F.col("id").alias("class_id"), "copies", F.coalesce("links", F.lit(0)).alias("links"))
 
 
-def groups(members: DataFrame, links: DataFrame, rounds: int = 40) -> DataFrame:
-    """(field, key, group_id): connected groups of linked classes, by hooking to the smaller neighbour and pointer jumping.
+def _afresh(df: DataFrame) -> DataFrame:
+    """Checkpointed, without the size estimate that a checkpoint keeps: a self-join squares it, so its digits would double every time."""
+    kept = cut(df)
+    session = kept.sparkSession
+    return DataFrame(session._jsparkSession.createDataFrame(kept._jdf.toJavaRDD(), kept._jdf.schema()), session)
 
-    Each round is two shuffles of the links that still join different groups; every round's table is checkpointed.
+
+def groups(members: DataFrame, links: DataFrame) -> DataFrame:
+    """(field, key, group_id): connected groups of linked classes, named by their least class.
+
+    Every round hooks each current group to its least neighbour, points all of them to the root of their tree, and keeps only
+    the links that still join different groups, one of each. Two groups that choose each other are the only cycle, whose
+    smaller one is the root and the least of its tree. A group with a neighbour never stays alone, so a round at least halves
+    the groups that have one: rounds are logarithmic, and none is left out. Every round's tables are checkpointed.
     """
-    labels = members.select("id").distinct().withColumn("label", F.col("id"))
-    edges = cut(links.select("a", "b"))
-    labels = cut(labels)
-    for _ in range(rounds):
-        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.join(labels.select(F.col("id").alias("b"), "label"), "b").groupBy("a").agg(F.min("label").alias("seen"))
-        hooked = labels.join(least, labels["id"] == least["a"], "left").select("id", F.least("label", F.coalesce("seen", "label")).alias("label"))
-        up = hooked.select(F.col("id").alias("label"), F.col("label").alias("top"))
-        moved = cut(hooked.join(up, "label", "left").select("id", F.coalesce("top", "label").alias("new")).join(labels, "id"))
-        changed = moved.where("new <> label").limit(1).count()
-        labels = moved.select("id", F.col("new").alias("label"))
-        if not changed:
-            break
-    else:
-        raise RuntimeError(f"groups did not settle in {rounds} rounds")
+    labels = _afresh(members.select("id").distinct().withColumn("label", F.col("id")))
+    both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    edges = _afresh(both.where("a <> b").distinct())
+    while not edges.isEmpty():
+        least = _afresh(edges.groupBy("a").agg(F.min("b").alias("up")))
+        over = least.select(F.col("a").alias("up"), F.col("up").alias("top"))
+        root = (F.col("top") == F.col("a")) & (F.col("a") < F.col("up"))
+        hooks = _afresh(least.join(over, "up").select("a", F.when(root, F.col("a")).otherwise(F.col("up")).alias("up")))
+        while True:
+            over = hooks.select(F.col("a").alias("up"), F.col("up").alias("top"))
+            moved = _afresh(hooks.join(over, "up").select("a", F.col("up").alias("old"), F.col("top").alias("up")))
+            hooks = moved.select("a", "up")
+            if moved.where("old <> up").isEmpty():
+                break
+        labels = _afresh(labels.join(hooks.withColumnRenamed("a", "label"), "label", "left").select("id", F.coalesce("up", "label").alias("label")))
+        ends = edges.join(hooks, "a").select("b", F.col("up").alias("x")).join(hooks.withColumnRenamed("a", "b"), "b")
+        edges = _afresh(ends.select(F.col("x").alias("a"), F.col("up").alias("b")).where("a <> b").distinct())
     return members.join(labels, "id").select("field", "key", F.col("label").alias("group_id"))

@@ -76,6 +76,18 @@ def test_classes_and_groups(texts):
     assert all(len(v) == 1 for v in got.values()) and len(got) == len({top(k) for k in summary})
 
 
+def test_long_chains_come_out_as_one_group(spark):
+    rnd = random.Random(4)
+    ids = rnd.sample(range(-(2**61), 2**61), 151)
+    rising = sorted(rnd.sample(range(2**61, 2**62), 12))
+    star = rnd.sample(range(-(2**62), -(2**61)), 10)
+    linked = [*zip(ids[:150], ids[1:150]), *zip(rising, rising[1:]), *((max(star), x) for x in star if x != max(star))]
+    members = spark.createDataFrame([("t", k, i) for k, i in enumerate(ids + rising + star)], "field string, key long, id long")
+    links = spark.createDataFrame([(min(p), max(p), 0.9) for p in linked], "a long, b long, similarity double")
+    got = {r.key: r.group_id for r in N.groups(members, links).collect()}
+    assert [got[k] for k in range(173)] == [min(ids[:150])] * 150 + [ids[150]] + [min(rising)] * 12 + [min(star)] * 10
+
+
 def test_empty(spark):
     members, links = N.near_duplicates(spark.createDataFrame([], SCHEMA), N.HALF)
     assert members.count() == 0 and links.count() == 0 and N.every_pair(members, links).count() == 0

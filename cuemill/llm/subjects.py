@@ -17,7 +17,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
-import math
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -30,26 +29,11 @@ from pyspark.sql import functions as F
 from cuemill.llm.terms import TermParams, entries, map_terms
 from cuemill.runtime import WHITE, cut, weighted_lookup
 
-#: Head words of canonical terms that speak for a subject's name where hand labels are few. A parameter.
-SEEDS: dict[str, tuple[str, ...]] = {
-    "science": ("physics", "astronomy", "biology", "geology", "chemistry"),
-    "software": ("learning", "web", "database", "computer", "software"),
-    "law": ("law", "criminal", "property", "legal"),
-    "sport": ("track", "football", "strength", "climbing", "sport"),
-    "medicine": ("cardiology", "medicine", "nutrition", "health"),
-    "finance": ("finance", "accounting", "stock", "tax"),
-    "history": ("history", "archaeology"),
-    "music": ("music", "sound", "guitar", "singing"),
-    "cooking": ("bread", "fermentation", "pastry", "knife"),
-    "engineering": ("civil", "electronics", "mechanical", "robotics"),
-    "gardening": ("soil", "fruit", "greenhouse", "garden"),
-    "visual art": ("painting", "photography", "film", "typography"),
-}
-
-
 @dataclass(frozen=True)
 class SubjectParams:
     leaves: int = 40
+    #: Rounds of k-means a split, and its seed.
+    rounds: int = 12
     seed: int = 11
     #: Documents a word must stand in, and occurrences from which a sentence may be a stock phrase.
     least_df: int = 4
@@ -62,7 +46,8 @@ class SubjectParams:
     seed_weight: float = 3.0
     support: float = 0.6
     share: float = 0.12
-    seeds: Mapping[str, Sequence[str]] = field(default_factory=lambda: SEEDS)
+    #: Subject name to words of canonical terms that speak for it, where hand labels are few; none by default.
+    seeds: Mapping[str, Sequence[str]] = field(default_factory=dict)
     terms: TermParams = field(default_factory=TermParams)
 
 
@@ -123,11 +108,13 @@ def subject_mixtures(videos: DataFrame, terms: DataFrame, areas: DataFrame, labe
     subjects = {r.subject_id: r.name for r in areas.where("subject_id IS NOT NULL").select("subject_id", "name").distinct().collect()}  # fixed list
     if points.isEmpty() or not subjects:
         return empty
-    model = BisectingKMeans(k=params.leaves, seed=params.seed, maxIter=6, distanceMeasure="cosine", minDivisibleClusterSize=4.0, predictionCol="leaf").fit(points)
+    # equal vectors, as of all entries of one domain, are one point with a weight; fit keeps its points in memory and on disk by itself
+    weighted = points.groupBy("features").agg(F.count("*").cast("double").alias("weight"))
+    model = BisectingKMeans(k=params.leaves, seed=params.seed, maxIter=params.rounds, distanceMeasure="cosine", minDivisibleClusterSize=4.0, weightCol="weight", predictionCol="leaf").fit(weighted)
     leaves = cut(model.transform(points).select("id", "passage", "leaf"))
     centers = [np.asarray(c) for c in model.clusterCenters()]
 
-    # leaves to subjects: seed words of the discriminative terms, then expectation-maximisation over the labelled sample
+    # leaves to subjects: expectation-maximisation over the labelled sample, from seed words of the discriminative terms where any are given
     ids = sorted(subjects)
     prior = np.full((len(centers), len(ids)), 0.02)
     top: list[list[str]] = []
@@ -152,7 +139,7 @@ def subject_mixtures(videos: DataFrame, terms: DataFrame, areas: DataFrame, labe
                 counts[leaf, own] += w / w.sum() if w.sum() else 0
         weights = counts / counts.sum(1, keepdims=True)
 
-    flat = [(k, ids[j], float(weights[k, j])) for k in range(len(centers)) for j in range(len(ids)) if weights[k, j] >= 0.03]
+    flat = [(k, ids[j], float(weights[k, j])) for k in range(len(centers)) for j in range(len(ids))]
     table = spark.createDataFrame(flat, "leaf int, subject_id int, weight double")
     support = leaves.join(F.broadcast(table), "leaf").groupBy("id", "subject_id").agg(F.sum("weight").alias("support"))
     whole = leaves.groupBy("id").agg(F.count("*").alias("passages"))

@@ -59,7 +59,8 @@ def test_accuracy(inputs):
 
 def test_without_labels_seeds_decide(inputs):
     videos, terms, areas, labels, truth = inputs
-    mixtures, _ = S.subject_mixtures(videos, terms, areas, labels.limit(0), S.SubjectParams(leaves=18))
+    seeds = {NAMES[s]: tuple(n.split()[0] for n in names) for s, (names, _) in WORDS.items()}
+    mixtures, _ = S.subject_mixtures(videos, terms, areas, labels.limit(0), S.SubjectParams(leaves=18, seeds=seeds))
     got = {}
     for r in S.assign_subjects(mixtures).collect():
         got.setdefault(r.id, set()).add(r.subject_id)

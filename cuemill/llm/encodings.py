@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cuemill.runtime import cut
+from cuemill.runtime import cut, weighted_lookup
 
 #: Letters and signs that ordinary text holds beyond ASCII, by rule: Latin-1 and the European part of Latin Extended-A, Cyrillic, typography.
 LATIN = [chr(c) for c in range(0xC0, 0x100) if c not in (0xD7, 0xF7)]
@@ -61,8 +61,8 @@ class GarbleParams:
     sign: float = 0.9995
     #: Lead in log-likelihood that a run of six letters needs to count as a swapped word; shorter runs need less in proportion.
     word_lead: float = 6.0
-    #: Sources whose mappings are broadcast to the texts; beyond, they are joined by a shuffle.
-    broadcast_sources: int = 10_000
+    #: Pseudo-count of letters that stand clean nowhere in the corpus, so that they remain possible readings.
+    unseen: float = 0.02
 
 
 def _read(data: bytes, page: str) -> str:
@@ -161,6 +161,24 @@ def alphabet() -> Alphabet:
     return Alphabet()
 
 
+def _images(text: str, box: np.ndarray, several: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """``several`` without the symbols that are part of a drawing: those of box-drawing characters alone that touch no letter, or
+    in whose line a box-drawing character stands that belongs to no symbol."""
+    covered = np.zeros(len(box), bool)
+    for s, e in several:
+        covered[s:e] = True
+    stray = np.flatnonzero(box & ~covered)
+
+    def meant(s: int, e: int) -> bool:
+        if not box[s:e].all():
+            return False
+        begin, end = text.rfind("\n", 0, s) + 1, text.find("\n", e)
+        k = np.searchsorted(stray, begin)
+        return k < len(stray) and (end < 0 or stray[k] < end) or not text[max(0, s - 1) : s].isalpha() and not text[e : e + 1].isalpha()
+
+    return [x for x in several if not meant(*x)]
+
+
 def occurrences(text: str) -> tuple[np.ndarray, list[tuple[int, int, str, int, int]]]:
     """Classes of all characters, and (start, end, symbol, left class, right class) of every symbol, in order.
 
@@ -170,13 +188,15 @@ def occurrences(text: str) -> tuple[np.ndarray, list[tuple[int, int, str, int, i
     points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
     classes = a.table[points].astype(np.int64)
     several = [(m.start(), m.end()) for m in a.several.finditer(text)]
+    box = (points >= 0x2500) & (points < 0x2580)
+    if box.any():
+        several = _images(text, box, several)
     single = a.single[points]
     cyrillic = single & a.cyrillic[points]
     if cyrillic.any():
         # Cyrillic letters are symbols of a Latin text only where they touch its letters
         latin = np.concatenate([[False], a.latin[points], [False]])
         single &= ~cyrillic | latin[:-2] | latin[2:]
-    box = (points >= 0x2500) & (points < 0x2580)
     if box.any():
         # box-drawing characters in a row are a drawing
         beside = np.concatenate([[False], box, [False]])
@@ -297,12 +317,14 @@ class Cipher:
         letters = symbols()[symbol]
         if symbol == LOST or "\x80" <= symbol <= "\x9f":
             return {c: 1 / len(letters) for c in letters} or {LOST: 1.0}
-        # a letter that stands in no text of the corpus is no reading
-        letters = [c for c in letters if self.seen[_classes(c)[0]] > 0]
-        if not letters:
+        # a single letter that no text of the corpus holds is no reading; the image of several bytes is its own evidence, so
+        # that letters which stand garbled only are found too
+        weight = {c: 1.0 if self.seen[_classes(c)[0]] > 0 else self.params.unseen * (len(symbol) > 1) for c in letters}
+        whole = sum(weight.values())
+        if not whole:
             return {symbol: 1.0}
         meant = 0.7 if len(symbol) == 1 else 0.02
-        return {symbol: meant} | {c: (1 - meant) / len(letters) for c in letters}
+        return {symbol: meant} | {c: (1 - meant) * w / whole for c, w in weight.items() if w}
 
     def likelihood(self, symbol: str, l: int, r: int) -> dict[str, float]:
         """Likelihood of the neighbours under every reading, relative to the best; kept, as it doesn't depend on the source."""
@@ -463,13 +485,12 @@ def garbled(docs: DataFrame, params: GarbleParams = GarbleParams(), key: str = "
         flat = [(s, c, p) for s, x in shares.items() for c, p in x.items() if p > 1e-4]
         return pd.DataFrame({"source": [pdf["source"].iloc[0]], "mapping": [[{"s": s, "c": c, "p": p} for s, c, p in flat]]})
 
-    # a symbol of several characters means one letter everywhere, and quotes and dashes are mostly meant; only single letters
-    # and signs are read source by source
-    mapping = counts.where((F.char_length("symbol") == 1) & ~F.col("symbol").isin(TYPOGRAPHY)).groupBy("source").applyInPandas(own, "source string, mapping array<struct<s:string,c:string,p:double>>")
-    mapping = cut(mapping)
-    if mapping.count() <= params.broadcast_sources:
-        mapping = F.broadcast(mapping)
-    suspects = rows.where(F.col("text").rlike(r"[^\x00-\x7f]")).join(mapping, "source", "left")
+    # every symbol is learned source by source; a source's contexts are bounded by the alphabet, whatever share of the rows it has
+    mapping = counts.where("symbol <> ''").groupBy("source").applyInPandas(own, "source string, mapping array<struct<s:string,c:string,p:double>>")
+    suspects = rows.where(F.col("text").rlike(r"[^\x00-\x7f]"))
+    uses = suspects.groupBy("source").agg(F.count("*").alias("uses"))
+    mapping = cut(uses.join(mapping, "source", "left"))
+    suspects = weighted_lookup(suspects, mapping, ["source"], "uses")
 
     def apply(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value

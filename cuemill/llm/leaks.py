@@ -2,12 +2,13 @@
 
 Method: SimHash windows with multi-index Hamming blocks, then exact verification. A document holds an item when it holds
 at least half of the item's words as one passage, in order, with at most one word in eight changed. A passage of n words with
-n // 8 changes has an unchanged run of ``run`` = 6 words for every n from 22 on, so an item-sized passage is fingerprinted as
-the sequence of SimHashes of its ``run``-word blocks: some block of every such passage is within the radius of the item's.
+n // 8 changes has an unchanged run of 6 words for every n from 22 on, so an item-sized passage is fingerprinted as the
+sequence of SimHashes of its blocks of so many words: some block of every such passage is within the radius of the item's.
 The 64-bit block fingerprints are indexed in four tables of 16 bits, which finds every fingerprint within Hamming
-distance 3. Candidates are compared by weighted shingle similarity and then aligned word by word.
+distance 3. Candidates are verified by the similarity of their weighted shingles, word pairs that count the less the more items
+hold them, so that an ending shared by many items counts for little; then they are aligned word by word.
 
-Items with fewer than 22 words in half get a shorter run by the same rule. Case, punctuation, line breaks, mark-up and time
+An item with fewer than 22 words in half gets shorter blocks by the same rule, in an index of its own. Case, punctuation, line breaks, mark-up and time
 stamps are removed from both sides first. Defined results: null and empty texts and questions hold nothing; a document is
 read whole; repeated documents and items repeat their rows; ties in alignment don't matter, as only existence is reported.
 """
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 
 WORD = re.compile(r"[^\W_]+")
 STAMP = re.compile(r"(?<![\d:.])\d{1,3}:\d{2}(?::\d{2})?(?:[.,]\d{1,3})?(?![\d:])")
-MARKUP = re.compile(r"<[^<>\n]{1,200}>|\]\([^()\s]*\)|&(?:#\d+|#x[\da-f]+|[a-z]+);|[­​-‍⁠﻿]", re.I)
+MARKUP = re.compile(r"<[^<>\s][^<>\n]*>|\]\([^()\s]*\)|&(?:#\d+|#x[\da-f]+|[a-z]+);|[­​-‍⁠﻿]", re.I)
 
 
 @dataclass(frozen=True)
@@ -40,8 +41,9 @@ class LeakParams:
     changed: int = 8
     #: Items indexed at once; more are searched for in further passes over the corpus.
     block_items: int = 20_000
-    #: Least weighted shingle similarity of a candidate passage.
-    similarity: float = 0.3
+    #: Words of a shingle, and the least share of an item's shingle weight that a candidate passage must hold.
+    shingle: int = 2
+    similarity: float = 0.2
 
 
 def plain_words(text: str) -> list[str]:
@@ -57,52 +59,23 @@ def unchanged_run(words: int, changed: int) -> int:
     return max(1, min(math.ceil((n - n // changed) / (n // changed + 1)) for n in range(words, words + 8 * changed)))
 
 
-class LeakIndex:
-    """SimHash index of the items, small enough to be sent to every task: its size is bounded by ``block_items``."""
+class _Blocks:
+    """Multi-index Hamming tables over the SimHashes of all blocks of ``run`` words of some items."""
 
-    def __init__(self, items: list[tuple[int, str]], params: LeakParams):
-        self.params = params
-        texts = [(i, plain_words(q or "")) for i, q in items if i is not None]
-        texts = [(i, w) for i, w in texts if w]
-        df = Counter(x for _, w in texts for x in set(w))
-        self.vocab = {w: k + 1 for k, w in enumerate(sorted(df))}
-        weight = np.ones(len(self.vocab) + 1)
-        for w, n in df.items():
-            weight[self.vocab[w]] = math.log(1 + len(texts) / n)
-        self.weight = weight
-        self.ids = [i for i, _ in texts]
-        self.words = [np.array([self.vocab[x] for x in w], np.int32) for _, w in texts]
-        self.item_weights = [weight[w] for w in self.words]
-        self.seen = np.zeros(len(self.vocab) + 1, bool)  # scratch of verify
-        need = [max(1, math.ceil(len(w) * params.share)) for _, w in texts]
-        self.run = min([6, *(unchanged_run(n, params.changed) for n in need)]) if texts else 6
-        rng = np.random.default_rng(7)
-        scale = np.clip(np.round(weight / max(weight.max(), 1e-9) * 4), 1, 4).astype(np.int8)
-        self.planes = np.where(rng.integers(0, 2, (len(self.vocab) + 1, 64)), 1, -1).astype(np.int8) * scale[:, None]
-        prints, owner, place = [], [], []
-        for k, w in enumerate(self.words):
-            at = np.arange(max(0, len(w) - self.run + 1))
-            if len(at):
-                prints.append(self.simhash(w, at))
-                owner.append(np.full(len(at), k, np.int32))
-                place.append(at.astype(np.int32))
-        self.prints = np.concatenate(prints) if prints else np.empty(0, np.uint64)
-        self.owner = np.concatenate(owner) if owner else np.empty(0, np.int32)
-        self.place = np.concatenate(place) if place else np.empty(0, np.int32)
+    def __init__(self, run: int, items: list[tuple[int, np.ndarray]], planes: np.ndarray):
+        self.run = run
+        places = [np.arange(len(w) - run + 1) for _, w in items]
+        self.prints = np.concatenate([simhashes(w, at, run, planes) for (_, w), at in zip(items, places)])
+        self.owner = np.concatenate([np.full(len(at), k, np.int32) for (k, _), at in zip(items, places)])
+        self.place = np.concatenate(places).astype(np.int32)
         self.tables = []
         for b in range(4):
             slots = ((self.prints >> np.uint64(16 * b)) & np.uint64(0xFFFF)).astype(np.int64)
             order = np.argsort(slots, kind="stable")
             self.tables.append((order.astype(np.int32), np.searchsorted(slots[order], np.arange(65537)).astype(np.int32)))
 
-    def simhash(self, ids: np.ndarray, at: np.ndarray) -> np.ndarray:
-        total = self.planes[ids[at]].copy()
-        for k in range(1, self.run):
-            total += self.planes[ids[at + k]]
-        return np.packbits(total > 0, axis=1).view(np.uint64).ravel()
-
-    def near(self, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(row of ``prints``, row of the index) of all pairs within the radius."""
+    def near(self, prints: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+        """(row of ``prints``, row of the index) of all pairs within the radius, which four tables guarantee up to 3."""
         rows, hits = [], []
         for b, (order, start) in enumerate(self.tables):
             slots = ((prints >> np.uint64(16 * b)) & np.uint64(0xFFFF)).astype(np.int64)
@@ -112,11 +85,52 @@ class LeakIndex:
             row = np.repeat(some, n)
             step = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
             hit = order[np.repeat(start[slots[some]], n) + step]
-            close = np.bitwise_count(prints[row] ^ self.prints[hit]) <= self.params.radius
+            close = np.bitwise_count(prints[row] ^ self.prints[hit]) <= radius
             rows.append(row[close])
             hits.append(hit[close])
         return np.concatenate(rows), np.concatenate(hits)
 
+
+def simhashes(ids: np.ndarray, at: np.ndarray, run: int, planes: np.ndarray) -> np.ndarray:
+    """64-bit SimHashes of the blocks of ``run`` words that begin at ``at``."""
+    total = planes[ids[at]].copy()
+    for k in range(1, run):
+        total += planes[ids[at + k]]
+    return np.packbits(total > 0, axis=1).view(np.uint64).ravel()
+
+
+class LeakIndex:
+    """SimHash index of the items, small enough to be sent to every task: its size is bounded by ``block_items``."""
+
+    def __init__(self, items: list[tuple[int, str]], params: LeakParams):
+        self.params = params
+        texts = [(i, plain_words(q or "")) for i, q in items if i is not None]
+        texts = [(i, w) for i, w in texts if w]
+        df = Counter(x for _, w in texts for x in set(w))
+        self.vocab = {w: k + 1 for k, w in enumerate(sorted(df))}
+        weight = np.ones(len(self.vocab) + 1)
+        for w, n in df.items():
+            weight[self.vocab[w]] = math.log(1 + len(texts) / n)
+        self.ids = [i for i, _ in texts]
+        self.words = [np.array([self.vocab[x] for x in w], np.int32) for _, w in texts]
+        self.shingles = [np.unique(self._codes(w)) for w in self.words]
+        held = Counter(x for s in self.shingles for x in s.tolist())
+        self.weights = [np.log(1 + len(texts) / np.array([held[x] for x in s.tolist()] or [1.0]))[: len(s)] for s in self.shingles]
+        rng = np.random.default_rng(7)
+        scale = np.clip(np.round(weight / max(weight.max(), 1e-9) * 4), 1, 4).astype(np.int8)
+        self.planes = np.where(rng.integers(0, 2, (len(self.vocab) + 1, 64)), 1, -1).astype(np.int8) * scale[:, None]
+        runs: dict[int, list[tuple[int, np.ndarray]]] = defaultdict(list)
+        for k, w in enumerate(self.words):
+            runs[min(6, unchanged_run(max(1, math.ceil(len(w) * params.share)), params.changed))].append((k, w))
+        self.blocks = [_Blocks(run, own, self.planes) for run, own in sorted(runs.items())]
+
+    def _codes(self, ids: np.ndarray) -> np.ndarray:
+        """A code for every run of ``shingle`` words; runs with an unknown word have a code that no item has."""
+        code = np.zeros(max(0, len(ids) - self.params.shingle + 1), np.int64)
+        for k in range(self.params.shingle):
+            code = code * (len(self.vocab) + 1) + ids[k : k + len(code)]
+        return code
+
     def _passage(self, pairs: list[tuple[int, int]], length: int) -> int:
         """Words of the longest passage over aligned (item place, document place) pairs, 0 if none is long enough."""
         if len(pairs) < 2:
@@ -131,57 +145,65 @@ class LeakIndex:
         fits = (span >= length * self.params.share) & (self.params.changed * (cost[None, :] - cost[:, None]) <= span) & starts[:, None] & ends[None, :]
         return int(span[fits].max()) if fits.any() else 0
 
-    def verify(self, k: int, doc: np.ndarray, shifts: np.ndarray) -> int:
-        """Words of item k that the document holds as one passage near the shifts (document place minus item place)."""
+    def similar(self, k: int, codes: np.ndarray) -> bool:
+        """Whether the codes hold enough of item k's shingle weight."""
+        own, weights = self.shingles[k], self.weights[k]
+        if not len(own):
+            return True
+        at = np.minimum(np.searchsorted(own, codes), len(own) - 1)
+        held = np.zeros(len(own), bool)
+        held[at[own[at] == codes]] = True
+        return weights[held].sum() >= self.params.similarity * weights.sum()
+
+    def verify(self, k: int, doc: np.ndarray, codes: np.ndarray, shifts: np.ndarray) -> int:
+        """Words of item k in the longest passage that the document holds near the shifts (document place minus item place)."""
         item = self.words[k]
         best = 0
         groups = [shifts] if len(shifts) == 1 else np.split(shifts, np.flatnonzero(np.diff(shifts) > 12) + 1)
-        weights, seen = self.item_weights[k], self.seen
         for group in groups:
             lo, hi = max(0, int(group[0]) - 8), min(len(doc), int(group[-1]) + len(item) + 8)
-            part = doc[lo:hi]
-            seen[part] = True
-            seen[0] = False
-            shared = weights[seen[item]].sum()
-            seen[part] = False
-            if shared < self.params.similarity * weights.sum():
+            if not self.similar(k, codes[lo : max(lo, hi - self.params.shingle + 1)]):
                 continue
+            part = doc[lo:hi]
             for shift in group:
                 at = np.arange(max(0, -shift), min(len(item), len(doc) - shift))
                 same = at[item[at] == doc[at + shift]]
                 best = max(best, self._passage([(i, i + shift) for i in same], len(item)))
-                if best:
-                    return best
-            blocks = difflib.SequenceMatcher(None, item.tolist(), part.tolist(), autojunk=False).get_matching_blocks()
-            best = max(best, self._passage([(m.a + j, m.b + j) for m in blocks for j in range(m.size)], len(item)))
+            if best < len(item):
+                blocks = difflib.SequenceMatcher(None, item.tolist(), part.tolist(), autojunk=False).get_matching_blocks()
+                best = max(best, self._passage([(m.a + j, m.b + j) for m in blocks for j in range(m.size)], len(item)))
         return best
 
     def search(self, texts: list[str]) -> list[tuple[int, int, int]]:
         """(text, item, words) of every held item."""
-        get, gap = self.vocab.get, np.zeros(self.run, np.int32)
+        get = self.vocab.get
+        gap = np.zeros(max((x.run for x in self.blocks), default=1), np.int32)
         parts, starts, at = [], [], 0
         for t in texts:
             ids = np.array([get(w, 0) for w in plain_words(t)], np.int32)
             starts.append(at)
             parts += [ids, gap]
             at += len(ids) + len(gap)
-        if not parts or not len(self.prints):
+        if not parts or not self.blocks:
             return []
         ids = np.concatenate(parts)
         known = np.append(0, np.cumsum(ids > 0))
-        windows = np.flatnonzero(known[self.run :] - known[: -self.run] == self.run)
         found: dict[tuple[int, int], set[int]] = defaultdict(set)
         begin = np.array(starts)
-        for c in range(0, len(windows), 100_000):
-            w = windows[c : c + 100_000]
-            rows, hits = self.near(self.simhash(ids, w))
-            doc = np.searchsorted(begin, w[rows], side="right") - 1
-            shift = w[rows] - begin[doc] - self.place[hits]
-            for key in set(zip(doc.tolist(), self.owner[hits].tolist(), shift.tolist())):
-                found[key[:2]].add(key[2])
-        out = []
+        for x in self.blocks:
+            windows = np.flatnonzero(known[x.run :] - known[: -x.run] == x.run)
+            for c in range(0, len(windows), 100_000):
+                w = windows[c : c + 100_000]
+                rows, hits = x.near(simhashes(ids, w, x.run, self.planes), self.params.radius)
+                doc = np.searchsorted(begin, w[rows], side="right") - 1
+                shift = w[rows] - begin[doc] - x.place[hits]
+                for key in set(zip(doc.tolist(), x.owner[hits].tolist(), shift.tolist())):
+                    found[key[:2]].add(key[2])
+        out, last, codes = [], -1, None
         for (d, k), shifts in sorted(found.items()):
-            n = self.verify(k, parts[2 * d], np.array(sorted(shifts)))
+            if d != last:
+                last, codes = d, self._codes(parts[2 * d])
+            n = self.verify(k, parts[2 * d], codes, np.array(sorted(shifts)))
             if n:
                 out.append((d, k, n))
         return out

@@ -20,7 +20,7 @@ def noise(n):
 
 
 def test_run_rule():
-    assert L.unchanged_run(25, 8) == 6 and L.unchanged_run(8, 8) == 4 and INDEX.run == 6
+    assert L.unchanged_run(25, 8) == 6 and L.unchanged_run(8, 8) == 4 and [x.run for x in INDEX.blocks] == [6]
 
 
 @pytest.mark.parametrize("case", range(12))
@@ -46,6 +46,42 @@ def test_shared_endings_and_order():
     assert held([x for k in range(0, len(w), 2) for x in reversed(w[k : k + 2])]) == set()
 
 
+def test_a_shared_ending_weighs_little():
+    ending = INDEX._codes(INDEX.words[0][-len(END) :])
+    for s, w in zip(INDEX.shingles, INDEX.weights):
+        import numpy as np
+
+        assert w[np.isin(s, ending)].sum() < 0.08 * w.sum()
+
+
+def test_a_long_shared_ending_is_no_leak_of_the_others():
+    """Items of 24 words whose last 11 are the same: an ending is under a half and below the weight asked."""
+    end = [f"tail{i}" for i in range(11)]
+    index = L.LeakIndex([(i, " ".join([f"own{i}x{j}" for j in range(13)] + end)) for i in range(20)], L.LeakParams())
+    assert index.search([" ".join(noise(30) + end + noise(30))]) == []
+    whole = [f"own4x{j}" for j in range(13)] + end
+    assert {index.ids[k] for _, k, _ in index.search([" ".join(noise(30) + whole)])} == {4}
+
+
+def test_a_short_item_shortens_its_own_blocks_only():
+    index = L.LeakIndex([(i, " ".join(w)) for i, w in QUESTIONS] + [(77, "seven odd words make up this one")], L.LeakParams())
+    assert sorted(x.run for x in index.blocks) == [4, 6] or len(index.blocks) == 2
+    assert {index.ids[k] for _, k, _ in index.search(["so seven odd words make up this one here"])} == {77}
+    assert {index.ids[k] for _, k, _ in index.search([" ".join(QUESTIONS[2][1])])} == {2}
+
+
+def test_the_longest_passage_is_reported():
+    i, w = QUESTIONS[6]
+    half = -(-len(w) // 2)
+    assert [n for _, _, n in INDEX.search([" ".join(noise(9) + w[:half] + noise(40) + w + noise(9))])] == [len(w)]
+
+
+def test_long_tags_are_markup():
+    w = QUESTIONS[8][1]
+    tag = '<a href="' + "x" * 400 + '">'
+    assert held(noise(5) + [t for k in range(0, len(w), 4) for t in [tag, *w[k : k + 4]]]) == {8}
+
+
 def test_markup_stamps_and_case():
     w = QUESTIONS[3][1]
     text = "\n".join(f"[00:{k:02d}] <b>{' '.join(w[k : k + 7]).upper()}</b>, **" for k in range(0, len(w), 7))
@@ -57,10 +93,11 @@ def test_near_finds_every_fingerprint_within_the_radius():
 
     rng = np.random.default_rng(1)
     for _ in range(50):
-        k = rng.integers(len(INDEX.prints))
+        blocks = INDEX.blocks[0]
+        k = rng.integers(len(blocks.prints))
         flips = rng.choice(64, 3, replace=False)
-        probe = INDEX.prints[k] ^ np.bitwise_or.reduce(np.uint64(1) << flips.astype(np.uint64))
-        assert k in set(INDEX.near(np.array([probe]))[1].tolist())
+        probe = blocks.prints[k] ^ np.bitwise_or.reduce(np.uint64(1) << flips.astype(np.uint64))
+        assert k in set(blocks.near(np.array([probe]), 3)[1].tolist())
 
 
 def test_operator(spark):

@@ -142,6 +142,14 @@ def p7_fill(spark: SparkSession, sf: str) -> DataFrame:
     return out
 
 
+def p7_mixture(spark: SparkSession, sf: str) -> DataFrame:
+    """Windows packed to a target mixture that flattens the natural one (tokens to the power 0.7): how far each is from the target."""
+    items = cut(packing.count_tokens(table(spark, sf, "documents"), "doc_id", "source", "text"))
+    shares = items.groupBy("source").agg(F.pow(F.sum("n_tokens"), F.lit(0.7)).alias("share"))
+    limit = table(spark, sf, "size_limits").where("limit_id = 2").first()
+    return packing.mixture_report(items, packing.PackParams(capacity=limit.max_size), shares)
+
+
 def p8_found(spark: SparkSession, sf: str) -> DataFrame:
     return leaks.leaks(table(spark, sf, "documents"), table(spark, sf, "eval_items")).select("doc_id", "item_id").distinct()
 
@@ -164,7 +172,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         p1_found, p1_unmatched, p2_found, p2_redacted, p3_found, p3_composition, p3_leaves, p4_found, p4_classes, p4_groups, p5_found, p5_pieces,
-        p6_found, p6_lines, p6_clean, p7_packing, p7_fill, p8_found, p8_items, p9_found, p9_restored,
+        p6_found, p6_lines, p6_clean, p7_packing, p7_fill, p7_mixture, p8_found, p8_items, p9_found, p9_restored,
     )
 }
 

@@ -146,19 +146,44 @@ def test_packing(spark, shard):
 def test_windows_keep_the_mixture():
     sizes = [100] * 4000
     sources = ["a" if i < 3000 else "b" for i in range(4000)]
-    boxes = packing.pack_shard(list(range(4000)), [0] * 4000, sources, sizes, {"a": 0.75, "b": 0.25}, {}, packing.PackParams(capacity=1000, window=10))
+    boxes, windows = packing.pack_shard(list(range(4000)), [0] * 4000, sources, sizes, {"a": 0.75, "b": 0.25}, {}, packing.PackParams(capacity=1000, window=10))
     for lo in range(0, 390, 10):
         mine = [s for s, b in zip(sources, boxes) if lo <= b < lo + 10]
         assert abs(mine.count("a") / len(mine) - 0.75) < 0.03
+    assert all(d < 0.03 for _, d in windows[:-1]) and sum(n for n, _ in windows) == 400_000
 
 
 def test_a_deficit_is_paid_back_first():
     sources = ["a"] * 100 + ["b"] * 100
-    boxes = packing.pack_shard(list(range(200)), [0] * 200, sources, [100] * 200, {"a": 0.5, "b": 0.5}, {"a": 1000.0, "b": -1000.0}, packing.PackParams(capacity=1000, window=2))
+    boxes, _ = packing.pack_shard(list(range(200)), [0] * 200, sources, [100] * 200, {"a": 0.5, "b": 0.5}, {"a": 1000.0, "b": -1000.0}, packing.PackParams(capacity=1000, window=2))
     first = [s for s, b in zip(sources, boxes) if b < 2]
     assert first.count("a") > first.count("b")
 
 
+def test_a_large_deficit_is_carried_whole():
+    """A deficit of four windows is paid back in equal parts over all windows of the partition, none of it is cut."""
+    sources = ["a"] * 1000 + ["b"] * 1000
+    boxes, windows = packing.pack_shard(list(range(2000)), [0] * 2000, sources, [100] * 2000, {"a": 0.5, "b": 0.5}, {"a": 80_000.0, "b": -80_000.0}, packing.PackParams(capacity=1000, window=20))
+    first = [s for s, b in zip(sources, boxes) if b < 20]
+    assert len(windows) == 10 and first.count("a") / len(first) == pytest.approx(0.9, abs=0.02)
+    early = [s for s, b in zip(sources, boxes) if b < 100]
+    assert early.count("a") - early.count("b") == pytest.approx(800, abs=30)
+
+
+def test_a_target_other_than_the_natural_mixture(spark):
+    """Source b has a tenth of the tokens and a target of a third: windows keep the target until b ends, then a goes on alone."""
+    rows = [(i, "b" if i % 10 == 0 else "a", 90 + i % 21) for i in range(20_000)]
+    items = spark.createDataFrame(rows, ITEMS)
+    shares = spark.createDataFrame([("a", 2.0), ("b", 1.0), ("gone", 5.0)], "source string, share double").where("source <> 'gone'")
+    p = packing.PackParams(capacity=1000, window=20, shard_tokens=200_000)
+    report = packing.mixture_report(items, p, shares).collect()
+    assert sum(r.tokens for r in report) == sum(n for _, _, n in rows)
+    full = [r for r in report if r.tokens >= 18_000]
+    assert sum(r.deviation for r in full) / len(full) < 0.05
+    out = packing.pack(items, p, shares)
+    assert out.count() == len(rows) and len({r.container.split("-")[0] for r in out.collect()}) > 5
+
+
 def test_packing_edges(spark):
     empty = spark.createDataFrame([], ITEMS)
     assert packing.pack(empty, packing.PackParams(capacity=10)).count() == 0

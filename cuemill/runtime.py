@@ -61,6 +61,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return context._jsc.sc().getCheckpointDir().get()
 
 
+def subfolders(spark: SparkSession, folder: str, files: bool = False) -> list[str]:
+    """Names of the folders, or of the files, in a folder of any file system that Spark knows; none if it isn't there."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(s.getPath().getName() for s in fs.listStatus(path) if s.isDirectory() != files) if fs.exists(path) else []
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Materialise in the shared checkpoint folder: lineage ends there, and a lost executor costs nothing."""
     checkpoint_dir(df.sparkSession)

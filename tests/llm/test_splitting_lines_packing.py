@@ -110,11 +110,30 @@ def test_deltas_give_what_one_pass_gives(described):
 
 def test_only_newly_crossed_documents_are_touched(described):
     old = lines.line_rows(described.where("id < 3"), "id", "channel", "description")
-    state, hits = lines.advance(described.sparkSession.createDataFrame([], lines.STATE), old.limit(0), old, 4)
-    assert hits.count() == 0
-    state, hits = lines.advance(state, old, lines.line_rows(described.where("id = 3"), "id", "channel", "description"), 4)
+    state, hits = lines.advance(described.sparkSession.createDataFrame([], lines.STATE), old, 4)
+    assert hits.count() == 0 and max(len(r.places) for r in state.collect()) == 3
+    state, hits = lines.advance(state, lines.line_rows(described.where("id = 3"), "id", "channel", "description"), 4)
     assert {r.id for r in hits.collect()} == {0, 1, 2, 3}
-    assert lines.advance(state, old, old.limit(0), 4)[1].count() == 0
+    assert all((r.places is None) == (r.n >= 4) for r in state.collect())
+    assert lines.advance(state, old.limit(0), 4)[1].count() == 0
+
+
+def test_a_stored_state_goes_on_where_it_was_and_counts_no_partition_twice(spark, described, tmp_path):
+    args = ("id", "channel", "description")
+    lines.LineStore(spark, str(tmp_path), 4).merge("a", described.where("id < 3"), *args)
+    again = lines.LineStore(spark, str(tmp_path), 4)
+    again.merge("a", described.where("id < 3"), *args)
+    assert len(again.versions()) == 1 and again.removed().count() == 0
+    again.merge("b", described.where("id >= 3"), *args)
+    assert {(r.id, r.line_idx) for r in again.removed().collect()} == {(0, 1), (1, 1), (2, 1), (3, 0), (0, 4), (1, 4), (2, 4), (3, 1)}
+
+
+def test_a_hot_line_of_a_hot_source(spark):
+    """A third of all documents share one source and one line."""
+    docs = spark.range(3000).selectExpr("id", "if(id % 3 = 0, 'hot', concat('s', id % 50)) AS channel", "concat('always the same', '\n', 'own ', id) AS description")
+    state, removed = lines.recurring_lines([docs.where("id < 1500"), docs.where("id >= 1500")], "id", "channel", "description", 4)
+    assert removed.count() == 3000 and state.where("source = 'hot' AND n = 1000 AND places IS NULL").count() == 1
+    assert removed.where("line_idx <> 0").count() == 0
 
 
 def test_lines_of_an_empty_table(described):

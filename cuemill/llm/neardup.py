@@ -6,8 +6,10 @@ fingerprint is split into blocks; texts that agree on a whole block are candidat
 fingerprints discards those that are certainly apart, and the exact Jaccard similarity of the shingle sets decides.
 
 Exact copies are one class: pairs are found between classes, and expanded by membership only where a caller wants every
-pair. Blocks shared by many classes are cut into parts that are paired part by part, so no task and no row holds an
-unbounded group.
+pair. Blocks shared by many classes, and classes of many copies, are cut into parts that are paired part by part, so no task
+and no row holds an unbounded group; crowded blocks are salted before their exchange.
+
+Shingles are compared as 40-bit hashes: two sets of a thousand share one by chance with probability 1e-6.
 
 Defined results: null, empty and too short texts have no shingle and take no part; texts are read whole; copies and ties
 count as pairs of similarity 1; empty tables give empty results; further columns are ignored.
@@ -24,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cuemill.runtime import cut
+from cuemill.runtime import cut, weighted_lookup
 
 WORD = re.compile(r"[^\W_]+")
 
@@ -36,8 +38,11 @@ class NearDupParams:
     #: Blocks and values a block: a pair at the threshold t is missed with probability (1 - t ** rows) ** blocks.
     blocks: int = 24
     rows: int = 5
-    #: Classes that share a block are paired in parts of this many.
+    #: Classes that share a block, and copies of a class, are paired in parts of this many.
     part: int = 200
+    #: Blocks are counted in so many cells by hash; those of a cell with four times the mean are spread over ``salts`` tasks.
+    cells: int = 65_536
+    salts: int = 64
     #: Most candidate texts whose keys are broadcast to the second reading of the texts; beyond, that join is a shuffle.
     broadcast_rows: int = 1_000_000
 
@@ -166,22 +171,42 @@ def _scan(texts: DataFrame, params: NearDupParams, verify: bool) -> DataFrame:
     return texts.select("field", "key", "pieces").mapInArrow(scan, schema)
 
 
-def _candidates(classes: DataFrame, params: NearDupParams) -> DataFrame:
-    """Distinct (a, b), a < b, of the classes (id, blocks) that share a block.
+def _paired(parted: DataFrame, group: str, item: str) -> DataFrame:
+    """(x, y), x < y, of every two different items of a group, from (group, parts, part, item). Each pair of a group's parts is a
+    row of work of its own, whatever the group's size."""
+    parts = parted.groupBy(group, "parts", "part").agg(F.collect_list(item).alias("own"))
+    left = parts.select(group, "own", F.col("part").alias("at"), F.explode(F.sequence(F.col("part"), F.col("parts") - 1)).alias("part"))
+    both = left.join(parts.select(group, "part", F.col("own").alias("others")), [group, "part"])
+    pairs = both.select(F.explode("own").alias("x"), "others", (F.col("at") == F.col("part")).alias("same")).select("x", F.explode("others").alias("y"), "same")
+    # within one part every pair comes both ways, between two parts one way
+    kept = pairs.where((F.col("x") < F.col("y")) | (~F.col("same") & (F.col("x") > F.col("y"))))
+    return kept.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
+
+
+def _candidates(found: DataFrame, classes: DataFrame, params: NearDupParams) -> DataFrame:
+    """Distinct (a, b), a < b, of the classes (id, blocks) that share a block; ``found`` has the blocks of every text.
 
     Blocks held by two classes, nearly all, give their pair in one aggregation. A block held by more is cut into parts
-    of about ``part`` classes by hash, and each pair of parts is a row of work of its own, whatever the block's size.
+    of about ``part`` classes by hash. Blocks in crowded cells, at most a quarter of the cells, are exchanged by block and salt.
     """
-    rows = classes.select(F.explode("blocks").alias("bucket"), "id").repartition("bucket")  # the one exchange all branches share
-    counts = rows.groupBy("bucket").agg(F.count("*").alias("n"), F.min("id").alias("a"), F.max("id").alias("b"))
-    two = counts.where("n = 2 AND a < b").select("a", "b")
-    more = counts.where("n > 2").select("bucket", F.ceil(F.col("n") / params.part).cast("int").alias("parts"))
-    parted = rows.join(more, "bucket").withColumn("part", F.pmod(F.xxhash64("id"), "parts").cast("int"))
-    parts = parted.groupBy("bucket", "parts", "part").agg(F.collect_list("id").alias("ids"))
-    left = parts.select("bucket", "ids", F.explode(F.sequence(F.col("part"), F.col("parts") - 1)).alias("part"))
-    both = left.join(parts.select("bucket", "part", F.col("ids").alias("others")), ["bucket", "part"])
-    many = both.select(F.explode("ids").alias("x"), "others").select("x", F.explode("others").alias("y")).where("x <> y")
-    return two.unionByName(many.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))).distinct()
+    cell = lambda c: F.pmod(F.xxhash64(c), F.lit(params.cells)).alias("cell")
+    counts = found.select(F.explode("blocks").alias("bucket")).groupBy(cell("bucket")).agg(F.count("*").alias("n"))
+    counts = cut(counts)  # one row a cell
+    least = max(params.part, 4 * (counts.agg(F.sum("n")).first()[0] or 0) / params.cells)
+    crowded = F.broadcast(counts.where(F.col("n") > least).select("cell", F.lit(True).alias("crowded")))
+    rows = classes.select(F.explode("blocks").alias("bucket"), "id").withColumn("cell", cell("bucket")).join(crowded, "cell", "left")
+    salt = F.when(F.col("crowded"), F.pmod(F.xxhash64("id"), F.lit(params.salts))).otherwise(0).cast("int")
+    rows = rows.select("bucket", salt.alias("salt"), "id", F.coalesce("crowded", F.lit(False)).alias("crowded")).repartition("bucket", "salt")  # the one exchange all branches share
+    part = rows.groupBy("bucket", "salt").agg(F.count("*").alias("n"), F.min("id").alias("a"), F.max("id").alias("b"), F.first("crowded").alias("crowded"))
+    plain = part.where("NOT crowded")
+    crowd = part.where("crowded").groupBy("bucket").agg(F.sum("n").alias("n"), F.min("a").alias("a"), F.max("b").alias("b"))
+    two = plain.select("n", "a", "b").unionByName(crowd.select("n", "a", "b")).where("n = 2 AND a < b").select("a", "b")
+    parts = F.ceil(F.col("n") / params.part).cast("int").alias("parts")
+    salts = F.explode(F.sequence(F.lit(0), F.lit(params.salts - 1))).alias("salt")
+    more = plain.where("n > 2").select("bucket", "salt", parts).unionByName(crowd.where("n > 2").select("bucket", parts, salts))
+    parted = rows.select("bucket", "salt", "id").join(more, ["bucket", "salt"]).select("bucket", "parts", F.pmod(F.xxhash64("id"), "parts").cast("int").alias("part"), "id")
+    many = _paired(parted, "bucket", "id")
+    return two.unionByName(many.select(F.col("x").alias("a"), F.col("y").alias("b"))).distinct()
 
 
 def _near(params: NearDupParams):
@@ -230,14 +255,14 @@ def near_duplicates(texts: DataFrame, params: NearDupParams = NearDupParams()) -
     found = cut(_scan(texts, params, verify=False))
     members = found.select("field", "key", "id")
     classes = found.groupBy("id").agg(F.first(F.struct("n", "marks", "blocks")).alias("c"))
-    pairs = _candidates(classes.select("id", "c.blocks"), params)
+    pairs = _candidates(found, classes.select("id", "c.blocks"), params)
     short = found.select("id", "n", "marks").dropDuplicates(["id"])
     side = lambda x: short.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}"), F.col("marks").alias(f"m_{x}"))
     close = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "n_b", "m_a", "m_b")
     close = cut(close.mapInArrow(_near(params), "a long, b long"))
     # only the texts of close pairs are read again, one for each class
     wanted = close.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    first = members.join(wanted, "id", "left_semi").groupBy("id").agg(F.min(F.struct("field", "key")).alias("at")).select("at.field", "at.key")
+    first = members.groupBy("id").agg(F.min(F.struct("field", "key")).alias("at")).join(wanted, "id", "left_semi").select("at.field", "at.key")
     first = cut(first)
     if first.count() <= params.broadcast_rows:
         first = F.broadcast(first)
@@ -247,23 +272,36 @@ def near_duplicates(texts: DataFrame, params: NearDupParams = NearDupParams()) -
     return members, full.mapInArrow(_exact(params), "a long, b long, similarity double")
 
 
-def every_pair(members: DataFrame, links: DataFrame) -> DataFrame:
-    """(field, key_a, key_b), key_a < key_b: the links expanded by membership, and all pairs within classes of copies."""
-    m = members.select("field", "key", "id")
-    across = links.select("a", "b").join(m.select("field", F.col("key").alias("x"), F.col("id").alias("a")), "a")
-    across = across.join(m.select(F.col("key").alias("y"), F.col("id").alias("b")), "b")
-    shared = m.groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select("id")
-    copies = m.join(shared, "id")
-    within = copies.select("field", F.col("key").alias("x"), "id").join(copies.select(F.col("key").alias("y"), "id"), "id").where("x < y")
-    out = across.select("field", "x", "y").unionByName(within.select("field", "x", "y"))
+def every_pair(members: DataFrame, links: DataFrame, part: int = NearDupParams.part) -> DataFrame:
+    """(field, key_a, key_b), key_a < key_b: the links expanded by membership, and all pairs within classes of copies.
+
+    Classes are cut into parts of about ``part`` keys, and both steps work on pairs of parts.
+    """
+    sizes = members.groupBy("id").agg(F.count("*").alias("n"), F.first("field").alias("field"), F.min("key").alias("x"), F.max("key").alias("y"))
+    sizes = cut(sizes.withColumn("parts", F.ceil(F.col("n") / part).cast("int")))
+    place = F.pmod(F.xxhash64("key"), F.col("parts")).cast("int").alias("part")
+    keys = cut(weighted_lookup(members, sizes.select("id", "parts", "n", F.col("n").alias("uses")), ["id"], "uses").select("field", "id", "n", "parts", place, "key"))
+    named = keys.where("n > 2").select("id", "parts", "part", F.struct("field", "key").alias("item"))
+    within = _paired(named, "id", "item").select("x.field", F.col("x.key").alias("x"), F.col("y.key").alias("y"))
+    two = sizes.where("n = 2 AND x < y").select("field", "x", "y")
+    keys = keys.select("id", "part", "field", "key")
+    parted = lambda rows, c: rows.join(sizes.select(F.col("id").alias(c), "parts"), c).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+    across = parted(links.select("a", "b"), "a").join(keys.withColumnRenamed("id", "a"), ["a", "part"]).select("field", F.col("key").alias("x"), "b")
+    across = parted(across, "b").join(keys.select(F.col("id").alias("b"), "part", F.col("key").alias("y")), ["b", "part"]).select("field", "x", "y")
+    out = across.unionByName(within).unionByName(two)
     return out.select("field", F.least("x", "y").alias("key_a"), F.greatest("x", "y").alias("key_b"))
 
 
+def _of_classes(members: DataFrame, lookup: DataFrame, how: str = "inner") -> DataFrame:
+    """Members with the columns of their class in ``lookup`` (unique by id) and its number of copies; a class of any size is no hot key."""
+    sizes = members.groupBy("id").agg(F.count("*").alias("copies"))
+    return weighted_lookup(members, cut(sizes.join(lookup, "id", how).withColumn("uses", F.col("copies"))), ["id"], "uses")
+
+
 def class_summary(members: DataFrame, links: DataFrame) -> DataFrame:
     """(field, key, class_id, copies, links): one row per text, its class and the number of classes linked to it."""
-    sizes = members.groupBy("id").agg(F.count("*").alias("copies"))
     degree = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("links"))
-    out = members.join(sizes, "id").join(degree, "id", "left")
+    out = _of_classes(members, degree, "left")
     return out.select("field", "key", F.col("id").alias("class_id"), "copies", F.coalesce("links", F.lit(0)).alias("links"))
 
 
@@ -299,4 +337,4 @@ def groups(members: DataFrame, links: DataFrame) -> DataFrame:
         labels = _afresh(labels.join(hooks.withColumnRenamed("a", "label"), "label", "left").select("id", F.coalesce("up", "label").alias("label")))
         ends = edges.join(hooks, "a").select("b", F.col("up").alias("x")).join(hooks.withColumnRenamed("a", "b"), "b")
         edges = _afresh(ends.select(F.col("x").alias("a"), F.col("up").alias("b")).where("a <> b").distinct())
-    return members.join(labels, "id").select("field", "key", F.col("label").alias("group_id"))
+    return _of_classes(members, labels).select("field", "key", F.col("label").alias("group_id"))

@@ -39,10 +39,10 @@ def texts(spark):
     return spark.createDataFrame(rows, SCHEMA)
 
 
-@pytest.mark.parametrize("params", [N.HALF, N.NearDupParams(part=2), N.NearDupParams(width=3, similarity=0.5, blocks=90, rows=4, part=2)])
+@pytest.mark.parametrize("params", [N.HALF, N.NearDupParams(part=2), N.NearDupParams(width=3, similarity=0.5, blocks=90, rows=4, part=2, cells=4, salts=3, broadcast_rows=0)])
 def test_pairs_against_brute_force(texts, params):
     members, links = N.near_duplicates(texts, params)
-    got = {(r.field, r.key_a, r.key_b) for r in N.every_pair(members, links).collect()}
+    got = {(r.field, r.key_a, r.key_b) for r in N.every_pair(members, links, params.part).collect()}
     all_texts = corpus()
     true = {("t", i, j) for i in range(len(all_texts)) for j in range(i + 1, len(all_texts)) if jaccard(all_texts[i], all_texts[j], params.width) >= params.similarity}
     assert got == true and len(true) > 10
@@ -76,6 +76,25 @@ def test_classes_and_groups(texts):
     assert all(len(v) == 1 for v in got.values()) and len(got) == len({top(k) for k in summary})
 
 
+def test_crowded_blocks_and_copies_are_spread(spark):
+    """A third of all texts hold one passage of boilerplate and as many are one text: no task of any stage holds a group of them whole."""
+    base = " ".join(f"b{i}" for i in range(300))
+    rows = [("t", i, [f"{base} {i} x{i} y{i}" if i % 3 == 0 else "one text copied word for word again and again" if i % 3 == 1 else " ".join(f"u{i}x{j}" for j in range(30))], "x", 1) for i in range(360)]
+    params = N.NearDupParams(part=10, cells=64, salts=8)
+    members, links = N.near_duplicates(spark.createDataFrame(rows, SCHEMA), params)
+    assert links.count() == 120 * 119 // 2
+    classes = N.class_summary(members, links)
+    assert {(r.copies, r.links, r.n) for r in classes.groupBy("copies", "links").agg(F.count("*").alias("n")).collect()} == {(1, 119, 120), (120, 0, 120), (1, 0, 120)}
+    assert N.every_pair(members, links, 10).distinct().count() == 2 * 120 * 119 // 2 == N.every_pair(members, links, 10).count()
+
+
+def test_parts_bound_every_row_of_work(spark):
+    keys = spark.range(5000).selectExpr("'g' AS g", "50 AS parts", "pmod(xxhash64(id), 50) AS part", "id")
+    sizes = keys.groupBy("g", "part").count()
+    assert sizes.agg(F.max("count")).first()[0] < 200
+    assert N._paired(keys.where("id < 300"), "g", "id").where("x < y").distinct().count() == 300 * 299 // 2
+
+
 def test_long_chains_come_out_as_one_group(spark):
     rnd = random.Random(4)
     ids = rnd.sample(range(-(2**61), 2**61), 151)

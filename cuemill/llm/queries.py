@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cuemill.llm import encodings, leaks, lines, neardup, packing, pii, splitting, subjects, terms
+from cuemill.llm.glossary import glossary
 from cuemill.runtime import cut, segment_texts, table, text_of
 
 LEAST_VIDEOS = 4
@@ -15,13 +16,13 @@ LEAST_VIDEOS = 4
 
 def p1_found(spark: SparkSession, sf: str) -> DataFrame:
     """Every entry that isn't letter for letter canonical, with the canonical term it means, 0 for none."""
-    found = terms.map_entries(table(spark, sf, "videos"), table(spark, sf, "canonical_terms"), "video_id", ["domains", "key_concepts"])
+    found = terms.map_entries(table(spark, sf, "videos"), table(spark, sf, "canonical_terms"), "video_id", ["domains", "key_concepts"], aliases=glossary(spark))
     return found.select(F.col("key").alias("video_id"), "field", F.col("pos").cast("int").alias("pos"), "term_id")
 
 
 def p1_unmatched(spark: SparkSession, sf: str) -> DataFrame:
     """Values that mean no canonical term, with the number of entries that hold them."""
-    return terms.unmatched_report(table(spark, sf, "videos"), table(spark, sf, "canonical_terms"), "video_id", ["domains", "key_concepts"])
+    return terms.unmatched_report(table(spark, sf, "videos"), table(spark, sf, "canonical_terms"), "video_id", ["domains", "key_concepts"], aliases=glossary(spark))
 
 
 def _personal_texts(spark: SparkSession, sf: str) -> DataFrame:
@@ -39,7 +40,7 @@ def p2_redacted(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _mixtures(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    return subjects.subject_mixtures(*(table(spark, sf, n) for n in ("videos", "canonical_terms", "subject_areas", "subject_labels")))
+    return subjects.subject_mixtures(*(table(spark, sf, n) for n in ("videos", "canonical_terms", "subject_areas", "subject_labels")), aliases=glossary(spark))
 
 
 def p3_found(spark: SparkSession, sf: str) -> DataFrame:

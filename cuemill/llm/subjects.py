@@ -66,7 +66,7 @@ def _information(counts: DataFrame, key: str, totals: DataFrame, everything: flo
     return gains.select(key, "n", F.greatest(F.lit(0.0), F.col("kl") - (terms - 1) / (2 * F.col("n"))).alias("gain"))
 
 
-def subject_mixtures(videos: DataFrame, terms: DataFrame, areas: DataFrame, labels: DataFrame, params: SubjectParams = SubjectParams()) -> tuple[DataFrame, DataFrame]:
+def subject_mixtures(videos: DataFrame, terms: DataFrame, areas: DataFrame, labels: DataFrame, params: SubjectParams = SubjectParams(), aliases: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Leaf mixtures and leaf labels.
 
     ``videos`` has (id, video_id, summary, domains); ``terms`` (term_id, field, name); ``areas`` (subject_id, name);
@@ -79,7 +79,7 @@ def subject_mixtures(videos: DataFrame, terms: DataFrame, areas: DataFrame, labe
     index = {r.term_id: i for i, r in enumerate(names)}
     size = max(1, len(index))
     found = entries(videos, "id", ["domains"]).select("key", "field", "value")
-    answers = cut(map_terms(found.select("field", "value"), terms.where("field = 'domains'"), params.terms).where("term_id <> 0").select("field", "value", "n", "term_id"))
+    answers = cut(map_terms(found.select("field", "value"), terms.where("field = 'domains'"), params.terms, aliases).where("term_id <> 0").select("field", "value", "n", "term_id"))
     place = F.create_map(*[F.lit(x) for pair in (index or {-1: 0}).items() for x in pair])
     domains = cut(weighted_lookup(found, answers, ["field", "value"], "n").select(F.col("key").alias("id"), place[F.col("term_id")].alias("term")).distinct())
 

@@ -14,8 +14,8 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections import Counter
-from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from collections.abc import Sequence
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -24,93 +24,6 @@ from pyspark.sql import types as T
 
 from cuemill.runtime import WHITE, cut, weighted_lookup
 
-#: Other names of entries: translations, trade names, short forms. A parameter of the operator; keys are canonical names.
-ALIASES: dict[str, tuple[str, ...]] = {
-    "particle physics": ("Teilchenphysik", "physique des particules", "high energy physics", "HEP"),
-    "astronomy": ("Astronomie", "star gazing science", "Astronomie allg."),
-    "molecular biology": ("biologie moléculaire", "Molekularbiologie", "mol bio"),
-    "geology": ("géologie", "Geologie", "earth science"),
-    "machine learning": ("apprentissage automatique", "aprendizaje automático", "maschinelles Lernen", "ML", "statistical learning"),
-    "web development": ("développement web", "Webentwicklung", "front-end and back-end work", "webdev"),
-    "database systems": ("bases de données", "Datenbanken", "databases", "DBMS"),
-    "computer security": ("sécurité informatique", "IT-Sicherheit", "infosec"),
-    "contract law": ("droit des contrats", "Vertragsrecht", "law of agreements"),
-    "criminal procedure": ("procédure pénale", "Strafprozessrecht"),
-    "intellectual property": ("propriété intellectuelle", "geistiges Eigentum", "IP rights"),
-    "labour law": ("droit du travail", "Arbeitsrecht", "employment law"),
-    "track and field": ("athlétisme", "atletismo", "Leichtathletik", "athletics"),
-    "football tactics": ("tactique du football", "Fußballtaktik", "soccer strategy"),
-    "strength training": ("musculation", "Krafttraining", "weight lifting practice"),
-    "rock climbing": ("escalade", "Klettern", "bouldering and ropes"),
-    "cardiology": ("cardiología", "Kardiologie", "heart medicine"),
-    "emergency medicine": ("médecine d'urgence", "Notfallmedizin", "ER care"),
-    "nutrition science": ("nutrition humaine", "Ernährungswissenschaft", "dietetics"),
-    "mental health": ("santé mentale", "psychische Gesundheit", "psychological wellbeing"),
-    "personal finance": ("finances personnelles", "private Finanzen", "household budgeting"),
-    "corporate accounting": ("comptabilité d'entreprise", "Unternehmensbuchhaltung", "bookkeeping for firms"),
-    "stock markets": ("marchés boursiers", "Aktienmärkte", "equities"),
-    "tax planning": ("planification fiscale", "Steuerplanung"),
-    "ancient history": ("histoire antique", "Alte Geschichte", "antiquity"),
-    "military history": ("histoire militaire", "Militärgeschichte", "war history"),
-    "economic history": ("histoire économique", "Wirtschaftsgeschichte"),
-    "archaeology": ("archéologie", "Archäologie"),
-    "music theory": ("théorie musicale", "Musiktheorie", "harmony and counterpoint"),
-    "sound engineering": ("ingénierie du son", "Tontechnik", "audio mixing"),
-    "guitar technique": ("technique de guitare", "Gitarrentechnik", "guitar playing"),
-    "choral singing": ("chant choral", "Chorgesang", "choir"),
-    "bread baking": ("boulangerie maison", "Brotbacken", "baking of loaves"),
-    "fermentation": ("fermentación", "Fermentierung", "pickling and culturing"),
-    "pastry arts": ("pâtisserie", "Konditorei"),
-    "knife skills": ("techniques de couteau", "Messertechnik", "cutting technique"),
-    "civil engineering": ("génie civil", "Bauingenieurwesen", "construction engineering"),
-    "electronics": ("électronique", "Elektronik", "circuit design"),
-    "mechanical design": ("conception mécanique", "mechanische Konstruktion", "machine design"),
-    "robotics": ("robotique", "Robotik", "robot building"),
-    "soil science": ("science du sol", "Bodenkunde", "pedology"),
-    "fruit growing": ("arboriculture fruitière", "Obstbau", "orchard keeping"),
-    "greenhouse farming": ("culture sous serre", "Gewächshausanbau", "glasshouse cultivation"),
-    "garden design": ("aménagement de jardin", "Gartengestaltung", "landscaping"),
-    "oil painting": ("peinture à l'huile", "Ölmalerei", "oils"),
-    "portrait photography": ("photographie de portrait", "Porträtfotografie", "portrait shooting"),
-    "film editing": ("montage vidéo", "Filmschnitt", "video cutting"),
-    "typography": ("typographie", "Typografie", "type design"),
-    "redshift": ("red shift effect",),
-    "cell membrane": ("plasma membrane",),
-    "spectral line": ("emission line",),
-    "isotope dating": ("radiometric dating",),
-    "gradient descent": ("GD optimizer", "steepest descent training"),
-    "hash table": ("hashmap", "dictionary structure"),
-    "garbage collection": ("GC", "automatic memory reclaim"),
-    "query planner": ("SQL optimizer",),
-    "unit testing": ("testing single functions",),
-    "public key cryptography": ("PKC", "asymmetric crypto"),
-    "message queue": ("job broker",),
-    "burden of proof": ("onus probandi",),
-    "statutory limitation": ("limitation period",),
-    "injunctive relief": ("injunction",),
-    "interval training": ("intervals session",),
-    "heart rate zone": ("HR zone",),
-    "blood pressure": ("BP reading",),
-    "randomised trial": ("RCT",),
-    "cognitive therapy": ("CBT",),
-    "compound interest": ("interest on interest",),
-    "index fund": ("passive fund",),
-    "price earnings ratio": ("P/E",),
-    "time signature": ("metre",),
-    "dynamic compression": ("audio compressor",),
-    "sourdough starter": ("levain",),
-    "tempering chocolate": ("chocolate temper",),
-    "maillard browning": ("maillard effect",),
-    "inverse kinematics": ("IK solving",),
-    "finite element mesh": ("FE mesh",),
-    "pulse width modulation": ("PWM",),
-    "compost heap": ("composting pile",),
-    "crop rotation": ("rotating crops",),
-    "depth of field": ("DOF",),
-    "three point lighting": ("3-point light",),
-    "microphone placement": ("mic placement",),
-    "fingerpicking pattern": ("finger picking",),
-}
 #: Words around a value that don't change what it means.
 FILLER_WORDS = frozenset("the a an about intro introduction to basics explained advanced beginners 101".split())
 LOOKALIKES = str.maketrans("аеорсухіјѕԁһӏкмтвнАЕОРСУХІКМТВН", "aeopcyxijsdhlkmtbhAEOPCYXIKMTBH")
@@ -128,7 +41,6 @@ class TermParams:
     margin: float = 0.03
     max_edits: float = 0.34
     gram: int = 3
-    aliases: Mapping[str, Sequence[str]] = field(default_factory=lambda: ALIASES)
 
 
 def normalise(value: str | None) -> str:
@@ -139,7 +51,9 @@ def normalise(value: str | None) -> str:
         s = s.translate(LOOKALIKES)
     s = re.sub(r"(?<=[a-zß-ÿ])(?=[A-Z])", " ", s)
     s = re.sub(r"\([^()]*\)\s*$", " ", s) if re.search(r"\w", re.sub(r"\([^()]*\)\s*$", "", s)) else s
-    s = re.sub(r"^([^,]*\w[^,]*),([^,]*\w[^,]*)$", r"\2 \1", s)
+    before, comma, after = s.partition(",")
+    if comma and "," not in after and re.search(r"\w", before) and re.search(r"\w", after):
+        s = f"{after} {before}"
     s = unicodedata.normalize("NFD", s.lower().translate(PLAIN))
     s = "".join(c for c in s if not unicodedata.combining(c))
     words = re.sub(r"[^\w']+|_", " ", s).replace("'", " ").split()
@@ -194,26 +108,34 @@ def _folded(n: int):
     return fold
 
 
-def term_forms(terms: DataFrame, params: TermParams) -> DataFrame:
-    """(field, form, term_id): names, aliases and the dotted short forms that follow from a name by rule ("prog. over.")."""
-    pairs = [(k.lower(), a) for k, names in params.aliases.items() for a in names]
-    aliases = terms.sparkSession.createDataFrame(pairs or [("", "")], "name_key string, form string")
+ALIASES = "name string, form string"
+
+
+def term_forms(terms: DataFrame, aliases: DataFrame | None = None) -> DataFrame:
+    """(field, form, term_id): names, their other names in ``aliases`` (name, form), and the dotted short forms that follow from a
+    name by rule ("prog. over.")."""
     base = terms.where("name IS NOT NULL AND term_id IS NOT NULL").select("term_id", "field", F.col("name").alias("form"))
     short = base.where(F.instr("form", " ") > 0).select("term_id", "field", F.regexp_replace("form", r"(\p{L}{4})\p{L}{2,}", "$1").alias("form"))
-    other = base.withColumn("name_key", F.lower("form")).drop("form").join(F.broadcast(aliases), "name_key").select("term_id", "field", "form")
-    return base.unionByName(short).unionByName(other).distinct()
+    out = base.unionByName(short)
+    if aliases is not None:
+        other = aliases.where("name IS NOT NULL AND form IS NOT NULL").select(F.lower("name").alias("_name"), F.col("form").alias("_form")).distinct()
+        named = base.join(other, F.lower("form") == F.col("_name"))
+        out = out.unionByName(named.select("term_id", "field", F.col("_form").alias("form")))
+    return out.distinct()
 
 
-def map_terms(values: DataFrame, terms: DataFrame, params: TermParams = TermParams()) -> DataFrame:
+def map_terms(values: DataFrame, terms: DataFrame, params: TermParams = TermParams(), aliases: DataFrame | None = None) -> DataFrame:
     """Answer every distinct value of ``values`` (field, value).
 
+    ``aliases`` (name, form), none by default, gives canonical names further forms, as translations, which no n-gram can find.
+
     Returns (field, value, n, term_id, score, margin): ``n`` is how many rows hold the value, ``term_id`` is 0 for none.
     ``terms`` holds (term_id, field, name); further columns of either input are ignored.
     """
     fold = _folded(params.gram)
     distinct = values.select(F.col("field").cast("string"), F.col("value").cast("string")).groupBy("field", "value").agg(F.count("*").alias("n"))
     distinct = cut(distinct.withColumn("folded", fold("value")).select("field", "value", "n", "folded.norm", "folded.grams"))
-    forms = term_forms(terms.select("term_id", F.col("field").cast("string"), F.col("name").cast("string")), params)
+    forms = term_forms(terms.select("term_id", F.col("field").cast("string"), F.col("name").cast("string")), aliases)
     forms = forms.withColumn("folded", fold("form")).select("field", "term_id", "folded.norm", "folded.grams").where("norm <> ''").dropDuplicates(["field", "term_id", "norm"])
     forms = cut(forms.withColumn("form_id", F.monotonically_increasing_id()))
     posts = forms.select("field", "form_id", F.explode("grams").alias("gram")).groupBy("field", "form_id", "gram").agg(F.count("*").alias("tf"))
@@ -259,16 +181,16 @@ def entries(rows: DataFrame, key: str, fields: Sequence[str]) -> DataFrame:
     return out.where(F.regexp_replace("value", f"[{WHITE}]+", "") != "")
 
 
-def map_entries(rows: DataFrame, terms: DataFrame, key: str, fields: Sequence[str], params: TermParams = TermParams()) -> DataFrame:
+def map_entries(rows: DataFrame, terms: DataFrame, key: str, fields: Sequence[str], params: TermParams = TermParams(), aliases: DataFrame | None = None) -> DataFrame:
     """(key, field, pos, value, term_id) for every non-blank entry that isn't letter for letter a canonical name of its field."""
     names = terms.where("name IS NOT NULL").select("field", F.col("name").alias("value")).distinct()
     loose = entries(rows, key, fields).join(names, ["field", "value"], "left_anti")
-    answers = cut(map_terms(loose.select("field", "value"), terms, params))
+    answers = cut(map_terms(loose.select("field", "value"), terms, params, aliases))
     return weighted_lookup(loose, answers.select("field", "value", "n", "term_id"), ["field", "value"], "n").select("key", "field", "pos", "value", "term_id")
 
 
-def unmatched_report(rows: DataFrame, terms: DataFrame, key: str, fields: Sequence[str], params: TermParams = TermParams()) -> DataFrame:
+def unmatched_report(rows: DataFrame, terms: DataFrame, key: str, fields: Sequence[str], params: TermParams = TermParams(), aliases: DataFrame | None = None) -> DataFrame:
     """(field, value, n) of the values that mean no entry, the most frequent first by ``n``."""
     names = terms.where("name IS NOT NULL").select("field", F.col("name").alias("value")).distinct()
     loose = entries(rows, key, fields).join(names, ["field", "value"], "left_anti")
-    return map_terms(loose.select("field", "value"), terms, params).where("term_id = 0").select("field", "value", "n")
+    return map_terms(loose.select("field", "value"), terms, params, aliases).where("term_id = 0").select("field", "value", "n")

@@ -24,23 +24,22 @@ from pyspark.sql import functions as F
 from cuemill.runtime import segment_texts, text_of
 
 KINDS = ("email", "phone", "id_number", "address", "name")
-#: Given names that count as evidence for a person where no title or phrase announces one. A parameter, not a limit:
-#: announced names need not be listed.
+#: Frequent given names of several languages: evidence for a person where a bracket holds a name that nothing announces. A parameter
+#: of the operator; announced names need not be listed.
 GIVEN_NAMES = frozenset(
-    """adam adele alan alex alice amara amelie ana andrea andreas anna anne ansel anton antonio beatriz ben bastian carla carlos caspar
-    chris clara claire daniel dario david dorothy elena elif elisa emil emile emily emma erik eva felix fiona frank freya george hannah
-    hans helen henrik henry ines inigo isabel jack jakob james jana jane jean joan joe johann john jonas jorge joris jose juan julia
-    jurgen kai karen karl katja kevin laura lea lena lenka leo leonie lina linda lisa louis lucas lucia luis maelle maja marc marek maria
-    marie mark marta martin mary max maya michael milo mohammed nadja nina noah noor odile olga oliver orrin oscar pablo paul pedro peter
-    petra pierre rosa rosalba ruben sam sara silvan simon sofia soren sophie stefan sunniva susan tarik tessa thomas tobin tom ursula
-    vera victor wilma yara ysolde yusuf zoe""".split()
+    """adam alan alex alice amelie ana andrea andreas anna anne anton antonio barbara beatriz ben carla carlos carmen charles chris christian
+    clara claire daniel david diego dorothy elena elisa emil emily emma erik eva felix fiona francois frank george hannah hans helen henry
+    isabel jack james jan jana jane jean jens joan joe johann john jonas jorge jose josef juan julia jurgen karen karl katja kevin klaus laura
+    lea lena leo linda lisa louis louise lucas lucia luis luke marc maria marie mark marta martin mary max maya michael michel miguel mohammed
+    monika nadja nicolas nina noah oliver olga omar pablo paul pedro peter petra philip pierre rachel robert rosa sam samuel sandra sara
+    sarah sebastian simon sofia sophie stefan susan thomas tim tom uwe vera victor william yusuf zoe""".split()
 )
 #: Words of organisations, shows and places: a name that holds one is no person.
 NOT_PERSON = frozenset(
     """academy talks tv notes workshop lab labs friends studio studios suite club kit team channel press desk records media music street lane
     ave avenue road station library group show podcast the a an and or to at of in on for from with by is are was were be this that it its
     we you they my our your und oder mit für von der die das den dem ein eine et ou avec pour de la le les un une des du y o con para el
-    los las al que all every each us me him her them who asked last week today here""".split()
+    los las al que all every each us me him her them who asked last week today here mr mrs ms frau herr herrn monsieur madame mme señor señora""".split()
 )
 
 
@@ -50,6 +49,7 @@ class PiiParams:
     #: Characters before and after a proposal that are searched for context words.
     before: int = 44
     after: int = 24
+    given_names: frozenset[str] = GIVEN_NAMES
 
 
 # --- validators -----------------------------------------------------------------------------------------------------
@@ -136,38 +136,32 @@ ID_WORD = re.compile(
 _N = r"[^\W\d_]{2,}(?:['’-][^\W\d_]+)*"
 #: Forms of a person's name: given and family name, with or without a middle initial, initial first, family name first.
 NAME_FORM = rf"(?:{_N}\s+[^\W\d_]\.?\s+{_N}|[^\W\d_]\.?\s+{_N}|{_N},?\s+{_N})"
-#: (word that must occur, expression): phrases in several languages that announce or close a person's name.
+#: Relations, roles and doings that stand before or after a person's name in several languages. General words, not whole sentences.
+_RELATION = r"neighbou?r|friend|colleague|teacher|brother|sister|mother|father|uncle|aunt|cousin|wife|husband|boss|student|assistant|nachbar(?:in)?|freund(?:in)?|kolleg(?:e|in)|voisine?|amie?|coll[eè]gue|vecin[oa]|amig[oa]"
+_ROLE = r"camera|kamera|caméra|cámara|sound|ton|son|sonido|editing|schnitt|montage|music|musik|musique|host|guest|speaker|producer|director|author|editor|contact|moderation|gast|invitée?|presenta"
+_DONE = r"edited|written|filmed|shot|recorded|presented|hosted|produced|directed|translated|narrated|drawn|composed|performed|read"
+_DOES = r"checked|fixed|found|wrote|filmed|recorded|edited|helped|built|drew|made|sent|lent|spotted|corrected|translated|proofread|reviewed|read|measured|did|took"
+#: (words of which one must occur, expression, whether things do so too): what announces or closes a person's name.
 ANNOUNCED = [
-    (trigger, re.compile(rf"(?<!\w)(?:{lead})(?P<n>{NAME_FORM})(?!\w){tail}", re.I))
-    for trigger, lead, tail in (
-        ("dr", r"(?:prof\.?\s+)?dr\.?a?\s+", ""),
-        ("prof", r"prof\.?\s+", ""),
-        ("mr", r"mrs?\.?\s+", ""),
-        ("ms", r"ms\.\s+", ""),
-        ("frau", r"frau\s+", ""),
-        ("herr", r"herrn?\s+", ""),
-        ("mme", r"mme\.?\s+", ""),
-        ("señor", r"señora?\s+|sra?\.\s+", ""),
-        ("danke", r"danke\s+an\s+(?!frau\s|herrn?\s)", ""),
-        ("dank", r"dank\s+an\s+(?!frau\s|herrn?\s)", ""),
-        ("thanks to", r"thanks\s+to\s+", ""),
-        ("thank you", r"thank\s+you\s+", ""),
-        ("merci", r"merci\s+à\s+", ""),
-        ("gracias", r"gracias\s+a\s+", ""),
-        ("this one is for", r"this\s+one\s+is\s+for\s+", ""),
-        ("neighbour", r"(?:my|our)\s+neighbour\s+", ""),
-        ("neighbor", r"(?:my|our)\s+neighbor\s+", ""),
-        ("interview", r"interview\s+(?:with|mit|avec|con)\s+", ""),
-        ("camera", r"camera\s?:\s+", ""),
-        ("kamera", r"kamera\s?:\s+", ""),
-        ("caméra", r"caméra\s?:\s+", ""),
-        ("edited by", r"edited\s+by\s+", ""),
-        ("written by", r"written\s+by\s+", ""),
-        ("my name is", r"my\s+name\s+is\s+", ""),
-        ("ich heiße", r"ich\s+heiße\s+", ""),
-        ("je m'appelle", r"je\s+m['’]appelle\s+", ""),
-        ("me llamo", r"me\s+llamo\s+", ""),
-        ("checked the numbers", r"", r"(?=\s+checked\s+the\s+numbers)"),
+    (triggers, re.compile(rf"(?<!\w)(?:{lead})(?P<n>{NAME_FORM})(?!\w){tail}", re.I), bool(tail) or lead.startswith(rf"(?:{_DONE})"))
+    for triggers, lead, tail in (
+        (("dr",), r"(?:prof\.?\s+)?dr\.?a?\s+", ""),
+        (("prof",), r"prof\.?\s+", ""),
+        (("mr",), r"mrs?\.?\s+", ""),
+        (("ms",), r"ms\.\s+", ""),
+        (("frau", "herr"), r"(?:frau|herrn?)\s+", ""),
+        (("mme", "monsieur", "madame"), r"(?:mme\.?|monsieur|madame)\s+", ""),
+        (("señor", "sr", "doña"), r"señora?\s+|sra?\.\s+|doña\s+", ""),
+        (("dank",), r"danke?\s+an\s+(?!frau\s|herrn?\s)", ""),
+        (("thank",), r"(?:thanks\s+to|thank\s+you,?)\s+", ""),
+        (("merci", "gracias"), r"(?:merci\s+à|gracias\s+a)\s+", ""),
+        ((" for ", " für ", " pour ", " para ", "memory"), r"(?:this\s+(?:one|video|episode|song)\s+is\s+(?:also\s+)?for|dedicated\s+to|in\s+memory\s+of|gewidmet|en\s+memoria\s+de)\s+", ""),
+        (("my ", "our ", "mein", "unser", "mon ", "ma ", "notre", "mi ", "nuestr"), rf"(?:my|our|his|her|meine?|unsere?|mon|ma|notre|mi|nuestr[oa])\s+(?:{_RELATION})\s+", ""),
+        (("interview", "talk", "gespräch", "entretien", "entrevista"), r"(?:interview|conversation|talk|gespräch|entretien|entrevista)\s+(?:with|mit|avec|con)\s+", ""),
+        ((":",), rf"(?:{_ROLE})\s?:\s+", ""),
+        ((" by ",), rf"(?:{_DONE})\s+by\s+", ""),
+        (("name is", "heiße", "appelle", "llamo"), r"(?:my\s+name\s+is|ich\s+heiße|je\s+m['’]appelle|me\s+llamo)\s+", ""),
+        (tuple(_DOES.split("|")), r"", rf"(?=\s+(?:{_DOES})\s+(?:the|this|all|every|my|our)\b)"),
     )
 ]
 #: A name alone in brackets, or as the alternative in brackets.
@@ -188,9 +182,13 @@ ADDRESSES = [
     )
 ]
 
-PHONE_NEAR = re.compile(r"call|\btel\b|tel\.|telefon|téléphone|phone|hotline|text|joignable|unter\b|geht jemand|before noon|mobile|whatsapp|fax|appelez|llam|ruf|\(or|\(alt|reach", re.I)
-ID_NEAR = re.compile(r"\bssn\b|social security|\bdni\b|\bnie\b|\bnir\b|personalausweis|ausweis|national insurance|tax number|steuer|passport|pasaporte|passeport|\bid\b|identity|iban|konto|card number|kreditkarte|on the form|for the contract|on camera", re.I)
-NUMBER_ELSE = re.compile(r"order no|grid ref|isbn|ratio|sample code|chapter|build|version|\btotal\b|invoice|part no|serial|tag\b|fps|page|clip #|mix \d", re.I)
+PHONE_NEAR = re.compile(r"call|\btel\b|tel\.|telefon|téléphone|phone|hotline|text|joignable|unter\b|mobile|handy|dial|ring|sms|voicemail|contact|whatsapp|fax|appelez|llam|ruf|\(or|\(alt|reach", re.I)
+ID_NEAR = re.compile(r"\bssn\b|social security|\bdni\b|\bnie\b|\bnir\b|personalausweis|ausweis|national insurance|tax number|steuer|passport|pasaporte|passeport|\bid\b|identity|iban|konto|card number|kreditkarte|\bform\b|formular|contract|vertrag|document|registration|insurance|versicherung|camera", re.I)
+#: Words that say a number counts or names something else.
+NUMBER_ELSE = re.compile(
+    r"\b(?:order|invoice|receipt|ticket|isbn|issn|ref|reference|part no|serial|batch|lot|sku|model|version|build|release|chapter|page|episode|track|clip|take|scene|mix|sample|code|tag|total|sum|ratio|score|grid|coordinates|fps|dpi|pixels|views|seed|checksum)s?\b",
+    re.I,
+)
 NAME_ELSE = re.compile(r"\b(?:licensed|plugin|playlist)\b", re.I)
 
 
@@ -231,6 +229,12 @@ def _id_score(value: str) -> float:
     return 0.2
 
 
+def _looks_like_name(name: str, params: PiiParams) -> bool:
+    """An initial, a frequent given name, or capitals on every word."""
+    words = re.findall(r"[^\W\d_]+(?:['’-][^\W\d_]+)*", name)
+    return bool(re.search(r"(?:^|\s)(?:[^\W\d_]\.|[A-Z]\s)", name)) or any(_plain(x) in params.given_names for w in words for x in w.split("-")) or all(w[0].isupper() and not w.isupper() for w in words)
+
+
 def find_values(text: str, params: PiiParams = PiiParams()) -> list[tuple[int, int, str, float]]:
     """(start, end, kind, score) of every personal value, without overlaps, in order of place."""
     found: list[tuple[int, int, str, float]] = []
@@ -269,33 +273,34 @@ def find_values(text: str, params: PiiParams = PiiParams()) -> list[tuple[int, i
         elif len(digits) >= 9:
             plan = max(phone_plan(digits), phone_plan("+" + digits.lstrip("0") if not digits.startswith("00") else digits))
             found.append((s, e, "phone", plan + (0.3 if near(PHONE_NEAR, s, e) else 0)))
-    if ID_NEAR.search(text):
-        for m in ID_WORD.finditer(text):
-            s, e = m.start(), m.end()
-            if re.search(r"\d", m[0]) and not just_before(NUMBER_ELSE, s):
-                found.append((s, e, "id_number", _id_score(m[0]) + (0.45 if near(ID_NEAR, s, e) else 0.0)))
-    else:
-        found += [(m.start(), m.end(), "id_number", _id_score(m[0]) + 0.1) for m in ID_WORD.finditer(text) if any(c.isdigit() for c in m[0])]
+    for m in ID_WORD.finditer(text):
+        s, e = m.start(), m.end()
+        if any(c.isdigit() for c in m[0]) and not just_before(NUMBER_ELSE, s):
+            score = _id_score(m[0])
+            if score > 0:
+                found.append((s, e, "id_number", score + (0.45 if near(ID_NEAR, s, e) else 0.0)))
     for triggers, pattern in ADDRESSES:
         if any(t in low for t in triggers):
             found += [(m.start(), m.end(), "address", 0.8) for m in pattern.finditer(text)]
-    for trigger, pattern in ANNOUNCED:
-        if trigger in low:
+    for triggers, pattern, strict in ANNOUNCED:
+        if any(t in low for t in triggers):
             for m in pattern.finditer(text):
                 words = [w.lower() for w in re.findall(r"[^\W\d_]{2,}", m["n"])]
+                if strict and not _looks_like_name(m["n"], params):
+                    continue
                 if not NOT_PERSON.intersection(words) and not NAME_ELSE.search(text, m.end(), m.end() + params.after):
                     found.append((m.start("n"), m.end("n"), "name", 0.85))
     if "(" in text:
         for m in ASIDE.finditer(text):
             words = [w.lower() for w in re.findall(r"[^\W\d_]{2,}", m["n"])]
-            known = any(_plain(w) in GIVEN_NAMES for w in words) or bool(re.match(r"[^\W\d_]\.?\s", m["n"]))
-            if known and not NOT_PERSON.intersection(words):
+            if _looks_like_name(m["n"], params) and not NOT_PERSON.intersection(words):
                 found.append((m.start("n"), m.end("n"), "name", 0.7))
-    kept: list[tuple[int, int, str, float]] = []
+    kept: list[tuple[int, int, str, float]] = []  # without overlaps, in order of place
     for span in sorted((x for x in found if x[3] >= params.threshold), key=lambda x: (-x[3], x[0], -x[1])):
-        if all(span[1] <= k[0] or span[0] >= k[1] for k in kept):
-            kept.append(span)
-    return sorted(kept)
+        at = bisect_right(kept, span[0], key=lambda k: k[0])
+        if (at == 0 or kept[at - 1][1] <= span[0]) and (at == len(kept) or kept[at][0] >= span[1]):
+            kept.insert(at, span)
+    return kept
 
 
 # --- operators ------------------------------------------------------------------------------------------------------

@@ -38,6 +38,35 @@ def test_find(text, expected):
     assert found(text) == expected
 
 
+#: Sentences of our own that hold none of the wordings of the test tables.
+HELD_OUT = [
+    ("Mein Kollege Thomas Brandl hilft beim Licht.", "name", "Thomas Brandl"), ("This video is for Maria Lindgren.", "name", "Maria Lindgren"), ("Our teacher Helen Marsh explains.", "name", "Helen Marsh"),
+    ("Narrated by Oliver Kent, 2024", "name", "Oliver Kent"), ("Moderation: Sabine Kurz und andere", "name", "Sabine Kurz"), ("In memory of Carl Otten.", "name", "Carl Otten"),
+    ("My brother Jonas Weil lent us a lens.", "name", "Jonas Weil"), ("Entretien avec Monsieur Luc Perrin demain", "name", "Luc Perrin"), ("Maria Sundholm proofread the script.", "name", "Maria Sundholm"),
+    ("Ring 0161 496 0123 in the evening", "phone", "0161 496 0123"), ("Handy: 0171/234 567 89", "phone", "0171/234 567 89"), ("leave an sms on 07700 900123 please", "phone", "07700 900123"),
+    ("In dem Formular steht X4457075L.", "id_number", "X4457075L"), ("my registration is 86095742719", "id_number", "86095742719"),
+    ("parcels go to 14 Linden Terrace please", "address", "14 Linden Terrace"), ("Büro: Gartenstraße 7a im Hof", "address", "Gartenstraße 7a"), ("mail me: jo.k@post.example", "email", "jo.k@post.example"),
+]
+DECOYS = ["Batch 0301 234567 was late", "seed 4044846277 again", "12 345 678 views and 9 912 shares", "Score 235 604 51 1973", "Model 0800-11-22-33", "recorded by hand in one take", "Old Mill checked in", "the red lamp found the wall"]
+
+
+def test_wordings_of_our_own():
+    missed = [(t, found(t)) for t, kind, value in HELD_OUT if found(t) != [(kind, value)]]
+    assert len(missed) <= 1, missed
+    assert [(t, found(t)) for t in DECOYS if found(t)] == []
+
+
+def test_a_number_scores_the_same_in_a_long_text():
+    for text in ("in 86095742719 steps", "card 4111 1111 1111 1111", "id C0H423618", "the code Y1234567X"):
+        far = [x for x in found(text + " word" * 400 + " passport")]
+        assert far == found(text)
+
+
+def test_many_spans_in_one_text():
+    text = " ".join(f"a{i}@b.example" for i in range(20_000))
+    assert len(found(text)) == 20_000
+
+
 def test_validators():
     assert pii.luhn("4111111111111111") and not pii.luhn("4111111111111112")
     assert pii.mod97_iban("DE89370400440532013000") and not pii.mod97_iban("DE88370400440532013000")

@@ -29,6 +29,7 @@ says said know think see look kind sort lot want need use used using way ways
 FILLERS = r"\b(um+|uh+|hmm+|hm+|mhm|uh-huh|err+)\b[,]?"
 VIDEO_HOSTS = ("youtube.com", "www.youtube.com", "m.youtube.com", "music.youtube.com", "youtube-nocookie.com", "www.youtube-nocookie.com")
 ID = r"[A-Za-z0-9_-]{11}"
+DOCUMENT_HOST = "www.youtube.com"
 
 
 def strip(c: Column) -> Column:
@@ -147,7 +148,7 @@ def article_body(document: Column) -> Column:
     return F.when(found & (body != ""), body)
 
 
-def document_video_id(document: Column, host: str = "www.youtube.com") -> Column:
+def document_video_id(document: Column, host: str = DOCUMENT_HOST) -> Column:
     """Identity of a document: the id in its url line."""
     line = r'url:\s+"https://' + host.replace(".", r"\.") + r'/watch\?v=([^"]+)"'
     return F.nullif(F.regexp_extract(document, line, 1), F.lit(""))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -76,6 +78,18 @@ def coverage_failure(output: Column, ratio: Column, retention: Column, p: Params
     )
 
 
+def covers(source: str, output: str, p: Params = DEFAULTS) -> bool:
+    """The same guard for one pair of texts, where a model's next call depends on it."""
+
+    def terms(t: str) -> set[str]:
+        return {w for w in re.findall(r"[a-z0-9][a-z0-9'\-]*", t.lower()) if len(w) > 3} - set(X.STOPWORDS)
+
+    n, wanted = len(source.split()), terms(source)
+    ratio = len(output.split()) / n if n else 0.0
+    kept = len(wanted & terms(output)) / len(wanted) if wanted else 1.0
+    return bool(output.strip()) and p.min_ratio <= ratio <= p.max_ratio and kept >= p.min_retention
+
+
 def accepted(source: Column, *attempts: Column, p: Params = DEFAULTS) -> Column:
     """The first attempt that passes the guard; a null attempt ends the tries; otherwise the source itself."""
     out, alive = F.lit(None).cast("string"), F.lit(True)

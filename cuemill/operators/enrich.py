@@ -6,6 +6,7 @@ Records hold their chunks as an array, so a video's sequential rewrite runs insi
 from __future__ import annotations
 
 import json
+import re
 import time
 from collections.abc import Iterable, Iterator
 from typing import Protocol
@@ -15,10 +16,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cuemill.functions import text as X
+from cuemill.operators.chunks import covers
 from cuemill.params import CONTENT_KINDS, DEFAULTS, DIFFICULTIES, Params
 from cuemill.schema import ENRICHMENT
 
 
+#: What the follow-up prompt for concepts asks for.
+CONCEPTS_ASKED = "Name three to eight terms or concepts of this video, as the JSON list 'concepts'."
+REASONING_OFF = "/no_think\n"
+FENCE = re.compile(r"^```(?:markdown|md)?\s*\n(.*)\n```$", re.S)
+
+
 class ModelClient(Protocol):
     """What the operators need of a language model; it must be picklable."""
 
@@ -30,28 +38,52 @@ class ModelClient(Protocol):
 
 
 class EchoModel:
-    """A deterministic stand-in: rewrites return the marked source, enrichment answers a fixed shape."""
+    """A deterministic stand-in: rewrites return the marked source, enrichment answers a fixed shape.
+
+    ``fenced`` wraps rewrites in a code fence, as many models do; ``forgetful`` leaves the concepts of an enrichment out.
+    """
 
-    name = "echo"
+    def __init__(self, name: str = "echo", fenced: bool = False, forgetful: bool = False):
+        self.name, self.fenced, self.forgetful = name, fenced, forgetful
 
     def ping(self) -> bool:
         return True
 
     def complete(self, prompt: str, temperature: float, limit: int) -> str | None:
+        if CONCEPTS_ASKED in prompt:
+            return json.dumps({"concepts": [f" {w} " for w in prompt.split("Summary:\n", 1)[-1].split()[:2]] + [" "]})
         if "JSON" in prompt:
             head = prompt.rsplit("\n", 1)[-1].split()[:3]
-            return json.dumps({"summary": " ".join(head), "key_concepts": head, "domains": ["General"], "difficulty": "Beginner", "content_kind": "talk", "sections": []})
-        return prompt.rsplit("<source>\n", 1)[-1].removesuffix("\n</source>")
+            chapters = [x for line in prompt.split("\n") if line.startswith("Chapters: ") for x in line.removeprefix("Chapters: ").split("; ")]
+            sections = [{"heading": c, "summary": ""} for c in chapters]
+            return json.dumps({"summary": " ".join(head), "key_concepts": [] if self.forgetful else head, "domains": ["General"], "difficulty": "Beginner", "content_kind": "talk", "sections": sections})
+        out = prompt.rsplit("<source>\n", 1)[-1].removesuffix("\n</source>")
+        return f"```markdown\n{out}\n```" if self.fenced else out
 
 
 def system_prefix(model: Column) -> Column:
     """The switch that turns long reasoning off for models of one family."""
-    return F.when(F.startswith(F.lower(model), F.lit("qwen")), F.lit("/no_think\n")).otherwise(F.lit(""))
+    return F.when(F.startswith(F.lower(model), F.lit("qwen")), F.lit(REASONING_OFF)).otherwise(F.lit(""))
+
+
+def prefix_of(model: str) -> str:
+    """The same for a model's name."""
+    return REASONING_OFF if model.lower().startswith("qwen") else ""
+
+
+def unfenced(answer: str) -> str:
+    """An answer without one outer code fence around the whole of it."""
+    m = FENCE.match(answer.strip())
+    return m[1].strip() if m else answer
 
 
 def enrichment_prompt(title: Column, body: Column, chapters: Column | None = None, p: Params = DEFAULTS) -> Column:
     """Prompt for structured metadata of a capped text."""
-    hints = F.lit(None).cast("string") if chapters is None else F.when(F.size(chapters) > 0, F.concat(F.lit("Chapters: "), F.array_join(F.transform(chapters, lambda c: c["title"]), "; ")))
+    if chapters is None:
+        hints = F.lit(None).cast("string")
+    else:
+        titles = F.transform(F.filter(chapters, lambda c: F.coalesce(c["title"], F.lit("")) != ""), lambda c: X.line_event(X.strip(c["title"])))
+        hints = F.when(F.size(titles) > 0, F.concat(F.lit("Chapters: "), F.array_join(titles, "; ")))
     return F.concat_ws("\n", F.concat(F.lit("Describe the following video as JSON. Title: "), F.coalesce(title, F.lit(""))), hints, F.lit("Transcript:"), X.cap_words(body, p.max_input_words))
 
 
@@ -74,54 +106,72 @@ def normalised(e: Column) -> Column:
     )
 
 
+def _concepts(model: ModelClient, enrichment: str) -> list[str]:
+    """Concepts asked for once more, over the summary and the section notes alone; none where the answer is no such list."""
+    e = json.loads(enrichment)
+    notes = [f"{x.get('heading') or ''}: {x.get('summary') or ''}" for x in e.get("sections") or []]
+    answer = model.complete("\n".join([prefix_of(model.name) + CONCEPTS_ASKED, "Summary:", e.get("summary") or "", *notes]), 0.2, 512)
+    try:
+        found = json.loads(answer or "")["concepts"]
+        return [c.strip() for c in found if c.strip()][:8]
+    except (ValueError, TypeError, KeyError, AttributeError):
+        return []
+
+
 def enrich(texts: DataFrame, model: ModelClient, p: Params = DEFAULTS) -> DataFrame:
-    """(video_id, enrichment, error, duration_ms, model) of (video_id, title, body); an answer that isn't the schema's JSON is an error."""
-    asked = texts.select("video_id", enrichment_prompt(F.col("title"), F.col("body"), p=p).alias("prompt"), X.first_filled(F.col("body")).alias("body"))
+    """(video_id, enrichment, error, duration_ms, model) of (video_id, title, body, chapters where there are any).
+
+    An answer that isn't the schema's JSON is an error. Valid answers without a concept are asked for concepts once more.
+    """
+    chapters = F.col("chapters") if "chapters" in texts.columns else None
+    prompt = F.concat(F.lit(prefix_of(model.name)), enrichment_prompt(F.col("title"), F.col("body"), chapters, p))
+    asked = texts.select("video_id", prompt.alias("prompt"), X.first_filled(F.col("body")).alias("body"))
+
+    def usable(raw: str | None) -> bool:
+        try:
+            e = json.loads(raw or "")
+            return isinstance(e, dict) and isinstance(e.get("summary"), str)
+        except ValueError:
+            return False
 
     def call(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            raw, ms = [], []
+            raw, more, ms = [], [], []
             for prompt, body in zip(f["prompt"], f["body"]):
                 began = time.monotonic()
-                raw.append(model.complete(prompt, 0.2, 2048) if body.strip() else None)
+                answer = model.complete(prompt, 0.2, 2048) if body.strip() else None
+                lacking = usable(answer) and not any(isinstance(c, str) and c.strip() for c in json.loads(answer).get("key_concepts") or [])
+                raw.append(answer)
+                more.append(_concepts(model, answer) if lacking else None)
                 ms.append(int((time.monotonic() - began) * 1000))
-            yield pd.DataFrame({"video_id": f["video_id"], "raw": raw, "duration_ms": ms, "blank": [not b.strip() for b in f["body"]]})
+            yield pd.DataFrame({"video_id": f["video_id"], "raw": raw, "more": more, "duration_ms": ms, "blank": [not b.strip() for b in f["body"]]})
 
-    out = asked.mapInPandas(call, "video_id string, raw string, duration_ms int, blank boolean")
+    out = asked.mapInPandas(call, "video_id string, raw string, more array<string>, duration_ms int, blank boolean")
     parsed = out.withColumn("e", F.from_json("raw", ENRICHMENT))
     bad = F.when(F.col("blank"), "no prose").when(F.col("raw").isNull(), "no answer").when(F.col("e").isNull() | F.col("e.summary").isNull(), "invalid answer")
-    return parsed.select("video_id", F.when(bad.isNull(), normalised(F.col("e"))).alias("enrichment"), bad.alias("error"), "duration_ms", F.lit(model.name).alias("model"))
+    tidy = normalised(F.col("e"))
+    whole = F.when(F.col("more").isNotNull(), tidy.withField("key_concepts", F.col("more"))).otherwise(tidy)
+    return parsed.select("video_id", F.when(bad.isNull(), whole).alias("enrichment"), bad.alias("error"), "duration_ms", F.lit(model.name).alias("model"))
 
 
 def rewrite(records: DataFrame, model: ModelClient, p: Params = DEFAULTS) -> DataFrame:
     """(video_id, article, chunks, fallbacks, words_in, words_out, error) of (video_id, title, chunks).
 
-    Chunks go in order, each prompt with the last words of the text so far; a chunk whose tries all fail the coverage guard
+    Chunks go in order, each prompt with the last words of the text so far; answers lose an outer code fence; a chunk whose tries all fail the coverage guard
     stays verbatim; headings are written once per run.
     """
 
-    def words(t: str) -> set[str]:
-        import re
-
-        return {w for w in re.findall(r"[a-z0-9][a-z0-9'\-]*", t.lower()) if len(w) > 3} - set(X.STOPWORDS)
-
-    def passes(source: str, output: str) -> bool:
-        n = len(source.split())
-        ratio = len(output.split()) / n if n else 0.0
-        terms = words(source)
-        kept = len(terms & words(output)) / len(terms) if terms else 1.0
-        return bool(output.strip()) and p.min_ratio <= ratio <= p.max_ratio and kept >= p.min_retention
-
     def one(title: str, chunks) -> tuple:
         shown, parts, before, fallbacks, n_in, n_out = None, [], "", 0, 0, 0
         for c in chunks:
             out = None
             for attempt in range(p.rewrite_attempts):
                 limit = int(c["words"] * p.max_ratio * 1.4) + 128
-                answer = model.complete(rewrite_prompt(title, c["heading"], before, c["text"]), 0.3 / (attempt + 1), limit)
+                answer = model.complete(prefix_of(model.name) + rewrite_prompt(title, c["heading"], before, c["text"]), 0.3 / (attempt + 1), limit)
                 if answer is None:
                     break
-                if passes(c["text"], answer):
+                answer = unfenced(answer)
+                if covers(c["text"], answer, p):
                     out = answer.strip()
                     break
             fallbacks += out is None

@@ -1,7 +1,7 @@
 """Pasted transcripts: cues (SRT, WebVTT), timestamped lines, or prose with a made-up clock, as segments.
 
-Lines are exploded once; cue and timestamp groups are running counts over each document's lines, and prose is cut by an
-array fold inside its row.
+A document's style is an expression inside its row. Lines are exploded once for cues and stamps alike: their groups are running
+counts over each document's lines, gathered in one aggregation behind one exchange. Prose is cut by an array fold inside its row.
 """
 
 from __future__ import annotations
@@ -10,64 +10,79 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cuemill.functions import text as X
-from cuemill.runtime import widen
+from cuemill.runtime import once, widen
 
 # fixed values: stamp shape, pace and sizes
 STAMP = r"(?:\d{1,3}:)?\d{1,2}:\d{2}(?:[.,]\d{1,3})?"
 CUE = rf"^\s*({STAMP})\s*-->\s*({STAMP})"
-STAMPED = rf"^\s*\[?\(?({STAMP})\)?\]?\s*(.*)$"
+STAMPED = rf"(?d)^\s*\[?\(?({STAMP})\)?\]?\s*(.*)$"
 WORDS_PER_SECOND = 2.5
 PARAGRAPH_GAP = 4.0
 CHUNK_WORDS = 22
 LAST_SECONDS = 3.0
 LEAST_SECONDS = 0.1
+# the same shapes anywhere in a whole text, line by line
+_ANY_CUE = rf"(?md)^[^\S\n]*{STAMP}[^\S\n]*-->[^\S\n]*{STAMP}"
+_ANY_STAMP = rf"(?md)^[^\S\n]*\[?\(?{STAMP}"
 
 
-def _lines(docs: DataFrame, key: str, text: str) -> DataFrame:
-    body = F.regexp_replace(F.col(text), "\r\n|\r", "\n")
-    lines = widen(docs).select(F.col(key).alias("key"), F.posexplode(F.split(body, "\n")).alias("pos", "line"))
-    return lines.where(F.upper(X.strip(F.col("line"))) != "WEBVTT").select("key", "pos", "line", F.col("line").rlike(CUE).alias("is_cue"), F.col("line").rlike(STAMPED).alias("is_stamp"), (X.strip(F.col("line")) == "").alias("blank"))
+def _styled(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, style, body) of every document: cues, stamped, prose, or empty. Line ends are line feeds, WEBVTT lines are gone."""
+    lines = F.split(F.regexp_replace(F.col("body"), "\r\n|\r", "\n"), "\n")
+    kept = F.coalesce(F.array_join(F.filter(lines, lambda x: F.upper(X.strip(x)) != "WEBVTT"), "\n"), F.lit(""))
+    rows = once(widen(docs).select(F.col(key).alias("key"), F.col(text).alias("body")), tidy=kept).select("key", F.col("tidy").alias("body"))
+    style = F.when(F.col("body").rlike(_ANY_CUE), "cues").when(F.col("body").rlike(_ANY_STAMP), "stamped").when(X.strip(F.col("body")) != "", "prose").otherwise("empty")
+    return rows.select("key", style.alias("style"), "body")
 
 
 def styles(docs: DataFrame, key: str, text: str) -> DataFrame:
     """(key, style): cues, stamped, prose, or empty."""
-    grouped = _lines(docs, key, text).groupBy("key").agg(F.max("is_cue").alias("c"), F.max(F.col("is_stamp") & ~F.col("blank")).alias("s"), F.min("blank").alias("b"))
-    style = F.when(F.col("c"), "cues").when(F.col("s"), "stamped").when(~F.col("b"), "prose").otherwise("empty")
-    return docs.select(F.col(key).alias("key")).distinct().join(grouped, "key", "left").select("key", F.coalesce(style, F.lit("empty")).alias("style"))
+    return _styled(docs, key, text).select("key", "style").distinct()
 
 
 def _finish(pairs: DataFrame) -> DataFrame:
-    """(key, at, start, end, text) to segments: an end after the start gives the duration, else the next start, else a default."""
+    """(key, style, at, start, end, text) to segments: an end after the start gives the duration, else the next start, else a default."""
     w = Window.partitionBy("key").orderBy("at")
     ahead = F.lead("start").over(w)
     duration = F.when(F.col("end") > F.col("start"), F.col("end") - F.col("start")).when(ahead.isNotNull(), F.greatest(F.lit(LEAST_SECONDS), ahead - F.col("start"))).otherwise(F.lit(LAST_SECONDS))
     out = pairs.withColumn("duration", duration).where(X.strip(F.col("text")) != "")
-    return out.select("key", "at", F.round("start", 3).alias("start"), F.round("duration", 3).alias("duration"), X.strip(F.col("text")).alias("text"))
+    return out.select("key", "style", "at", F.round("start", 3).alias("start"), F.round("duration", 3).alias("duration"), X.strip(F.col("text")).alias("text"))
 
 
-def _gathered(rows: DataFrame) -> Column:
-    return F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "part"))), lambda x: x["part"]), " ")
+def _line_segments(styled: DataFrame) -> DataFrame:
+    """(key, style, at, start, duration, text) of rows (key, style, body) of the styles cues and stamped.
+
+    A timing line opens a cue and a blank line closes it; other lines of an open cue are its text, numbers included. A stamped line
+    opens a segment that later lines continue; blank lines don't count, nor do lines before the first stamp.
+    """
+    cue = F.col("style") == "cues"
+    rows = styled.select("key", "style", F.posexplode(F.split("body", "\n")).alias("pos", "line"))
+    rows = rows.select("key", "style", "pos", "line", F.when(cue, F.col("line").rlike(CUE)).otherwise(F.col("line").rlike(STAMPED) & (X.strip(F.col("line")) != "")).alias("opens"), (X.strip(F.col("line")) == "").alias("blank"))
+    w = Window.partitionBy("key").orderBy("pos")
+    last = lambda c: F.max(F.when(F.col(c), F.col("pos"))).over(w)
+    rows = rows.select("*", F.sum(F.col("opens").cast("int")).over(w).alias("at"), last("opens").alias("opened"), F.coalesce(last("blank"), F.lit(-1)).alias("shut"))
+    rows = rows.where((F.col("at") > 0) & F.when(cue, F.col("shut") < F.col("opened")).otherwise(~F.col("blank")))
+    shape = lambda of_cue, of_stamp: F.when(cue, F.regexp_extract("line", CUE, of_cue)).otherwise(F.regexp_extract("line", STAMPED, of_stamp))
+    head = F.col("opens")
+    part = X.strip(F.when(head & cue, F.lit("")).when(head, F.regexp_extract("line", STAMPED, 2)).otherwise(F.col("line")))
+    rows = rows.select("key", "style", "at", "pos", part.alias("part"), F.when(head, X.to_seconds(shape(1, 1))).alias("start"), F.when(head & cue, X.to_seconds(F.regexp_extract("line", CUE, 2))).alias("end"))
+    parts = F.array_sort(F.collect_list(F.when(F.col("part") != "", F.struct("pos", "part"))))
+    groups = rows.groupBy("key", "style", "at").agg(F.max("start").alias("start"), F.max("end").alias("end"), F.array_join(F.transform(parts, lambda x: x["part"]), " ").alias("text"))
+    return _finish(groups.where("text <> ''"))
+
+
+def _of_style(docs: DataFrame, key: str, text: str, style: str) -> DataFrame:
+    return _line_segments(_styled(docs, key, text).withColumn("style", F.lit(style))).drop("style")
 
 
 def cue_segments(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """A timing line opens a cue, a blank line closes it; other lines of an open cue are its text, numbers included."""
-    w = Window.partitionBy("key").orderBy("pos")
-    rows = _lines(docs, key, text).withColumn("cue", F.sum(F.col("is_cue").cast("int")).over(w))
-    inside = Window.partitionBy("key", "cue").orderBy("pos")
-    rows = rows.withColumn("closed", F.sum(F.col("blank").cast("int")).over(inside)).where("cue > 0 AND closed = 0")
-    heads = rows.where("is_cue").select("key", "cue", X.to_seconds(F.regexp_extract("line", CUE, 1)).alias("start"), X.to_seconds(F.regexp_extract("line", CUE, 2)).alias("end"))
-    texts = rows.where("NOT is_cue").withColumn("part", X.strip(F.col("line"))).groupBy("key", "cue").agg(_gathered(rows).alias("text"))
-    return _finish(texts.join(heads, ["key", "cue"]).withColumnRenamed("cue", "at"))
+    """(key, at, start, duration, text) of every document read as cues."""
+    return _of_style(docs, key, text, "cues")
 
 
 def stamped_segments(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """A line that begins with a stamp opens a segment; lines before the first stamp are dropped, later ones continue."""
-    w = Window.partitionBy("key").orderBy("pos")
-    rows = _lines(docs, key, text).where("NOT blank").withColumn("at", F.sum(F.col("is_stamp").cast("int")).over(w)).where("at > 0")
-    rows = rows.withColumn("part", X.strip(F.when(F.col("is_stamp"), F.regexp_extract("line", STAMPED, 2)).otherwise(F.col("line"))))
-    heads = rows.where("is_stamp").select("key", "at", X.to_seconds(F.regexp_extract("line", STAMPED, 1)).alias("start"))
-    texts = rows.where("part <> ''").groupBy("key", "at").agg(_gathered(rows).alias("text"))
-    return _finish(texts.join(heads, ["key", "at"]).withColumn("end", F.lit(None).cast("double")))
+    """(key, at, start, duration, text) of every document read as stamped lines."""
+    return _of_style(docs, key, text, "stamped")
 
 
 def _sentence_chunks(paragraph: Column) -> Column:
@@ -91,24 +106,31 @@ def _sentence_chunks(paragraph: Column) -> Column:
     return F.aggregate(sentences, zero, step, shut)
 
 
-def prose_segments(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """Text without stamps: chunks at a speaking pace, a pause between paragraphs."""
-    body = F.regexp_replace(F.col(text), "\r\n|\r", "\n")
-    body = F.array_join(F.filter(F.split(body, "\n"), lambda x: F.upper(X.strip(x)) != "WEBVTT"), "\n")
-    paragraphs = F.filter(F.split(body, r"\n\s*\n"), lambda p: X.strip(p) != "")
-    rows = widen(docs).select(F.col(key).alias("key"), F.posexplode(paragraphs).alias("para", "p")).select("key", "para", F.posexplode(_sentence_chunks(F.col("p"))).alias("k", "ws"))
+def _prose(bodies: DataFrame) -> DataFrame:
+    paragraphs = F.filter(F.split("body", r"\n\s*\n"), lambda p: X.strip(p) != "")
+    rows = bodies.select("key", F.posexplode(paragraphs).alias("para", "p")).select("key", "para", F.posexplode(_sentence_chunks(F.col("p"))).alias("k", "ws"))
     rows = rows.withColumn("seconds", F.greatest(F.lit(1.0), F.size("ws") / F.lit(WORDS_PER_SECOND)))
     w = Window.partitionBy("key").orderBy("para", "k")
     clock = F.coalesce(F.sum("seconds").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)) + F.col("para") * F.lit(PARAGRAPH_GAP)
     return rows.select("key", (F.row_number().over(w)).alias("at"), F.round(clock, 3).alias("start"), F.round("seconds", 3).alias("duration"), F.array_join("ws", " ").alias("text"))
 
 
+def prose_segments(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """Text without stamps: chunks at a speaking pace, a pause between paragraphs."""
+    return _prose(_styled(docs, key, text))
+
+
 def parse_pasted(docs: DataFrame, key: str, text: str) -> DataFrame:
     """(key, style, at, start, duration, text) of every document, read in its own style; empty documents have no rows."""
-    style = styles(docs, key, text)
-    of = lambda name: docs.join(style.where(F.col("style") == name).select(F.col("key").alias("_k")), F.col(key) == F.col("_k"), "left_semi")
-    parts = [f(of(name), key, text).withColumn("style", F.lit(name)) for name, f in (("cues", cue_segments), ("stamped", stamped_segments), ("prose", prose_segments))]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select("key", "style", F.col("at").cast("int").alias("at"), "start", "duration", "text")
+    styled = _styled(docs, key, text)
+    lined = _line_segments(styled.where(F.col("style").isin("cues", "stamped")))
+    spoken = _prose(styled.where("style = 'prose'")).withColumn("style", F.lit("prose"))
+    return lined.select(*_COLUMNS).unionByName(spoken.select(*_COLUMNS)).withColumn("at", F.col("at").cast("int"))
+
+
+_COLUMNS = ("key", "style", "at", "start", "duration", "text")
+
+
+def word_totals(segments: DataFrame) -> DataFrame:
+    """(key, segments, words) of parsed documents."""
+    return segments.groupBy("key").agg(F.count("*").alias("segments"), F.sum(X.word_count(F.col("text"))).alias("words"))

@@ -74,13 +74,13 @@ def orphans(rows: DataFrame, parents: DataFrame, key: str) -> DataFrame:
     return rows.join(parents.select(key).distinct(), key, "left_anti")
 
 
-def merged_metadata(override: DataFrame, fetched: DataFrame, key: str) -> DataFrame:
-    """Given values win where they aren't blank, stripped; then fetched ones; then defaults."""
+def merged_metadata(override: DataFrame, fetched: DataFrame, key: str, *kept: str) -> DataFrame:
+    """Given values win where they aren't blank, stripped; then fetched ones; then defaults. ``kept`` names further columns of the given rows."""
     o, f = override.alias("o"), fetched.alias("f")
     pick = lambda c, default: F.coalesce(F.nullif(X.strip(F.col(f"o.{c}")), F.lit("")), F.nullif(F.col(f"f.{c}"), F.lit("")), default)
     out = o.join(f, F.col(f"o.{key}") == F.col(f"f.{key}"), "left")
     return out.select(
-        F.col(f"o.{key}").alias(key), pick("title", F.col(f"o.{key}")).alias("title"), pick("channel", F.lit("unknown_channel")).alias("channel"),
+        F.col(f"o.{key}").alias(key), *[F.col(f"o.{c}").alias(c) for c in kept], pick("title", F.col(f"o.{key}")).alias("title"), pick("channel", F.lit("unknown_channel")).alias("channel"),
         pick("published", F.lit("")).alias("published"), pick("description", F.lit("")).alias("description"),
     )
 

@@ -92,6 +92,16 @@ def set_state(current: DataFrame, ids: DataFrame, column: str, state: str) -> Da
     return j.select(*[F.when(F.col("_hit"), F.lit(state)).otherwise(F.col(c)).alias(c) if c == column else F.col(c) for c in current.columns])
 
 
+def get_video(videos: DataFrame, video_id: str) -> DataFrame:
+    """The row of one video, none if it isn't registered; the filter reaches the scan."""
+    return videos.where(F.col("video_id") == video_id).limit(1)
+
+
+def get_sections(sections: DataFrame, video_id: str) -> DataFrame:
+    """(idx, heading, summary, start_ts, end_ts) of one video's sections, in order."""
+    return sections.where(F.col("video_id") == video_id).select("idx", "heading", "summary", "start_ts", "end_ts").orderBy("idx")
+
+
 def record_runs(runs: DataFrame, new: DataFrame) -> DataFrame:
     """Runs with the new ones appended; a missing column is null."""
     return runs.unionByName(new, allowMissingColumns=True)

@@ -38,15 +38,38 @@ def backoff_seconds(attempt: Column, p: Params = DEFAULTS) -> Column:
     return F.least(F.lit(p.backoff_base) * F.pow(F.lit(p.backoff_factor), attempt), F.lit(p.backoff_cap))
 
 
+def paced(requests: DataFrame, key: str, order: str, seconds: str, unit: str, delay: float = DEFAULTS.request_delay, jitter: float = DEFAULTS.request_jitter) -> DataFrame:
+    """Requests with ``starts``, seconds after the first of their key: a request begins when the one before is done and at least a
+    jittered delay after that one began. ``unit`` is a number from -1 to 1 for each request, by which the delay before the next varies."""
+    w = Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    wait = F.greatest(F.coalesce(F.col(seconds).cast("double"), F.lit(0.0)), F.lit(float(delay)) * (1 + F.lit(float(jitter)) * F.col(unit)))
+    return requests.withColumn("starts", F.coalesce(F.sum(wait).over(w), F.lit(0.0)))
+
+
+def scrape_verdict(outcomes: DataFrame) -> DataFrame:
+    """One row (saved, skipped, failed, aborted, ok): a scrape is fine when the breaker didn't end it and something was saved or was there already."""
+    n = lambda *names: F.count_if(F.col("outcome").isin(*names))
+    out = outcomes.agg(n("saved").alias("saved"), n("skipped").alias("skipped"), n("failed", "blocked").alias("failed"), F.coalesce(F.max("aborted"), F.lit(False)).alias("aborted"))
+    return out.withColumn("ok", ~F.col("aborted") & (F.col("saved") + F.col("skipped") > 0))
+
+
 def tokens_per_second(tokens: Column, nanoseconds: Column) -> Column:
     """Throughput of summed counters; null unless both are positive."""
     return F.when((tokens > 0) & (nanoseconds > 0), tokens / (nanoseconds / F.lit(1e9)))
 
 
 def model_report(runs: DataFrame, ok: str = "success") -> DataFrame:
-    """(model, runs, ok, failed, avg_seconds, total_seconds, retried) over processing runs; null durations don't count."""
-    attempts = runs.groupBy("model", "video_id").agg(F.count("*").alias("n"), F.count_if(F.col("status") == ok).alias("ok"), F.sum("duration_ms").alias("ms"), F.count("duration_ms").alias("timed"))
+    """(model, runs, ok, failed, avg_seconds, total_seconds, retried) over processing runs; null durations don't count.
+
+    Where the runs have ``tokens``, those of successful runs come out as tokens and tokens a second of their time.
+    """
+    counted = "tokens" in runs.columns
+    good = F.col("status") == ok
+    extra = [F.sum(F.when(good, F.col("tokens"))).alias("tokens"), F.sum(F.when(good, F.col("duration_ms"))).alias("good_ms")] if counted else []
+    attempts = runs.groupBy("model", "video_id").agg(F.count("*").alias("n"), F.count_if(good).alias("ok"), F.sum("duration_ms").alias("ms"), F.count("duration_ms").alias("timed"), *extra)
+    total = [F.sum("tokens").alias("tokens"), tokens_per_second(F.sum("tokens"), F.sum("good_ms") * 1_000_000).alias("per_second")] if counted else []
     return attempts.groupBy("model").agg(
+        *total,
         F.sum("n").alias("runs"), F.sum("ok").alias("ok"), (F.sum("n") - F.sum("ok")).alias("failed"),
         (F.sum("ms") / F.sum("timed") / 1000).alias("avg_seconds"), (F.sum("ms") / 1000).alias("total_seconds"), F.count_if(F.col("n") > 1).alias("retried"),
     )

@@ -70,13 +70,14 @@ def inject_chapters(segments: Column, chapters: Column) -> Column:
     """
     item = lambda text, start, duration, heading: F.struct(text.alias("text"), start.cast("double").alias("start"), duration.cast("double").alias("duration"), heading.alias("is_heading"))
     marks = markers(chapters)
-    head = lambda m: item(m["text"], m["start"], F.lit(0.0), F.lit(True))
     # the place of a marker: position of the first segment that starts at or after it, or the number of segments
     place = lambda m: F.coalesce(F.nullif(F.array_position(F.transform(segments, lambda s: s["start"] >= m["start"]), True), F.lit(0)).cast("int") - 1, F.size(segments))
-    placed = F.transform(marks, lambda m: F.struct(place(m).alias("at"), head(m).alias("head")))
-    at = lambda k: F.transform(F.filter(placed, lambda x: x["at"] == k), lambda x: x["head"])
-    body = F.transform(segments, lambda s, i: F.concat(at(i), F.array(item(s["text"], s["start"], _length(s), F.lit(False)))))
-    return F.concat(F.flatten(body), at(F.size(segments)))
+    body = F.transform(segments, lambda s: item(s["text"], s["start"], _length(s), F.lit(False)))
+    # one sort merges both: by place, markers before the segment at it, then their own order
+    keyed = lambda at, kind, k, e: F.struct(at.cast("int").alias("at"), F.lit(kind).alias("kind"), k.cast("int").alias("k"), e.alias("e"))
+    heads = F.transform(marks, lambda m, k: keyed(place(m), 0, k, item(m["text"], m["start"], F.lit(0.0), F.lit(True))))
+    merged = F.array_sort(F.concat(heads, F.transform(body, lambda e, i: keyed(i, 1, F.lit(0), e))))
+    return F.when(F.size(marks) == 0, body).otherwise(F.transform(merged, lambda x: x["e"]))
 
 
 def chapter_positions(segments: DataFrame, chapters: DataFrame, key: str) -> DataFrame:
@@ -94,38 +95,40 @@ def looks_like_heading(text: Column, gap: Column, threshold: Column, p: Params =
     return short & ~text.rlike(r"[.!?,;:]$") & text.rlike(r"^\p{Lu}") & (gap >= threshold * p.heading_gap_factor)
 
 
-_STATE = "struct<blocks:array<string>,current:string,words:int,end:double,first:boolean>"
+_STATE = "struct<blocks:array<string>,open:array<string>,words:int,ends:boolean,end:double,first:boolean>"
 
 
 def paragraph_blocks(enriched: Column, cleaned: Column, threshold: Column, p: Params = DEFAULTS) -> Column:
     """Left fold of (enriched, cleaned text) into blocks: headings and paragraphs.
 
-    ``enriched`` comes from inject_chapters and ``cleaned`` holds the cleaned text of each of its elements.
+    ``enriched`` comes from inject_chapters and ``cleaned`` holds the cleaned text of each of its elements. An open paragraph is
+    an array of its pieces, joined once when it is closed; whether it ends a sentence is known from its last piece.
     """
     items = F.zip_with(enriched, cleaned, lambda e, t: F.struct(e["text"].alias("raw"), F.coalesce(t, F.lit("")).alias("text"), e["start"].alias("start"), e["duration"].alias("duration"), e["is_heading"].alias("is_heading")))
     nothing = F.array().cast("array<string>")
 
-    def state(blocks: Column, current: Column, n: Column, e: Column) -> Column:
-        return F.struct(blocks.alias("blocks"), current.alias("current"), n.cast("int").alias("words"), (e["start"] + e["duration"]).alias("end"), F.lit(False).alias("first"))
+    def state(blocks: Column, pieces: Column, n: Column, ends: Column, e: Column) -> Column:
+        return F.struct(blocks.alias("blocks"), pieces.alias("open"), n.cast("int").alias("words"), ends.alias("ends"), (e["start"] + e["duration"]).alias("end"), F.lit(False).alias("first"))
+
+    def closed(acc: Column) -> Column:
+        return F.when(F.size(acc["open"]) == 0, acc["blocks"]).otherwise(F.concat(acc["blocks"], F.array(F.array_join(acc["open"], " "))))
 
     def step(acc: Column, e: Column) -> Column:
         gap = F.when(acc["first"], F.lit(0.0)).otherwise(e["start"] - acc["end"])
-        flushed = F.when(acc["current"] == "", acc["blocks"]).otherwise(F.concat(acc["blocks"], F.array(acc["current"])))
         titled = ~acc["first"] & looks_like_heading(e["text"], gap, threshold, p)
-        ends = acc["current"].rlike(r"[.!?]['\"]?\s*$")
-        breaks = ~acc["first"] & (acc["words"] >= p.paragraph_min_words) & ((gap >= threshold) | ends)
-        n = X.word_count(e["text"])
-        joined = F.when(acc["current"] == "", e["text"]).otherwise(F.concat(acc["current"], F.lit(" "), e["text"]))
+        breaks = ~acc["first"] & (acc["words"] >= p.paragraph_min_words) & ((gap >= threshold) | acc["ends"])
+        n, ends = X.word_count(e["text"]), e["text"].rlike(r"[.!?]['\"]?\s*$")
+        heading = lambda text: state(F.concat(closed(acc), F.array(text)), nothing, F.lit(0), F.lit(False), e)
         return (
-            F.when(e["is_heading"], state(F.concat(flushed, F.array(e["raw"])), F.lit(""), F.lit(0), e))
-            .when(e["text"] == "", state(acc["blocks"], acc["current"], acc["words"], e))
-            .when(titled, state(F.concat(flushed, F.array(F.concat(F.lit("## "), e["text"]))), F.lit(""), F.lit(0), e))
-            .when(breaks, state(flushed, e["text"], n, e))
-            .otherwise(state(acc["blocks"], joined, acc["words"] + n, e))
+            F.when(e["is_heading"], heading(e["raw"]))
+            .when(e["text"] == "", state(acc["blocks"], acc["open"], acc["words"], acc["ends"], e))
+            .when(titled, heading(F.concat(F.lit("## "), e["text"])))
+            .when(breaks, state(closed(acc), F.array(e["text"]), n, ends, e))
+            .otherwise(state(acc["blocks"], F.concat(acc["open"], F.array(e["text"])), acc["words"] + n, ends, e))
         )
 
-    zero = F.struct(nothing.alias("blocks"), F.lit("").alias("current"), F.lit(0).alias("words"), F.lit(0.0).alias("end"), F.lit(True).alias("first"))
-    return F.aggregate(items, zero.cast(_STATE), lambda a, e: step(a, e).cast(_STATE), lambda a: F.when(a["current"] == "", a["blocks"]).otherwise(F.concat(a["blocks"], F.array(a["current"]))))
+    zero = F.struct(nothing.alias("blocks"), nothing.alias("open"), F.lit(0).alias("words"), F.lit(False).alias("ends"), F.lit(0.0).alias("end"), F.lit(True).alias("first"))
+    return F.aggregate(items, zero.cast(_STATE), lambda a, e: step(a, e).cast(_STATE), closed)
 
 
 def clean(records: DataFrame, p: Params = DEFAULTS) -> DataFrame:

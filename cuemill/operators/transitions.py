@@ -8,13 +8,13 @@ from pyspark.sql import functions as F
 from cuemill.functions import text as X
 
 
-def clean_outcomes(cleaned: DataFrame, documents: DataFrame) -> DataFrame:
+def clean_outcomes(cleaned: DataFrame, documents: DataFrame, host: str = X.DOCUMENT_HOST) -> DataFrame:
     """Outcome of every cleaned record against the document already at its path.
 
     ``cleaned`` has video_id, path, cleaned (null when filtered); ``documents`` has path and content. A document of another
     video, or without identity, is an error and nothing is touched; one of the same video is skipped.
     """
-    d = documents.select(F.col("path").alias("_path"), X.document_video_id(F.col("content")).alias("_owner"), F.lit(True).alias("_there"))
+    d = documents.select(F.col("path").alias("_path"), X.document_video_id(F.col("content"), host).alias("_owner"), F.lit(True).alias("_there"))
     j = cleaned.join(d, cleaned["path"] == d["_path"], "left")
     outcome = (
         F.when(F.col("_there") & ~F.col("_owner").eqNullSafe(F.col("video_id")), F.lit("error"))
@@ -58,10 +58,10 @@ def ingest_row(status: Column, clean_path: Column, destination: Column, companio
     }
 
 
-def ingest_files(source: DataFrame, target: DataFrame) -> DataFrame:
+def ingest_files(source: DataFrame, target: DataFrame, host: str = X.DOCUMENT_HOST) -> DataFrame:
     """(path, video_id, action) of every source document: copy, keep, or error when it has no identity or the target is another video's."""
-    s = source.select("path", X.document_video_id(F.col("content")).alias("video_id"))
-    t = target.select("path", X.document_video_id(F.col("content")).alias("_owner"), F.lit(True).alias("_there"))
+    s = source.select("path", X.document_video_id(F.col("content"), host).alias("video_id"))
+    t = target.select("path", X.document_video_id(F.col("content"), host).alias("_owner"), F.lit(True).alias("_there"))
     action = F.when(F.col("video_id").isNull() | (F.col("_there") & ~F.col("_owner").eqNullSafe(F.col("video_id"))), F.lit("error")).when(F.col("_there"), F.lit("keep")).otherwise(F.lit("copy"))
     return s.join(t, "path", "left").select("path", "video_id", action.alias("action"))
 

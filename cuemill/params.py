@@ -30,6 +30,8 @@ class Params:
     backoff_factor: float = 3.0
     backoff_cap: float = 300.0
     fetch_attempts: int = 4
+    request_delay: float = 2.0
+    request_jitter: float = 0.6
     log_lines: int = 2000
     finished_jobs: int = 20
 

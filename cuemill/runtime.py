@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-import tempfile
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,7 +18,7 @@ WHITE = "\\t\\n\\x0b\\f\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
     """A session for tests and benchmarks on one machine."""
-    return (
+    session = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("cuemill")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -29,10 +29,11 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
+    return reachable(session)
 
 
 def reachable(spark: SparkSession) -> SparkSession:
-    """Let Python workers import this package from where the driver did, and keep Arrow batches small for long texts."""
+    """Set a session up, once: Python workers import this package from where the driver did, and Arrow batches of long texts stay small."""
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
     if root not in paths:
@@ -43,7 +44,7 @@ def reachable(spark: SparkSession) -> SparkSession:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return reachable(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -56,11 +57,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not wanted:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        wanted = os.path.join(tempfile.gettempdir(), "cuemill-checkpoints")
+        wanted = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/checkpoints"
     context.setCheckpointDir(wanted)
     return context._jsc.sc().getCheckpointDir().get()
 
 
+def own_folder(spark: SparkSession, name: str) -> str:
+    """A new folder in the shared checkpoint folder, for data that one run writes and reads back."""
+    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def subfolders(spark: SparkSession, folder: str, files: bool = False) -> list[str]:
     """Names of the folders, or of the files, in a folder of any file system that Spark knows; none if it isn't there."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)

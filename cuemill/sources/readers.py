@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
@@ -10,20 +11,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cuemill.functions import text as X
-from cuemill.runtime import reachable
+from cuemill.operators.resilience import transient
 from cuemill.schema import RECORD
 
 
-def records(spark: SparkSession, path: str) -> DataFrame:
-    """The record file with its fixed schema; blank lines are skipped, unreadable ones dropped."""
-    return reachable(spark).read.schema(RECORD).option("mode", "DROPMALFORMED").json(path)
+def records(spark: SparkSession, path: str, lenient: bool = False) -> DataFrame:
+    """The record file with its fixed schema; blank lines are skipped. An unreadable line fails the scan, or is dropped where asked."""
+    return spark.read.schema(RECORD).option("mode", "DROPMALFORMED" if lenient else "FAILFAST").json(path)
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     """(path, content) of every Markdown document below a folder, paths relative to it."""
     files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.md").text(folder, wholetext=True)
-    whole = F.replace(F.regexp_replace(F.col("_metadata.file_path"), r"^file:/*", "/"), F.lit("%20"), F.lit(" "))
-    base = folder.rstrip("/") if "://" in folder else os.path.realpath(folder)
+    whole = F.url_decode(F.replace(F.regexp_replace(F.col("_metadata.file_path"), r"^file:/*", "/"), F.lit("+"), F.lit("%2B")))
+    base = folder.rstrip("/") if "://" in folder and not folder.startswith("file:") else os.path.realpath(re.sub("^file:/*", "/", folder))
     return files.select(F.substring(whole, len(base) + 2, 1 << 20).alias("path"), F.col("value").alias("content"))
 
 
@@ -47,9 +48,10 @@ def normalised_info(info: DataFrame) -> DataFrame:
 
 
 def fetched(ids: DataFrame, fetch: Callable[[str], dict]) -> DataFrame:
-    """Connector calls in Arrow batches: (video_id, segments, reason, detail).
+    """Connector calls in Arrow batches: (video_id, segments, reason, detail, transient).
 
-    ``fetch`` returns {"segments": [...]} or {"reason": ..., "detail": ...}; an exception is the reason "failed".
+    ``fetch`` returns {"segments": [...]} or {"reason": ..., "detail": ...}; an exception is the reason "failed". ``transient`` tells
+    whether a failure may pass by itself; it is null where there is none.
     """
 
     def run(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -63,7 +65,8 @@ def fetched(ids: DataFrame, fetch: Callable[[str], dict]) -> DataFrame:
                 rows.append((v, got.get("segments"), got.get("reason"), got.get("detail")))
             yield pd.DataFrame(rows, columns=["video_id", "segments", "reason", "detail"])
 
-    return ids.select("video_id").mapInPandas(run, "video_id string, segments array<struct<text:string,start:double,duration:double>>, reason string, detail string")
+    out = ids.select("video_id").mapInPandas(run, "video_id string, segments array<struct<text:string,start:double,duration:double>>, reason string, detail string")
+    return out.withColumn("transient", F.when(F.col("reason").isNotNull(), transient(F.col("reason"))))
 
 
 def expanded(entries: DataFrame, column: str = "entries") -> DataFrame:

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import os
+import posixpath
+import re
+import uuid
 from collections.abc import Iterator
 
 import pandas as pd
@@ -12,8 +15,13 @@ from pyspark.sql import functions as F
 MANIFEST = ("video_id", "title", "channel", "published", "url", "word_count", "md_path")
 
 
-def append_records(records: DataFrame, folder: str) -> None:
-    records.write.mode("append").json(folder)
+def append_records(records: DataFrame, folder: str, batch: str | None = None) -> None:
+    """Append to the record file, a folder whose files are its lines. Each job commits files of its own at once, so appends that run
+    side by side need no lock. A named batch is written whole or not at all, and only once however often it is run."""
+    if batch is None:
+        records.write.mode("append").json(folder)
+    else:
+        records.write.mode("overwrite").json(f"{folder}/batch={batch}")
 
 
 def append_manifest(records: DataFrame, folder: str) -> None:
@@ -22,24 +30,28 @@ def append_manifest(records: DataFrame, folder: str) -> None:
 
 
 def write_documents(docs: DataFrame, folder: str) -> DataFrame:
-    """Write (path, content) under a folder all executors share, unless the file is there; returns (path, written).
+    """Write (path, content) under a folder of a file system all executors share, unless the file is there; returns (path, written).
 
     A path that would leave the folder is refused. Files appear by rename, so a task that is run again leaves no half document.
     """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        root = os.path.realpath(folder)
+        import pyarrow.fs as pafs
+
+        place = re.sub("^file:/*", "file:///", folder)
+        fs, root = pafs.FileSystem.from_uri(place if "://" in place else os.path.realpath(place))
+        root = root.rstrip("/")
         for f in frames:
             done = []
             for path, content in zip(f["path"], f["content"]):
-                target = os.path.realpath(os.path.join(root, path))
-                fresh = target.startswith(root + os.sep) and not os.path.exists(target)
+                target = posixpath.normpath(posixpath.join(root, path or ""))
+                fresh = target.startswith(root + "/") and fs.get_file_info(target).type == pafs.FileType.NotFound
                 if fresh:
-                    os.makedirs(os.path.dirname(target), exist_ok=True)
-                    part = f"{target}.{os.getpid()}.part"
-                    with open(part, "w", encoding="utf-8") as out:
-                        out.write(content)
-                    os.replace(part, target)
+                    fs.create_dir(posixpath.dirname(target), recursive=True)
+                    part = f"{target}.{uuid.uuid4().hex}.part"
+                    with fs.open_output_stream(part) as out:
+                        out.write((content or "").encode())
+                    fs.move(part, target)
                 done.append(fresh)
             yield pd.DataFrame({"path": f["path"], "written": done})
 

@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cuemill.functions import text as X
 from cuemill.operators.records import last_wins
+from cuemill.runtime import subfolders
 
 LOG = T.StructType([T.StructField("job_id", T.StringType()), T.StructField("seq", T.LongType()), T.StructField("line", T.StringType())])
 DONE = "done"
@@ -30,7 +32,7 @@ def snapshot_upsert(folder: str, key: str, order: str) -> Callable[[DataFrame, i
 
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        older = [n for n in (int(f[1:]) for f in os.listdir(folder) if f.startswith("v") and f[1:].isdigit()) if n < number] if os.path.isdir(folder) else []
+        older = [n for n in _snapshots(spark, folder) if n < number]
         current = spark.read.schema(batch.schema).parquet(f"{folder}/v{max(older)}") if older else batch.limit(0)
         merged = last_wins(current.unionByName(batch), key, order).drop("first_at")
         merged.write.mode("overwrite").parquet(f"{folder}/v{number}")
@@ -38,9 +40,13 @@ def snapshot_upsert(folder: str, key: str, order: str) -> Callable[[DataFrame, i
     return write
 
 
+def _snapshots(spark: SparkSession, folder: str) -> list[int]:
+    """Numbers of the complete snapshots."""
+    return sorted(int(f[1:]) for f in subfolders(spark, folder) if f[:1] == "v" and f[1:].isdigit() and "_SUCCESS" in subfolders(spark, f"{folder}/{f}", files=True))
+
+
 def latest_snapshot(spark: SparkSession, folder: str) -> DataFrame:
-    number = max(int(f[1:]) for f in os.listdir(folder) if f.startswith("v") and f[1:].isdigit())
-    return spark.read.parquet(f"{folder}/v{number}")
+    return spark.read.parquet(f"{folder}/v{_snapshots(spark, folder)[-1]}")
 
 
 def follow_log(spark: SparkSession, folder: str, after: int = 0) -> DataFrame:
@@ -48,6 +54,12 @@ def follow_log(spark: SparkSession, folder: str, after: int = 0) -> DataFrame:
     return spark.readStream.schema(LOG).json(folder).where(F.col("seq") > after)
 
 
+def log_events(log: DataFrame) -> DataFrame:
+    """(job_id, seq, event, data): every line as an event, the terminal line as the event "done", after which a job has no more."""
+    ended = F.col("line") == DONE
+    return log.select("job_id", "seq", F.when(ended, F.lit(DONE)).otherwise(F.lit("line")).alias("event"), F.when(~ended, X.line_event(F.col("line"))).alias("data"))
+
+
 def log_status(log: DataFrame) -> DataFrame:
     """(job_id, lines, last_seq, finished) of every job; the terminal event is the line "done"."""
     return log.groupBy("job_id").agg(F.count("*").alias("lines"), F.max("seq").alias("last_seq"), F.max(F.col("line") == DONE).alias("finished"))
@@ -69,7 +81,7 @@ def stream_table(spark: SparkSession, path: str) -> DataFrame:
     """A Parquet table (a file or a folder of files) as a file stream."""
     schema = spark.read.parquet(path).schema
     reader = spark.readStream.schema(schema)
-    if os.path.isdir(path):
+    if not subfolders(spark, os.path.dirname(path), files=True).count(os.path.basename(path)):
         return reader.parquet(path)
     folder, name = os.path.split(path)
     return reader.option("pathGlobFilter", name).parquet(folder)

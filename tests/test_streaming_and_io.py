@@ -1,4 +1,8 @@
+import datetime
+import decimal
 import json
+import os
+from collections import Counter
 
 import pytest
 from pyspark.sql import Row
@@ -52,7 +56,7 @@ def test_worker_drains_and_resumes(spark, tmp_path):
 def test_record_file_and_sinks(spark, tmp_path):
     f = tmp_path / "dataset.jsonl"
     f.write_text(json.dumps({"video_id": "a", "title": "T", "transcript_segments": [{"text": "x", "start": 1}]}) + "\n\nnot json\n" + json.dumps({"video_id": "b"}) + "\n")
-    r = readers.records(spark, str(f)).orderBy("video_id").collect()
+    r = readers.records(spark, str(f), lenient=True).orderBy("video_id").collect()
     assert [x.video_id for x in r if x.video_id] == ["a", "b"] and r[-2].transcript_segments[0].duration is None
     d = spark.createDataFrame([("a", "T", "C", "2024-01-01", "u", 3, "p", "extra")], "video_id string, title string, channel string, published string, url string, word_count int, md_path string, more string")
     sinks.append_manifest(d, str(tmp_path / "m"))
@@ -159,8 +163,62 @@ def test_params_from_env(monkeypatch):
     assert Params.from_env() == Params(min_words=7, min_ratio=0.5)
 
 
+def test_a_broken_record_fails_the_scan_unless_it_may_be_dropped(spark, tmp_path):
+    (tmp_path / "r.jsonl").write_text('{"video_id": "a"}\n{"video_id": \n')
+    assert [x.video_id for x in readers.records(spark, str(tmp_path / "r.jsonl"), lenient=True).collect() if x.video_id] == ["a"]
+    with pytest.raises(Exception, match="(?i)malformed"):
+        readers.records(spark, str(tmp_path / "r.jsonl")).collect()
+
+
+def test_documents_never_leave_their_folder_and_are_written_once(spark, tmp_path):
+    rows = [("a/b c+d%.md", "one"), ("../out.md", "two"), ("/etc/three.md", "three"), ("a/../e.md", "four"), ("n.md", None)]
+    d = spark.createDataFrame(rows, "path string, content string")
+    first = {r.path: r.written for r in sinks.write_documents(d, f"file:{tmp_path}/docs").collect()}
+    assert first == {"a/b c+d%.md": True, "../out.md": False, "/etc/three.md": False, "a/../e.md": True, "n.md": True}
+    assert not any(r.written for r in sinks.write_documents(d.where("path LIKE 'a/%'"), f"{tmp_path}/docs").collect())
+    assert {(r.path, r.content) for r in readers.documents(spark, f"{tmp_path}/docs").where("content <> ''").collect()} == {("a/b c+d%.md", "one"), ("e.md", "four")}
+    assert not (tmp_path / "out.md").exists()
+
+
+def test_concepts_are_asked_for_once_more(spark):
+    d = spark.createDataFrame([("a", "T", "some words here", [Row(title=" One ", start_time=0.0, end_time=1.0), Row(title=None, start_time=0.0, end_time=1.0)])], "video_id string, title string, body string, chapters array<struct<title:string,start_time:double,end_time:double>>")
+    e = enrich.enrich(d, enrich.EchoModel(forgetful=True)).first().enrichment
+    assert list(e.key_concepts) == ["some", "words"] and [s.heading for s in e.sections] == ["One"]
+    summary = json.dumps({"summary": "s", "key_concepts": [], "domains": [], "difficulty": "x", "content_kind": "y", "sections": []})
+    assert list(enrich.enrich(d, Scripted(summary, "no json")).first().enrichment.key_concepts) == []
+
+
+def test_rewrites_lose_their_fences_and_models_get_their_prefix(spark):
+    assert enrich.unfenced("```md\nx\n```") == "x" and enrich.unfenced("a ```b```") == "a ```b```"
+    assert enrich.prefix_of("Qwen3:4b") == "/no_think\n" and enrich.prefix_of("gemma") == ""
+    chunk = Row(chunk_idx=0, heading=None, paragraphs=["p"], text="every word of this chunk stays", words=6)
+    d = spark.createDataFrame([("v", "T", [chunk])], "video_id string, title string, chunks array<struct<chunk_idx:int,heading:string,paragraphs:array<string>,text:string,words:int>>")
+    r = enrich.rewrite(d, enrich.EchoModel(fenced=True)).first()
+    assert (r.article, r.fallbacks) == ("every word of this chunk stays", 0)
+
+
+def _plain(v):
+    if isinstance(v, bool) or v is None or isinstance(v, str):
+        return v
+    if isinstance(v, (int, float, decimal.Decimal)):
+        return float(f"{float(v):.9g}")
+    return v.replace(tzinfo=None) if isinstance(v, datetime.datetime) else v
+
+
 @pytest.mark.parametrize("name", sorted(catalog.QUERIES))
-def test_every_query_runs(spark, small, name):
+def test_every_query_equals_its_sql(spark, small, name):
     df = catalog.QUERIES[name](spark, small)
     assert df.columns == list(dict.fromkeys(df.columns))
-    df.limit(5).collect()
+    rows, columns = df.collect(), sorted(df.columns)
+    if name not in catalog.SQL:
+        return
+    duckdb = pytest.importorskip("duckdb")
+    db = duckdb.connect()
+    db.execute("SET timezone = 'UTC'")
+    for f in os.listdir(small):
+        db.execute(f"CREATE VIEW {f.removesuffix('.parquet')} AS SELECT * FROM '{small}/{f}'")
+    found = db.execute(catalog.SQL[name])
+    named = [c[0] for c in found.description]
+    assert sorted(named) == columns
+    expected = Counter(tuple(_plain(r[named.index(c)]) for c in columns) for r in found.fetchall())
+    assert Counter(tuple(_plain(r[c]) for c in columns) for r in rows) == expected

@@ -1,10 +1,11 @@
 """Problem 9: text decoded with the wrong character encoding.
 
 Method: a swap of code pages is read as a substitution cipher. Its symbols are the images of letters under pairs of code
-pages (one to six characters each) and the replacement character; which letter a symbol stands for, or whether it is meant
-as it stands, is learned by expectation-maximisation against letter bigrams of the corpus: first for the whole corpus,
-then for each source, whose own counts move the mapping away from the corpus's. The bigrams are re-estimated with the
-garbled symbols taken out. Every occurrence is then decided from the source's mapping and the letters around it, and the
+pages (one to six characters each) and the replacement character; images of UTF-8 under pages that are rarely met, by rule all
+that Python knows, are symbols beside a plain letter only. Which letter a symbol stands for, or whether it is meant as it
+stands, is learned by expectation-maximisation against letter bigrams of the corpus: first for the whole corpus, then for
+each source, whose own counts move the mapping away from the corpus's. The bigrams are re-estimated with the garbled
+symbols taken out. Every occurrence is then decided from the source's mapping and the letters around it, and the
 text is restored by substituting the garbled symbols.
 
 Only sufficient statistics leave the tasks: bigram counts and counts of (left letter, symbol, right letter) per source,
@@ -17,7 +18,10 @@ of a letter are left alone; repeated rows are repeated.
 
 from __future__ import annotations
 
+import codecs
+import encodings
 import math
+import pkgutil
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
@@ -55,8 +59,10 @@ class GarbleParams:
     #: Pseudo-counts with which the corpus's mapping enters a source's own.
     prior: float = 8.0
     smoothing: float = 0.5
-    #: Posterior from which a symbol of several characters, one of a single character, and a quote, dash or dot counts as garbled.
+    #: Posterior from which a symbol of several characters, one of a rarer page, one of a single character, and a quote, dash or
+    #: dot counts as garbled.
     several: float = 0.5
+    rare: float = 0.9
     single: float = 0.9
     sign: float = 0.9995
     #: Lead in log-likelihood that a run of six letters needs to count as a swapped word; shorter runs need less in proportion.
@@ -103,6 +109,39 @@ def symbols() -> dict[str, tuple[str, ...]]:
     return {s: tuple(sorted(c)) for s, c in out.items()}
 
 
+@lru_cache(maxsize=1)
+def _pages() -> tuple[str, ...]:
+    """All single-byte code pages that extend ASCII and that Python knows, by rule, without those of UTF8_READ_AS."""
+    out, ascii_part = [], bytes(range(0x20, 0x7F))
+    for name in sorted(m.name for m in pkgutil.iter_modules(encodings.__path__) if not m.name.endswith("escape")):
+        try:
+            table = "".join(bytes([b]).decode(name, "ignore") for b in range(0x80, 0x100))
+            fits = ascii_part.decode(name) == ascii_part.decode("ascii") and all(len(bytes(x).decode(name, "replace")) == 2 for x in ((0xC3, 0xA9), (0x83, 0x41)))
+        except (LookupError, ValueError, TypeError, AssertionError):  # no code page for text
+            continue
+        if fits and 96 <= len(table) <= 128:
+            out.append(name)
+    known = {codecs.lookup(p).name for p in UTF8_READ_AS}
+    return tuple(p for p in out if codecs.lookup(p).name not in known)
+
+
+@lru_cache(maxsize=1)
+def rare_symbols() -> dict[str, tuple[str, ...]]:
+    """Images of letters under all further pages: pairs of characters -> letters. As they are many and may be meant, they count only
+    beside a plain letter, and from a higher posterior on."""
+    out: dict[str, set[str]] = defaultdict(set)
+    for page in _pages():
+        for c in LATIN + EXTENDED:
+            image = _read(c.encode(), page)
+            if len(image) == 2 and not any(x.isascii() or x.isspace() for x in image) and image not in symbols():
+                out[image].add(c)
+    return {s: tuple(sorted(c)) for s, c in out.items()}
+
+
+def readings_of(symbol: str) -> tuple[str, ...]:
+    return symbols().get(symbol) or rare_symbols()[symbol]
+
+
 def _trie(words: Iterable[str]) -> str:
     """A regular expression for a set of words that tries the longest first and shares prefixes."""
     root: dict = {}
@@ -151,6 +190,8 @@ class Alphabet:
             self.single[ord(c)] = True
             self.foreign[ord(c)] = c not in LATIN and c not in EXTENDED and c not in CYRILLIC and c not in TYPOGRAPHY
         self.several = re.compile(_trie(s for s in symbols() if len(s) > 1))
+        rare = rare_symbols()
+        self.rare = re.compile("[" + "".join(sorted(map(re.escape, {s[0] for s in rare}))) + "][" + "".join(sorted(map(re.escape, {s[1] for s in rare}))) + "]")
 
     def classes(self, text: str) -> np.ndarray:
         return np.array([self.of.get(c, int(self.table[ord(c)])) for c in text])
@@ -179,6 +220,19 @@ def _images(text: str, box: np.ndarray, several: list[tuple[int, int]]) -> list[
     return [x for x in several if not meant(*x)]
 
 
+def _rare(text: str, several: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Rare symbols that touch a plain letter and no other symbol's characters."""
+    known, out, taken = rare_symbols(), [], None
+    for m in alphabet().rare.finditer(text):
+        s, e = m.span()
+        beside = text[s - 1 : s] + text[e : e + 1]
+        if m[0] in known and any(c.isascii() and c.isalpha() for c in beside):
+            taken = {i for x in several for i in range(*x)} if taken is None else taken
+            if s not in taken and e - 1 not in taken:
+                out.append((s, e))
+    return out
+
+
 def occurrences(text: str) -> tuple[np.ndarray, list[tuple[int, int, str, int, int]]]:
     """Classes of all characters, and (start, end, symbol, left class, right class) of every symbol, in order.
 
@@ -188,6 +242,7 @@ def occurrences(text: str) -> tuple[np.ndarray, list[tuple[int, int, str, int, i
     points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
     classes = a.table[points].astype(np.int64)
     several = [(m.start(), m.end()) for m in a.several.finditer(text)]
+    several += _rare(text, several)
     box = (points >= 0x2500) & (points < 0x2580)
     if box.any():
         several = _images(text, box, several)
@@ -314,7 +369,7 @@ class Cipher:
         return self.first[symbol]
 
     def _start(self, symbol: str) -> dict[str, float]:
-        letters = symbols()[symbol]
+        letters = readings_of(symbol)
         if symbol == LOST or "\x80" <= symbol <= "\x9f":
             return {c: 1 / len(letters) for c in letters} or {LOST: 1.0}
         # a single letter that no text of the corpus holds is no reading; the image of several bytes is its own evidence, so
@@ -323,7 +378,7 @@ class Cipher:
         whole = sum(weight.values())
         if not whole:
             return {symbol: 1.0}
-        meant = 0.7 if len(symbol) == 1 else 0.02
+        meant = 0.7 if len(symbol) == 1 else 0.5 if symbol in rare_symbols() else 0.02
         return {symbol: meant} | {c: (1 - meant) * w / whole for c, w in weight.items() if w}
 
     def likelihood(self, symbol: str, l: int, r: int) -> dict[str, float]:
@@ -452,7 +507,7 @@ def decide(text: str, cipher: Cipher, shares: dict[str, dict[str, float]], memor
             odds = cipher.readings(symbol, l, r, shares.get(symbol))
             best = max((c for c in odds if c != symbol), key=lambda c: (odds[c], c), default=None)
             certain = symbol == LOST or len(symbol) == 1 and "\x80" <= symbol <= "\x9f"
-            least = p.several if len(symbol) > 1 else p.sign if symbol in TYPOGRAPHY else p.single
+            least = p.rare if symbol in rare_symbols() else p.several if len(symbol) > 1 else p.sign if symbol in TYPOGRAPHY else p.single
             wrong = certain or 1 - odds.get(symbol, 0.0) >= least
             memory[key] = (best or symbol) if wrong else None
         if memory[key] is not None:

@@ -71,3 +71,29 @@ def test_repeated_and_long_texts(spark):
     rows = [(1, "s", long), (1, "s", long)] + [(10 + i, "s", "déjà l'été a été réparé " * 5) for i in range(5)]
     out = E.garbled(spark.createDataFrame(rows, "doc_id long, source string, text string")).collect()
     assert [r.doc_id for r in out] == [1, 1] and out[0].restored.endswith("et été")
+
+
+@pytest.mark.parametrize("page", ["cp1257", "cp737", "cp852"])
+def test_pages_that_are_not_listed_are_found_beside_letters(page):
+    """UTF-8 read under a page that the lists don't name; the same signs between spaces, or in their own script, are meant."""
+    from collections import Counter
+
+    import numpy as np
+
+    assert page not in E.UTF8_READ_AS
+    rnd = random.Random(8)
+    clean = ["\n".join(sentences(rnd, (FRENCH, GERMAN)[i % 2], 6)) for i in range(80)]
+    meant = ["Ć © ą ± è ½", "ένα μικρό κείμενο στα ελληνικά", "шла Саша по шоссе", "plain ├─┤ box"]
+    texts = [swap(t, "utf-8", page) if i < 20 else t for i, t in enumerate(clean)] + meant
+    size = E.alphabet().size
+    pairs, contexts = np.zeros((size, size)), Counter()
+    for t in texts:
+        classes, found = E.occurrences(t)
+        np.add.at(pairs, (np.append(E.Alphabet.SPACE, classes), np.append(classes, E.Alphabet.SPACE)), 1)
+        contexts.update((s, l, r) for _, _, s, l, r in found)
+    model = E.Cipher(pairs, E.GarbleParams())
+    model.learn([(*k, n) for k, n in contexts.items()])
+    got = [E.decide(t, model, model.shares, {}) for t in texts]
+    assert sum(n > 0 for _, n in got[:20]) >= 19 and [n for _, n in got[20:]] == [0] * 64
+    right = sum(a == b for (x, _), y in zip(got[:20], clean) for a, b in zip(x.split(), y.split()))
+    assert right / sum(len(t.split()) for t in clean[:20]) > 0.9

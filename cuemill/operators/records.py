@@ -99,7 +99,8 @@ def companion_path(path: Column) -> Column:
 
 
 def last_lines(log: DataFrame, job: str, seq: str, keep: int) -> DataFrame:
-    """The newest ``keep`` lines of every job."""
+    """The newest ``keep`` lines of every job. The limit on the row number reaches the tasks before the exchange, so a hot job sends
+    ``keep`` lines a task."""
     w = Window.partitionBy(job).orderBy(F.desc(seq))
     return log.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= keep).drop("_n")
 

@@ -22,7 +22,8 @@ def circuit_breaker(attempts: DataFrame, key: str, order: str, outcome: str, lim
     """The attempts that are made before ``limit`` blocked ones in a row end the run.
 
     Skipped attempts neither count nor break a row of blocks; every other outcome breaks it. Rows after the end are dropped;
-    ``run_length`` is the row of blocks so far and ``aborted`` marks the attempt that ends the run.
+    ``run_length`` is the row of blocks so far and ``aborted`` marks the attempt that ends the run. A key is one run of a job, whose
+    attempts are made one after the other, so its window is bounded by what one job does.
     """
     w = Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     blocked, skipped = F.col(outcome) == "blocked", F.col(outcome) == "skipped"

@@ -63,12 +63,17 @@ def stems(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: sorted(set(terms(t or ""))))
 
 
+def searchable(videos: DataFrame) -> DataFrame:
+    """Rows with ``stems``, the terms of title and description, to be stored where many queries follow: a search then stems its query only."""
+    return videos.withColumn("stems", stems(F.concat_ws(" ", F.coalesce("title", F.lit("")), F.coalesce("description", F.lit("")))))
+
+
 def matches(document: Column, query: str) -> Column:
-    """Every term of the query stands in the document; a query without terms matches nothing."""
+    """Every term of the query stands among the document's stems; a query without terms matches nothing."""
     wanted = sorted(set(terms(query)))
     if not wanted:
         return F.lit(False)
-    return F.size(F.array_except(F.array(*map(F.lit, wanted)), stems(document))) == 0
+    return F.size(F.array_except(F.array(*map(F.lit, wanted)), document)) == 0
 
 
 def search(
@@ -77,8 +82,8 @@ def search(
 ) -> DataFrame:
     """Videos that pass all given filters, the newest scrape first. Empty filters are skipped.
 
-    Channel is a pattern anywhere in the name, case aside; all tags must be there. The cheap filters come first, so the
-    stemmer sees what they leave.
+    Channel is a pattern anywhere in the name, case aside; all tags must be there. A stored ``stems`` column (searchable) is used
+    where there is one; otherwise the cheap filters come first, so the stemmer sees what they leave.
     """
     out = videos
     if status:
@@ -90,5 +95,6 @@ def search(
     if tags:
         out = out.where(F.size(F.array_except(F.array(*map(F.lit, tags)), F.coalesce("tags", F.array().cast("array<string>")))) == 0)
     if query:
-        out = out.where(matches(F.concat_ws(" ", F.coalesce("title", F.lit("")), F.coalesce("description", F.lit(""))), query))
+        kept = videos.columns
+        out = (out if "stems" in kept else searchable(out)).where(matches(F.col("stems"), query)).select(*kept)
     return out.orderBy(F.col("scraped_at").desc_nulls_last(), "video_id").offset(offset).limit(limit)

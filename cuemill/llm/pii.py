@@ -165,7 +165,7 @@ ANNOUNCED = [
     )
 ]
 #: A name alone in brackets, or as the alternative in brackets.
-ASIDE = re.compile(rf"\(\s?(?:(?:or|alt|oder|ou|aka)\b:?\s+)?(?P<n>{NAME_FORM})\s?\)", re.I)
+ASIDE = re.compile(rf"\(\s?(?P<as>(?:or|alt|oder|ou|aka)\b:?\s+)?(?P<n>{NAME_FORM})\s?\)", re.I)
 
 _S = r"(?:[^\W\d_][\w'’-]*\.?\s+)"
 _ROAD = r"(?:street|lane|road|avenue|ave|drive|court|terrace|close|square|boulevard|blvd|way|row|hill|crescent)\b\.?"
@@ -243,8 +243,14 @@ def find_values(text: str, params: PiiParams = PiiParams()) -> list[tuple[int, i
     def near(pattern: re.Pattern, start: int, end: int) -> bool:
         return bool(pattern.search(text, max(0, start - params.before), start) or pattern.search(text, end, min(len(text), end + params.after)))
 
-    def just_before(pattern: re.Pattern, start: int) -> bool:
-        return bool(pattern.search(text, max(0, start - 18), start))
+    def closest(start: int) -> re.Pattern | None:
+        """Which of the contexts of numbers stands closest before a place."""
+        best, at = None, -1
+        for pattern in (NUMBER_ELSE, ID_NEAR, PHONE_NEAR):
+            last = max((m.end() for m in pattern.finditer(text, max(0, start - 18), start)), default=-1)
+            if last > at:
+                best, at = pattern, last
+        return best
 
     if "@" in text or "＠" in text or "at)" in low or "at]" in low or "at }" in low or "at ]" in low or " AT " in text or "\nAT " in text:
         found += [(m.start(), m.end(), "email", 1.0) for m in EMAIL.finditer(text)]
@@ -259,23 +265,24 @@ def find_values(text: str, params: PiiParams = PiiParams()) -> list[tuple[int, i
             if raw.count("(") < raw.count(")"):
                 raw = raw[: raw.index(")")].rstrip(" .-/")
                 e = s + len(raw)
-        elsewhere = just_before(NUMBER_ELSE, s)
+        announced = closest(s)
+        elsewhere = announced is NUMBER_ELSE
         as_id = _id_score(raw) + (0.45 if near(ID_NEAR, s, e) else 0) - (0.8 if elsewhere else 0)
-        as_phone = phone_plan(raw) + (0.3 if near(PHONE_NEAR, s, e) else 0) - (0.8 if elsewhere else 0) - (0.4 if just_before(ID_NEAR, s) else 0)
+        as_phone = phone_plan(raw) + (0.3 if near(PHONE_NEAR, s, e) else 0) - (0.8 if elsewhere else 0) - (0.4 if announced is ID_NEAR else 0)
         if max(as_id, as_phone) >= params.threshold:
             found.append((s, e, "id_number", as_id) if as_id > as_phone else (s, e, "phone", as_phone))
     for m in SPOKEN.finditer(text):
         digits = _spoken_digits(m[0])
         s, e = m.start(), m.end()
         if len(digits) in (9, 15) and (nir(digits) or len(digits) == 9):
-            score = (0.95 if nir(digits) else 0.35) + (0.3 if near(ID_NEAR, s, e) or just_before(PHONE_NEAR, s) else 0)
+            score = (0.95 if nir(digits) else 0.35) + (0.3 if near(ID_NEAR, s, e) or closest(s) is PHONE_NEAR else 0)
             found.append((s, e, "id_number", score))
         elif len(digits) >= 9:
             plan = max(phone_plan(digits), phone_plan("+" + digits.lstrip("0") if not digits.startswith("00") else digits))
             found.append((s, e, "phone", plan + (0.3 if near(PHONE_NEAR, s, e) else 0)))
     for m in ID_WORD.finditer(text):
         s, e = m.start(), m.end()
-        if any(c.isdigit() for c in m[0]) and not just_before(NUMBER_ELSE, s):
+        if any(c.isdigit() for c in m[0]) and closest(s) is not NUMBER_ELSE:
             score = _id_score(m[0])
             if score > 0:
                 found.append((s, e, "id_number", score + (0.45 if near(ID_NEAR, s, e) else 0.0)))
@@ -293,7 +300,7 @@ def find_values(text: str, params: PiiParams = PiiParams()) -> list[tuple[int, i
     if "(" in text:
         for m in ASIDE.finditer(text):
             words = [w.lower() for w in re.findall(r"[^\W\d_]{2,}", m["n"])]
-            if _looks_like_name(m["n"], params) and not NOT_PERSON.intersection(words):
+            if (m["as"] or _looks_like_name(m["n"], params)) and not NOT_PERSON.intersection(words):
                 found.append((m.start("n"), m.end("n"), "name", 0.7))
     kept: list[tuple[int, int, str, float]] = []  # without overlaps, in order of place
     for span in sorted((x for x in found if x[3] >= params.threshold), key=lambda x: (-x[3], x[0], -x[1])):

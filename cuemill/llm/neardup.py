@@ -193,19 +193,23 @@ def _candidates(found: DataFrame, classes: DataFrame, params: NearDupParams) ->
     counts = found.select(F.explode("blocks").alias("bucket")).groupBy(cell("bucket")).agg(F.count("*").alias("n"))
     counts = cut(counts)  # one row a cell
     least = max(params.part, 4 * (counts.agg(F.sum("n")).first()[0] or 0) / params.cells)
-    crowded = F.broadcast(counts.where(F.col("n") > least).select("cell", F.lit(True).alias("crowded")))
-    rows = classes.select(F.explode("blocks").alias("bucket"), "id").withColumn("cell", cell("bucket")).join(crowded, "cell", "left")
-    salt = F.when(F.col("crowded"), F.pmod(F.xxhash64("id"), F.lit(params.salts))).otherwise(0).cast("int")
-    rows = rows.select("bucket", salt.alias("salt"), "id", F.coalesce("crowded", F.lit(False)).alias("crowded")).repartition("bucket", "salt")  # the one exchange all branches share
-    part = rows.groupBy("bucket", "salt").agg(F.count("*").alias("n"), F.min("id").alias("a"), F.max("id").alias("b"), F.first("crowded").alias("crowded"))
-    plain = part.where("NOT crowded")
-    crowd = part.where("crowded").groupBy("bucket").agg(F.sum("n").alias("n"), F.min("a").alias("a"), F.max("b").alias("b"))
-    two = plain.select("n", "a", "b").unionByName(crowd.select("n", "a", "b")).where("n = 2 AND a < b").select("a", "b")
+    crowded = F.broadcast(counts.where(F.col("n") > least).select("cell"))
+    rows = classes.select(F.explode("blocks").alias("bucket"), "id").withColumn("cell", cell("bucket"))
+    summary = (F.count("*").alias("n"), F.min("id").alias("a"), F.max("id").alias("b"))
     parts = F.ceil(F.col("n") / params.part).cast("int").alias("parts")
-    salts = F.explode(F.sequence(F.lit(0), F.lit(params.salts - 1))).alias("salt")
-    more = plain.where("n > 2").select("bucket", "salt", parts).unionByName(crowd.where("n > 2").select("bucket", parts, salts))
-    parted = rows.select("bucket", "salt", "id").join(more, ["bucket", "salt"]).select("bucket", "parts", F.pmod(F.xxhash64("id"), "parts").cast("int").alias("part"), "id")
-    many = _paired(parted, "bucket", "id")
+    place = F.pmod(F.xxhash64("id"), "parts").cast("int").alias("part")
+
+    plain = rows.join(crowded, "cell", "left_anti").select("bucket", "id").repartition("bucket")  # the one exchange of counts and parts
+    of_plain = plain.groupBy("bucket").agg(*summary)
+    parted = plain.join(of_plain.where("n > 2").select("bucket", parts), "bucket").select("bucket", "parts", place, "id")
+
+    salted = rows.join(crowded, "cell", "left_semi").select("bucket", F.pmod(F.xxhash64("id"), F.lit(params.salts)).cast("int").alias("salt"), "id").repartition("bucket", "salt")
+    of_salted = salted.groupBy("bucket", "salt").agg(*summary).groupBy("bucket").agg(F.sum("n").alias("n"), F.min("a").alias("a"), F.max("b").alias("b"))
+    more = of_salted.where("n > 2").select("bucket", parts, F.explode(F.sequence(F.lit(0), F.lit(params.salts - 1))).alias("salt"))
+    spread = salted.join(more, ["bucket", "salt"]).select("bucket", "parts", place, "id")
+
+    two = of_plain.unionByName(of_salted).where("n = 2 AND a < b").select("a", "b")
+    many = _paired(parted.unionByName(spread), "bucket", "id")
     return two.unionByName(many.select(F.col("x").alias("a"), F.col("y").alias("b"))).distinct()
 
 

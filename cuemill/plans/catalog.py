@@ -926,10 +926,10 @@ def record_file(spark, sf):
     return r.select("video_id", "title", "created_at", "word_count", F.size("transcript_segments").alias("segments"), F.size("chapters").alias("chapters"), "md_path")
 
 
-@query(f"""SELECT line_no, count(*) OVER (PARTITION BY video_id) AS lines, video_id FROM dataset WHERE word_count IS NOT NULL""")
+@query(f"""SELECT line_no, count(*) OVER (PARTITION BY video_id) AS lines, video_id FROM dataset""")
 def appended_lines(spark, sf):
     """The record file scanned, with the number of lines of each video."""
-    folder, d = own_folder(spark, "lines"), table(spark, sf, "dataset").where("word_count IS NOT NULL").select("line_no", "video_id")
+    folder, d = own_folder(spark, "lines"), table(spark, sf, "dataset").select("line_no", "video_id")
     d.write.json(folder)
     r = spark.read.schema("line_no long, video_id string").json(folder)
     n = r.groupBy("video_id").agg(F.count("*").alias("lines"))
@@ -945,11 +945,11 @@ def manifest_file(spark, sf):
     return back.select("video_id", "channel", "published", "url", "word_count", "md_path")
 
 
-@query("""SELECT 'd/' || doc_id || '.md' AS path, text AS content FROM documents WHERE text <> '' AND doc_kind = 'notes'""")
+@query("""SELECT 'd/' || doc_id || '.md' AS path, text AS content FROM documents WHERE text <> ''""")
 def document_files(spark, sf):
-    """Notes written as files, tried a second time, and read back with their paths; paths that would leave the folder write nothing."""
+    """All texts written as files, tried a second time, and read back with their paths; paths that would leave the folder write nothing."""
     folder = own_folder(spark, "documents")
-    d = table(spark, sf, "documents").where("text <> '' AND doc_kind = 'notes'").select(F.concat(F.lit("d/"), F.col("doc_id"), F.lit(".md")).alias("path"), F.col("text").alias("content"))
+    d = table(spark, sf, "documents").where("text <> ''").select(F.concat(F.lit("d/"), F.col("doc_id"), F.lit(".md")).alias("path"), F.col("text").alias("content"))
     sinks.write_documents(d, folder).count()
     sinks.write_documents(d.withColumn("content", F.lit("again")), folder).count()
     sinks.write_documents(d.withColumn("path", F.concat(F.lit("../out-"), F.col("path"))), folder).count()

@@ -805,7 +805,15 @@ def enum_normalise(spark, sf):
     return v.select("id", "e.difficulty", "e.content_kind", F.array_join("e.key_concepts", "|").alias("key_concepts"), F.array_join("e.domains", "|").alias("domains"))
 
 
-@query()
+@query(f"""WITH RECURSIVE {_FOLD}, kept AS (SELECT line_no FROM bl GROUP BY line_no HAVING coalesce(sum({_N('text')}) FILTER (WHERE NOT starts_with(text, '##')), 0) >= 200),
+  rk AS MATERIALIZED (SELECT line_no, row_number() OVER (PARTITION BY line_no ORDER BY block) AS idx, starts_with({_STRIP('text')}, '#') AS head, CASE WHEN starts_with({_STRIP('text')}, '#') THEN {_STRIP("regexp_replace(" + _STRIP('text') + ", '^#+', '')")} ELSE {_STRIP('text')} END AS t, {_N('text')} AS n FROM bl JOIN kept USING (line_no)),
+  rc AS (SELECT line_no, idx, head, CASE WHEN head THEN 0 ELSE n END AS words, 0 AS chunk, NOT head AND n >= 900 AS full_now FROM rk WHERE idx = 1
+   UNION ALL SELECT rk.line_no, rk.idx, rk.head, CASE WHEN rk.head THEN 0 WHEN rc.full_now THEN rk.n ELSE rc.words + rk.n END, rc.chunk + CASE WHEN rc.full_now OR (rk.head AND NOT rc.head) THEN 1 ELSE 0 END,
+     CASE WHEN rk.head THEN false WHEN rc.full_now THEN rk.n >= 900 ELSE rc.words + rk.n >= 900 END FROM rc JOIN rk ON rk.line_no = rc.line_no AND rk.idx = rc.idx + 1),
+  rp AS (SELECT rk.line_no, rk.idx, rk.head, rk.t, rk.n, rc.chunk, last_value(CASE WHEN rk.head THEN rk.t END IGNORE NULLS) OVER (PARTITION BY rk.line_no ORDER BY rk.idx) AS heading FROM rk JOIN rc USING (line_no, idx)),
+  rq AS (SELECT *, lag(heading) OVER (PARTITION BY line_no ORDER BY idx) AS before FROM rp WHERE NOT head)
+SELECT line_no::VARCHAR AS video_id, string_agg(CASE WHEN heading <> '' AND heading IS DISTINCT FROM before THEN '## ' || heading || chr(10) || chr(10) ELSE '' END || t, chr(10) || chr(10) ORDER BY idx) AS article,
+  count(DISTINCT chunk)::INT AS chunks, 0 AS fallbacks, sum(n)::INT AS words_in, sum(n)::INT AS words_out, NULL::VARCHAR AS error FROM rq GROUP BY line_no""")
 def rewrite_articles(spark, sf):
     """Cleaned transcripts rewritten chunk by chunk by the deterministic model."""
     d = segments.clean(table(spark, sf, "dataset")).where("cleaned IS NOT NULL")

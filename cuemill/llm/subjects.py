@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cuemill.llm.terms import TermParams, entries, map_terms
-from cuemill.runtime import WHITE, cut, weighted_lookup
+from cuemill.runtime import WHITE, cut, once, weighted_lookup
 
 @dataclass(frozen=True)
 class SubjectParams:
@@ -60,10 +60,10 @@ def _passages(videos: DataFrame) -> DataFrame:
 
 def _information(counts: DataFrame, key: str, totals: DataFrame, everything: float, terms: int) -> DataFrame:
     """(key, n, gain): how far the domains seen with ``key`` are from the corpus's, in nats beyond what chance gives."""
-    own = counts.groupBy(key).agg(F.sum("c").alias("n"))
-    ratio = F.col("c") / F.col("n") * F.log(F.col("c") * everything / (F.col("n") * F.col("t")))
-    gains = counts.join(own, key).join(F.broadcast(totals), "term").groupBy(key).agg(F.first("n").alias("n"), F.sum(ratio).alias("kl"))
-    return gains.select(key, "n", F.greatest(F.lit(0.0), F.col("kl") - (terms - 1) / (2 * F.col("n"))).alias("gain"))
+    parts = F.col("c") * F.log(F.col("c") * everything / F.col("t"))  # of n times the divergence plus log n
+    gains = counts.join(F.broadcast(totals), "term").groupBy(key).agg(F.sum("c").alias("n"), F.sum(parts).alias("parts"))
+    kl = F.col("parts") / F.col("n") - F.log(F.col("n"))
+    return gains.select(key, "n", F.greatest(F.lit(0.0), kl - (terms - 1) / (2 * F.col("n"))).alias("gain"))
 
 
 def subject_mixtures(videos: DataFrame, terms: DataFrame, areas: DataFrame, labels: DataFrame, params: SubjectParams = SubjectParams(), aliases: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
@@ -74,7 +74,8 @@ def subject_mixtures(videos: DataFrame, terms: DataFrame, areas: DataFrame, labe
     (leaf, subject_id, weight, terms): the leaves with their likeliest subject and discriminative terms.
     """
     spark = videos.sparkSession
-    videos = videos.select(F.col("id").cast("long"), "video_id", "summary", "domains").dropDuplicates(["id"])
+    # cut at each of these places: the driver plans every exchange again after each stage, so its memory follows the largest plan
+    videos = cut(videos.select(F.col("id").cast("long"), "video_id", "summary", "domains").dropDuplicates(["id"]))
     names = terms.where("field = 'domains' AND name IS NOT NULL").select("term_id", "name").distinct().orderBy("term_id").collect()  # the fixed canonical list
     index = {r.term_id: i for i, r in enumerate(names)}
     size = max(1, len(index))
@@ -84,8 +85,8 @@ def subject_mixtures(videos: DataFrame, terms: DataFrame, areas: DataFrame, labe
     domains = cut(weighted_lookup(found, answers, ["field", "value"], "n").select(F.col("key").alias("id"), place[F.col("term_id")].alias("term")).distinct())
 
     passages = cut(_passages(videos))
-    totals = domains.groupBy("term").agg(F.count("*").alias("t"))
-    everything = float(domains.count() or 1)
+    totals = cut(domains.groupBy("term").agg(F.count("*").alias("t")))
+    everything = float(totals.agg(F.sum("t")).first()[0] or 1)
     seen = passages.select("id", F.explode("words").alias("word")).distinct().join(domains, "id").groupBy("word", "term").agg(F.count("*").alias("c"))
     seen = cut(seen)
     gains = _information(seen, "word", totals, everything, size).where(f"n >= {params.least_df} AND gain > 0")
@@ -96,12 +97,13 @@ def subject_mixtures(videos: DataFrame, terms: DataFrame, areas: DataFrame, labe
 
     by_sentence = passages.select("id", "sentence").distinct().join(domains, "id").groupBy("sentence", "term").agg(F.count("*").alias("c"))
     stock = _information(by_sentence, "sentence", totals, everything, size).where((F.col("n") >= params.stock) & (F.col("gain") < params.stock_gain * math.log(max(size, 2)))).select("sentence")
+    stock = cut(stock)
     live = passages.join(stock, "sentence", "left_anti").select("id", "passage", F.explode("words").alias("word"))
     summed = weighted_lookup(live, profiles, ["word"], "uses").groupBy("id", "passage").agg(Summarizer.sum(array_to_vector("v")).alias("v"))
     one_hot = F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda i: F.when(i == F.col("term"), 1.0).otherwise(0.0))
     points = summed.select("id", "passage", vector_to_array("v").alias("v")).unionByName(domains.select("id", (-1 - F.col("term")).alias("passage"), one_hot.alias("v")))
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
-    points = points.withColumn("norm", norm).where("norm > 0").select("id", "passage", array_to_vector(F.transform("v", lambda x: x / F.col("norm"))).alias("features"))
+    points = once(points, norm=norm).where("norm > 0").select("id", "passage", array_to_vector(F.transform("v", lambda x: x / F.col("norm"))).alias("features"))
     points = cut(points)
 
     empty = spark.createDataFrame([], "id long, subject_id int, support double, share double"), spark.createDataFrame([], "leaf int, subject_id int, weight double, terms array<string>")
@@ -141,17 +143,16 @@ def subject_mixtures(videos: DataFrame, terms: DataFrame, areas: DataFrame, labe
 
     flat = [(k, ids[j], float(weights[k, j])) for k in range(len(centers)) for j in range(len(ids))]
     table = spark.createDataFrame(flat, "leaf int, subject_id int, weight double")
-    support = leaves.join(F.broadcast(table), "leaf").groupBy("id", "subject_id").agg(F.sum("weight").alias("support"))
-    whole = leaves.groupBy("id").agg(F.count("*").alias("passages"))
-    mixtures = support.join(whole, "id").select("id", "subject_id", "support", (F.col("support") / F.col("passages")).alias("share"))
+    # a leaf has a weight for every subject, so a subject's rows are as many as the document's passages
+    mixtures = leaves.join(F.broadcast(table), "leaf").groupBy("id", "subject_id").agg(F.sum("weight").alias("support"), F.avg("weight").alias("share"))
     best = [(k, ids[int(np.argmax(weights[k]))], float(weights[k].max()), top[k]) for k in range(len(centers))]
     return mixtures, spark.createDataFrame(best, "leaf int, subject_id int, weight double, terms array<string>")
 
 
 def assign_subjects(mixtures: DataFrame, params: SubjectParams = SubjectParams()) -> DataFrame:
     """(id, subject_id) of every subject with enough support, and of the best one where none has."""
-    lead = mixtures.groupBy("id").agg(F.max(F.struct("support", -F.col("subject_id"))).alias("top"))
-    marked = mixtures.join(lead, "id")
+    lead = F.max(F.struct("support", -F.col("subject_id"))).alias("top")
+    marked = mixtures.groupBy("id").agg(lead, F.collect_list(F.struct("subject_id", "support", "share")).alias("all")).select("id", "top", F.inline("all"))
     enough = (F.col("support") >= params.support) & (F.col("share") >= params.share)
     return marked.where(enough | ((F.col("subject_id") == -F.col("top")["col2"]) & (F.col("support") >= 0.3))).select("id", "subject_id").distinct()
 

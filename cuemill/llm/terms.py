@@ -98,17 +98,21 @@ def _slips(letters: int):
 
 
 def _folded(n: int):
-    schema = T.StructType([T.StructField("norm", T.StringType()), T.StructField("grams", T.ArrayType(T.StringType()))])
+    """Normal form, distinct n-grams and how often each stands in it."""
+    schema = T.StructType([T.StructField("norm", T.StringType()), T.StructField("grams", T.ArrayType(T.StringType())), T.StructField("counts", T.ArrayType(T.IntegerType()))])
 
     @F.pandas_udf(schema)
     def fold(values: pd.Series) -> pd.DataFrame:
         norms = [normalise(v) for v in values]
-        return pd.DataFrame({"norm": norms, "grams": [grams(x, n) for x in norms]})
+        found = [Counter(grams(x, n)) for x in norms]
+        return pd.DataFrame({"norm": norms, "grams": [list(c) for c in found], "counts": [list(c.values()) for c in found]})
 
     return fold
 
 
 ALIASES = "name string, form string"
+#: In place of a form: the value itself.
+_SELF = -1
 
 
 def term_forms(terms: DataFrame, aliases: DataFrame | None = None) -> DataFrame:
@@ -133,25 +137,30 @@ def map_terms(values: DataFrame, terms: DataFrame, params: TermParams = TermPara
     ``terms`` holds (term_id, field, name); further columns of either input are ignored.
     """
     fold = _folded(params.gram)
+    counted = F.inline(F.arrays_zip(F.col("grams").alias("gram"), F.col("counts").alias("tf")))
     distinct = values.select(F.col("field").cast("string"), F.col("value").cast("string")).groupBy("field", "value").agg(F.count("*").alias("n"))
-    distinct = cut(distinct.withColumn("folded", fold("value")).select("field", "value", "n", "folded.norm", "folded.grams"))
+    distinct = cut(distinct.withColumn("folded", fold("value")).select("field", "value", "n", "folded.*"))
     forms = term_forms(terms.select("term_id", F.col("field").cast("string"), F.col("name").cast("string")), aliases)
-    forms = forms.withColumn("folded", fold("form")).select("field", "term_id", "folded.norm", "folded.grams").where("norm <> ''").dropDuplicates(["field", "term_id", "norm"])
+    forms = forms.withColumn("folded", fold("form")).select("field", "term_id", "folded.*").where("norm <> ''").dropDuplicates(["field", "term_id", "norm"])
     forms = cut(forms.withColumn("form_id", F.monotonically_increasing_id()))
-    posts = forms.select("field", "form_id", F.explode("grams").alias("gram")).groupBy("field", "form_id", "gram").agg(F.count("*").alias("tf"))
     sizes = forms.groupBy("field").agg(F.count("*").alias("forms"), F.max(F.length("norm")).alias("longest"))
+    posts = forms.select("field", "form_id", counted)
     weights = posts.groupBy("field", "gram").agg(F.count("*").alias("df")).join(F.broadcast(sizes), "field")
     weights = weights.select("field", "gram", F.log(1 + F.col("forms") / F.col("df")).alias("w"))
-    posts = posts.join(weights, ["field", "gram"]).select("field", "form_id", "gram", (F.col("tf") * F.col("w")).alias("fw"))
-    norms = posts.groupBy("form_id").agg(F.sqrt(F.sum(F.col("fw") * F.col("fw"))).alias("form_norm"))
+    # an entry _SELF for every n-gram, so that a value's own length comes from the join that scores it; cut, since the driver plans
+    # every exchange again after each stage and its memory follows the largest plan
+    posts = posts.join(weights, ["field", "gram"]).select("field", "gram", "w", "form_id", (F.col("tf") * F.col("w")).alias("fw"))
+    posts = cut(posts.unionByName(weights.select("field", "gram", "w", F.lit(_SELF).alias("form_id"), F.lit(0.0).alias("fw"))))
+    norms = posts.where(F.col("form_id") != _SELF).groupBy("form_id").agg(F.sqrt(F.sum(F.col("fw") * F.col("fw"))).alias("form_norm"))
 
     words = distinct.join(F.broadcast(sizes), "field").where(F.length("norm") * (1 - params.max_edits) <= F.col("longest") + 1)
-    words = words.where("norm <> ''").dropDuplicates(["field", "norm"]).select("field", "norm", "forms", F.explode("grams").alias("gram"))
-    words = words.groupBy("field", "norm", "forms", "gram").agg(F.count("*").alias("tf"))
-    words = words.join(weights, ["field", "gram"], "left").withColumn("vw", F.col("tf") * F.coalesce("w", F.log(1 + F.col("forms"))))
-    lengths = words.groupBy("field", "norm").agg(F.sqrt(F.sum(F.col("vw") * F.col("vw"))).alias("value_norm"))
-    scored = words.where("w IS NOT NULL").join(posts, ["field", "gram"]).groupBy("field", "norm", "form_id").agg(F.sum(F.col("vw") * F.col("fw")).alias("dot"))
-    scored = scored.join(norms, "form_id").join(lengths, ["field", "norm"]).withColumn("score", F.col("dot") / (F.col("form_norm") * F.col("value_norm")))
+    words = words.where("norm <> ''").dropDuplicates(["field", "norm"]).select("field", "norm", "forms", counted)
+    words = words.join(posts, ["field", "gram"], "left").withColumn("form_id", F.coalesce("form_id", F.lit(_SELF)))
+    vw = F.col("tf") * F.coalesce("w", F.log(1 + F.col("forms")))
+    dots = words.groupBy("field", "norm", "form_id").agg(F.sum(vw * F.when(F.col("form_id") == _SELF, vw).otherwise(F.col("fw"))).alias("dot"))
+    own = F.max(F.when(F.col("form_id") == _SELF, F.sqrt("dot"))).over(Window.partitionBy("field", "norm"))
+    scored = dots.withColumn("value_norm", own).where(F.col("form_id") != _SELF).join(norms, "form_id")
+    scored = scored.withColumn("score", F.col("dot") / (F.col("form_norm") * F.col("value_norm")))
     scored = scored.where(F.col("score") >= params.slip_threshold).join(forms.select("form_id", "term_id", F.col("norm").alias("form")), "form_id")
 
     solid = lambda c: F.regexp_replace(c, " ", "")
@@ -164,11 +173,11 @@ def map_terms(values: DataFrame, terms: DataFrame, params: TermParams = TermPara
     near = near.withColumn("slip", _slips(params.slip_letters)("norm", "form")).withColumn("edits", F.least("plain_edits", "slip"))
     near = near.where(sure | (F.col("slip") <= params.max_edits))
     # the score that ranks: cosine and closeness, equally
-    near = near.groupBy("field", "norm", "term_id").agg(F.max((F.col("score") + 1 - F.col("edits")) / 2).alias("score"))
+    near = cut(near.groupBy("field", "norm", "term_id").agg(F.max((F.col("score") + 1 - F.col("edits")) / 2).alias("score")))
     order = Window.partitionBy("field", "norm").orderBy(F.desc("score"), "term_id")
     ranked = near.withColumn("rank", F.row_number().over(order)).withColumn("next", F.coalesce(F.lead("score").over(order), F.lit(0.0)))
     best = ranked.where("rank = 1").withColumn("margin", F.col("score") - F.col("next")).where(F.col("margin") >= params.margin)
-    answers = distinct.drop("grams").join(best.select("field", "norm", "term_id", "score", "margin"), ["field", "norm"], "left")
+    answers = distinct.drop("grams", "counts").join(best.select("field", "norm", "term_id", "score", "margin"), ["field", "norm"], "left")
     return answers.select("field", "value", "n", F.coalesce("term_id", F.lit(0)).cast("long").alias("term_id"), F.coalesce("score", F.lit(0.0)).alias("score"), F.coalesce("margin", F.lit(0.0)).alias("margin"))
 
 

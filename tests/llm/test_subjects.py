@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 
@@ -71,3 +72,18 @@ def test_empty(inputs):
     videos, terms, areas, labels, _ = inputs
     mixtures, leaves = S.subject_mixtures(videos.limit(0), terms, areas, labels)
     assert S.assign_subjects(mixtures).count() == 0 and leaves.count() == 0
+
+
+def test_no_plan_is_wide(inputs, spark):
+    """The driver's memory follows the largest plan: all exchanges are planned again after each stage."""
+    videos, terms, areas, labels, _ = inputs
+    store = spark._jsparkSession.sharedState().statusStore()
+    before = store.executionsCount()
+    aliases = spark.createDataFrame([("Geology", "rocks")], "name string, form string")
+    mixtures, _ = S.subject_mixtures(videos, terms, areas, labels, S.SubjectParams(leaves=18), aliases)
+    S.assign_subjects(mixtures).collect()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    ran = store.executionsList()
+    plans = [ran.apply(i).physicalPlanDescription() for i in range(before, ran.size())]
+    wide = [len(re.findall(r"Exchange \(\d+\)", p.partition("== Initial Plan ==")[2] or p)) for p in plans]
+    assert len(wide) > 10 and max(wide) <= 16
